@@ -12,7 +12,7 @@ from harness import adapters
 from tidemark.functions import support as tk
 from tidemark.operators import cohorts, drivers, funnel, kpis, quality, star, support, trends
 from tidemark.plans.clickstream import EXPORTED, build_model, export_model
-from tidemark.plans.storage import scratch_dir
+from tidemark.plans.storage import scratch_dir, store
 from tidemark.plans.support import run_ticket_kpis
 from tidemark.sources.events import clean_raw_events, events_clean, read_events_csv
 from tidemark.sources.model import read_model
@@ -150,13 +150,9 @@ def _read_tickets(spark: SparkSession, sf: str) -> DataFrame:
 
 def _star_join(spark: SparkSession, sf: str) -> DataFrame:
     events = _events(spark, sf)
-    dims = {
-        "dim_date": star.dim_date(events),
-        "dim_category": star.dim_category(events),
-        "dim_product": star.dim_product(events),
-        "dim_user": star.dim_user(events),
-        "dim_session": star.dim_session(events),
-    }
+    work = scratch_dir(spark)
+    builders = (star.dim_date, star.dim_category, star.dim_product, star.dim_user, star.dim_session)
+    dims = {build.__name__: store(build(events), work, build.__name__) for build in builders}
     return star.star_join(star.fact_events(events), dims)
 
 

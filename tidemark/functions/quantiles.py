@@ -1,9 +1,9 @@
 """Exact grouped quantiles that never hold one group's values in a single task.
 
 ``percentile`` and ``median`` keep every distinct value of a group in one aggregation buffer, so a group that owns
-a third of all rows breaks them. Here equal values are first counted (with map-side combine), then ranks are
-located by narrowing: magnitude buckets, finer buckets, values. Every window runs over the buckets of one key or
-over the values of one fine bucket, and only buckets that hold a wanted rank go on.
+a third of all rows breaks them. Here ranks are located by narrowing. A histogram over magnitude buckets, combined
+map-side, shows which buckets hold the wanted ranks; only rows in those buckets go on to finer buckets and at last to
+single values. Every window runs over the buckets of one key or over the at most 2^20 values of one fine bucket.
 """
 
 from __future__ import annotations
@@ -49,15 +49,15 @@ def exact_quantiles(
     ``quantiles`` maps output column names to probabilities. ``weight`` names a column that says how many times a
     row counts. NULL values are ignored; a key without values has no row.
     """
-    val = F.col(value).cast("double")
-    times = F.sum(weight) if weight else F.count(F.lit(1))
-    counts = (
-        df.where(F.col(value).isNotNull())
-        .groupBy(*keys, val.alias("__v"))
-        .agg(times.alias("__n"))
-        .withColumn("__coarse", _bucket(F.col("__v"), _COARSE_BITS))
-        .withColumn("__fine", _bucket(F.col("__v"), _FINE_BITS))
-    )
+    val = F.col(value)
+    times = F.col(weight) if weight else F.lit(1)
+    # NULL values weigh nothing instead of being filtered out: a filter would be pushed into the scan and keep Spark
+    # from sharing a shuffle inside ``df`` with other consumers.
+    rows = df.select(
+        *keys,
+        val.cast("double").alias("__v"),
+        F.when(val.isNotNull(), times).otherwise(0).cast("bigint").alias("__n"),
+    ).withColumn("__coarse", _bucket(F.col("__v"), _COARSE_BITS))
 
     positions = {name: F.lit(p) * (F.col("__total") - 1) for name, p in quantiles.items()}
     ranks = [f(pos).cast("bigint") for pos in positions.values() for f in (F.floor, F.ceil)]
@@ -73,23 +73,32 @@ def exact_quantiles(
         )
         return rows.withColumn("__start", F.col("__base") + F.coalesce(F.sum("__n").over(before), F.lit(0)))
 
+    def lookup(hits: DataFrame, path: list[str]) -> DataFrame:
+        found = hits.select(*path, F.col("__start").alias("__base"), "__total")
+        # Without keys at most two buckets per quantile are left, which is a proven bound.
+        return found if keys else F.broadcast(found)
+
     coarse = (
-        counts.groupBy(*keys, "__coarse")
+        rows.groupBy(*keys, "__coarse")
         .agg(F.sum("__n").alias("__n"))
         .withColumn("__total", F.sum("__n").over(Window.partitionBy(*keys)))
         .withColumn("__base", F.lit(0).cast("bigint"))
     )
-    hits = place(coarse, keys, "__coarse").where(wanted)
-    path = list(keys)
-    for level, nxt in (("__coarse", "__fine"), ("__fine", "__v")):
-        path = [*path, level]
-        hits = hits.select(*path, F.col("__start").alias("__base"), "__total")
-        rows = (
-            null_safe_join(counts, hits, path)
-            .groupBy(*path, nxt)
-            .agg(F.sum("__n").alias("__n"), F.max("__base").alias("__base"), F.max("__total").alias("__total"))
-        )
-        hits = place(rows, path, nxt).where(wanted)
+    path = [*keys, "__coarse"]
+    hits = lookup(place(coarse, keys, "__coarse").where(wanted), path)
+    near = (
+        null_safe_join(rows, hits, path)
+        .groupBy(*path, "__v")
+        .agg(F.sum("__n").alias("__n"), F.max("__base").alias("__base"), F.max("__total").alias("__total"))
+        .withColumn("__fine", _bucket(F.col("__v"), _FINE_BITS))
+    )
+    fine = near.groupBy(*path, "__fine").agg(
+        F.sum("__n").alias("__n"), F.max("__base").alias("__base"), F.max("__total").alias("__total")
+    )
+    hits = place(fine, path, "__fine").where(wanted)
+    path = [*path, "__fine"]
+    hits = lookup(hits, path)
+    hits = place(null_safe_join(near.drop("__base", "__total"), hits, path), path, "__v").where(wanted)
 
     picks = []
     for name, pos in positions.items():

@@ -109,10 +109,10 @@ def star_join(fact: DataFrame, dims: Mapping[str, DataFrame]) -> DataFrame:
     """Fact rows with the attributes of whichever dimensions are given.
 
     ``dims`` may hold dim_date, dim_category, dim_product, dim_user and dim_session. All joins are many-to-one left
-    joins, so no fact row is lost or doubled. Only the calendar is broadcast by hint, as its size is bounded by the
-    number of days. The others are left to Spark, which broadcasts by the measured size of a stored table and
-    splits hot keys of a sort-merge join at run time. Users are attached to sessions first, so that the fact is
-    shuffled once for both.
+    joins, so no fact row is lost or doubled. Pass dimensions as read back from storage: then Spark knows their size and
+    broadcasts the small ones, and it splits hot keys of the others at run time, which it cannot do where a join
+    sits right on the aggregation that built the dimension. Only the calendar, bounded by the number of days, is
+    broadcast by hint. Users are attached to sessions first, so that the fact is shuffled once for both.
     """
     out = fact
     if "dim_date" in dims:

@@ -25,35 +25,40 @@ EXPORTED = (
 def build_model(raw: DataFrame, work_dir: str | None = None) -> dict[str, DataFrame]:
     """All model tables by name, from cleaned raw events.
 
-    With ``work_dir`` the tables that others read again (events, sessions, purchase days, ...) are written there and read
-    back, so each is computed once and survives lost executors; use it for real volumes. Without it the tables
-    stay lazy.
+    With ``work_dir`` every table is written there and read back before others use it. Each is then computed once, lost
+    executors cost no more than their tasks, and later joins know the real table sizes; use it for real volumes.
+    Without it the tables stay lazy.
     """
 
-    def keep(table: DataFrame, name: str) -> DataFrame:
+    def keep(name: str, table: DataFrame) -> DataFrame:
         return store(table, work_dir, name) if work_dir else table
 
-    events = keep(events_clean(raw), "events_clean")
-    fact = star.fact_events(events)
-    sessions = keep(funnel.session_funnel(fact), "fct_session_funnel")
-    purchases = keep(cohorts.user_daily_purchases(fact), "fct_user_daily_purchases")
-    activity = keep(cohorts.cohort_activity(purchases), "fct_cohort_activity")
+    events = keep("events_clean", events_clean(raw))
+    model = {}
+    model["fact_events"] = fact = star.fact_events(events)
+    for name, build in (
+        ("dim_date", star.dim_date),
+        ("dim_user", star.dim_user),
+        ("dim_category", star.dim_category),
+        ("dim_product", star.dim_product),
+        ("dim_session", star.dim_session),
+    ):
+        model[name] = keep(name, build(events))
+    sessions = keep("fct_session_funnel", funnel.session_funnel(fact))
+    purchases = keep("fct_user_daily_purchases", cohorts.user_daily_purchases(fact))
+    activity = keep("fct_cohort_activity", cohorts.cohort_activity(purchases))
+    categories = drivers.category_funnel(sessions, drivers.session_category(fact))
     return {
-        "dim_date": star.dim_date(events),
-        "dim_user": star.dim_user(events),
-        "dim_category": star.dim_category(events),
-        "dim_product": star.dim_product(events),
-        "dim_session": star.dim_session(events),
-        "fact_events": fact,
+        **model,
         "fct_session_funnel": sessions,
         "fct_user_daily_purchases": purchases,
-        "dim_user_purchase_cohort": cohorts.user_purchase_cohort(purchases),
         "fct_cohort_activity": activity,
-        "cohort_retention_summary": cohorts.cohort_retention_summary(activity),
-        "cohort_retention_curve": cohorts.cohort_retention_curve(activity),
-        "agg_category_funnel": drivers.category_funnel(sessions, drivers.session_category(fact)),
-        "agg_brand_revenue": drivers.brand_revenue(fact),
-        "daily_event_counts": trends.daily_event_counts(fact),
+        "dim_user_purchase_cohort": keep("dim_user_purchase_cohort", cohorts.user_purchase_cohort(purchases)),
+        "cohort_retention_summary": keep("cohort_retention_summary", cohorts.cohort_retention_summary(activity)),
+        "cohort_retention_curve": keep("cohort_retention_curve", cohorts.cohort_retention_curve(activity)),
+        "agg_category_funnel": keep("agg_category_funnel", categories),
+        "agg_brand_revenue": keep("agg_brand_revenue", drivers.brand_revenue(fact)),
+        "daily_event_counts": keep("daily_event_counts", trends.daily_event_counts(fact)),
     }
 
 
