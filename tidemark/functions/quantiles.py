@@ -47,7 +47,7 @@ def exact_quantiles(
     """One row per key with linearly interpolated quantiles of ``value``.
 
     ``quantiles`` maps output column names to probabilities. ``weight`` names a column that says how many times a
-    row counts. NULL values are ignored; a key without values has no row.
+    row counts. NULL values are ignored; a key without values has no row, and without keys there is always one row.
     """
     val = F.col(value)
     times = F.col(weight) if weight else F.lit(1)
