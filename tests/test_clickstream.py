@@ -38,6 +38,8 @@ def cleaned(spark, **fields):
         ("event_time", "2019-11-01 12:34:56", "event_ts", datetime(2019, 11, 1, 12, 34, 56)),
         ("event_time", "2019-11-01 12:34:56.25", "event_ts", datetime(2019, 11, 1, 12, 34, 56, 250000)),
         ("event_time", "2019-11-01", "event_ts", datetime(2019, 11, 1)),
+        ("event_time", "2019-11-01T12:34:56Z", "event_ts", datetime(2019, 11, 1, 12, 34, 56)),
+        ("event_time", "2019", "event_ts", None),
         ("event_time", "yesterday", "event_ts", None),
         ("event_time", None, "event_ts", None),
         ("event_type", "  PurchasE ", "event_type", "purchase"),
@@ -58,6 +60,19 @@ def test_cleaning(spark, field, text, column, value):
     assert cleaned(spark, **{field: text})[column] == value
 
 
+def test_times_do_not_depend_on_the_session_zone(spark):
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        # 02:30 does not exist on that day in that zone.
+        row = cleaned(spark, event_time="2024-03-10 02:30:00 UTC")
+        assert row["event_ts"] == datetime(2024, 3, 10, 2, 30)
+        events = make_events(spark, {"ts": "01 00:00:00"}, {"ts": "01 03:00:00"})
+        assert only(star.dim_session(events))["session_duration_seconds"] == 10_800
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+
+
 def test_events_need_time_and_user(spark):
     raw = clean_raw_events(
         spark.createDataFrame(

@@ -153,6 +153,13 @@ def test_read_json_with_other_field_names(spark, tmp_path):
     assert rows["TCK-1"]["issue_created"] == datetime(2025, 1, 2, 9, 10)
     assert (rows["TCK-1"]["csat_score"], rows["TCK-1"]["resolution_time_minutes"]) == (4, 1760.0)
     assert rows["TCK-2"]["issue_status"] is None
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Kolkata")
+    try:
+        opened = read_tickets(spark, str(path), mapping={"issue_created": "opened"}).select("issue_created")
+        assert opened.first()[0] == datetime(2025, 1, 2, 9, 10)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
     with pytest.raises(ValueError):
         read_tickets(spark, str(path), mapping={"no_such_column": "x"})
 

@@ -34,13 +34,15 @@ def _whole_number(name: str) -> Column:
     return F.col(name).try_cast("decimal(38,0)").try_cast("bigint")
 
 
+def _wall_clock(text: Column) -> Column:
+    """Time of day as written, whatever the session zone; a full date is required, other text gives NULL."""
+    return F.when(text.rlike(r"^\s*\d+-\d+-\d+"), text.try_cast("timestamp_ntz"))
+
+
 def clean_raw_events(raw: DataFrame) -> DataFrame:
     """Typed events from text columns; what cannot be parsed becomes NULL."""
-    zoneless = F.replace(F.col("event_time"), F.lit(" UTC"), F.lit(""))
-    event_ts = F.coalesce(
-        F.try_to_timestamp(zoneless, F.lit("yyyy-MM-dd HH:mm:ss")).cast("timestamp_ntz"),
-        F.col("event_time").try_cast("timestamp_ntz"),
-    )
+    written = F.col("event_time")
+    event_ts = F.coalesce(_wall_clock(F.replace(written, F.lit(" UTC"), F.lit(""))), _wall_clock(written))
     return raw.select(
         event_ts.alias("event_ts"),
         F.lower(F.trim(F.col("event_type"))).alias("event_type"),

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -36,6 +36,10 @@ TICKET_SCHEMA = T.StructType(
 )
 
 
+def _is_time(field: T.StructField) -> bool:
+    return isinstance(field.dataType, T.TimestampNTZType)
+
+
 def read_tickets(
     spark: SparkSession,
     path: str,
@@ -45,7 +49,7 @@ def read_tickets(
     """Tickets with the standard column names and types.
 
     ``mapping`` says which source field holds a standard column, for fields named differently at the source.
-    Fields the source lacks come out as NULL.
+    Fields the source lacks come out as NULL. Instants become UTC wall-clock times, whatever the session zone.
     """
     source_of = {field.name: (mapping or {}).get(field.name, field.name) for field in TICKET_SCHEMA}
     unknown = set(mapping or {}) - set(source_of)
@@ -53,25 +57,22 @@ def read_tickets(
         raise ValueError(f"not ticket columns: {sorted(unknown)}")
     reader = spark.read
     if fmt == "json":
-        # Documents carry a zone ("...Z"): read an instant, then keep its wall-clock time in the session zone.
-        reader = reader.schema(
-            T.StructType(
-                [
-                    T.StructField(
-                        source_of[field.name],
-                        T.TimestampType() if isinstance(field.dataType, T.TimestampNTZType) else field.dataType,
-                    )
-                    for field in TICKET_SCHEMA
-                ]
-            )
-        )
-    source = reader.format(fmt).load(path)
-    present = set(source.columns)
-    return source.select(
-        *[
-            (F.col(f"`{source_of[field.name]}`") if source_of[field.name] in present else F.lit(None))
-            .cast(field.dataType)
-            .alias(field.name)
+        # Documents hold instants ("...Z"); text without a zone is taken as UTC too.
+        fields = [
+            T.StructField(source_of[field.name], T.TimestampType() if _is_time(field) else field.dataType)
             for field in TICKET_SCHEMA
         ]
-    )
+        reader = reader.schema(T.StructType(fields)).option("timeZone", "UTC")
+    source = reader.format(fmt).load(path)
+    kinds = dict(source.dtypes)
+
+    def column(field: T.StructField) -> Column:
+        name = source_of[field.name]
+        if name not in kinds:
+            return F.lit(None).cast(field.dataType)
+        value = F.col(f"`{name}`")
+        if _is_time(field) and kinds[name] == "timestamp":
+            return F.convert_timezone(F.current_timezone(), F.lit("UTC"), value.cast("timestamp_ntz"))
+        return value.cast(field.dataType)
+
+    return source.select(*[column(field).alias(field.name) for field in TICKET_SCHEMA])
