@@ -12,11 +12,11 @@ from tidemark.operators.funnel import with_conversion_rates
 def session_category(fact: DataFrame) -> DataFrame:
     """One category per session: that of its earliest event that has one."""
     order = ["event_ts", *(["event_id"] if "event_id" in fact.columns else []), "category_id"]
-    has_category = F.col("category_id").isNotNull()
+    first = F.min(F.when(F.col("category_id").isNotNull(), F.struct(*order)))
     return (
         fact.where(F.col("session_id").isNotNull())
         .groupBy("session_id")
-        .agg(F.min_by("category_id", F.when(has_category, F.struct(*order))).alias("category_id"))
+        .agg(first.getField("category_id").alias("category_id"))
     )
 
 

@@ -24,7 +24,7 @@ _DISTINCT_NAMES = {
 
 def _first_paid_price() -> Column:
     """Aggregate: price of the earliest revenue purchase, the lower one on equal times."""
-    return F.min_by("price", F.when(is_paid(), F.struct("event_ts", "price")))
+    return F.min(F.when(is_paid(), F.struct("event_ts", "price"))).getField("price")
 
 
 def _per_product(fact: DataFrame) -> DataFrame:
@@ -90,7 +90,7 @@ def purchase_dedup(fact: DataFrame) -> DataFrame:
         .groupBy(*SESSION, "product_id")
         .agg(
             F.min("event_ts").alias("first_purchase_ts"),
-            F.min_by("price", F.struct("event_ts", "price")).alias("first_purchase_price"),
+            _first_paid_price().alias("first_purchase_price"),
         )
     )
 
