@@ -15,7 +15,7 @@ from tidemark.plans.clickstream import EXPORTED, build_model, export_model
 from tidemark.plans.storage import scratch_dir, store
 from tidemark.plans.support import run_ticket_kpis
 from tidemark.sources.events import clean_raw_events, events_clean, read_events_csv
-from tidemark.sources.model import read_model
+from tidemark.sources.model import export_parquet, read_model
 from tidemark.sources.tickets import read_tickets
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -121,19 +121,19 @@ def _csv_round_trip(spark: SparkSession, sf: str) -> DataFrame:
     return raw.select(*[F.nullif(F.trim(F.col(c)), F.lit("")).alias(c) for c in raw.columns])
 
 
-def _stored_model(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
-    return build_model(_raw(spark, sf), f"{scratch_dir(spark)}/build")
+def _stored_counts(spark: SparkSession, sf: str) -> DataFrame:
+    return _row_counts(build_model(_raw(spark, sf), f"{scratch_dir(spark)}/build"))
 
 
 def _exported_counts(spark: SparkSession, sf: str) -> DataFrame:
     out = f"{scratch_dir(spark)}/export"
-    export_model(_stored_model(spark, sf), out)
+    export_model(build_model(_raw(spark, sf)), out)
     return _row_counts(read_model(spark, out, EXPORTED))
 
 
 def _read_model(spark: SparkSession, sf: str) -> DataFrame:
     out = f"{scratch_dir(spark)}/export"
-    export_model(_stored_model(spark, sf), out)
+    export_parquet({"agg_category_funnel": _category_funnel(_fact(spark, sf))}, out)
     return read_model(spark, out, ["agg_category_funnel"])["agg_category_funnel"]
 
 
@@ -213,7 +213,7 @@ QUERIES: dict[str, Query] = {
     "read_model_parquet": _read_model,
     "read_tickets": _read_tickets,
     "export_parquet": _exported_counts,
-    "build_clickstream_model": lambda spark, sf: _row_counts(_stored_model(spark, sf)),
+    "build_clickstream_model": _stored_counts,
     "run_all_ticket_kpis": _over_tickets(_all_ticket_kpis),
     # star schema
     "dim_date": _over_events(star.dim_date),
