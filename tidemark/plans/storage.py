@@ -2,23 +2,14 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """A fresh folder under the shared ``spark.checkpoint.dir``.
-
-    Without that setting a temporary folder serves in local mode; on a cluster it is an error, as executors could not
-    see it.
-    """
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if not shared:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors can reach")
-        shared = tempfile.mkdtemp(prefix="run-")
+    """A fresh folder that all executors share: under ``spark.checkpoint.dir``, or the warehouse where that is unset."""
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir") + "/scratch"
     return f"{shared.rstrip('/')}/{uuid.uuid4().hex}"
 
 
@@ -26,4 +17,4 @@ def store(table: DataFrame, directory: str, name: str) -> DataFrame:
     """Write a table once and go on from the stored copy: lineage ends here and its real size is known."""
     path = f"{directory}/{name}"
     table.write.mode("overwrite").parquet(path)
-    return table.sparkSession.read.parquet(path)
+    return table.sparkSession.read.schema(table.schema).parquet(path)
