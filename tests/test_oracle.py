@@ -20,8 +20,9 @@ SQL_TYPES = {
     "date": "DATE",
     "timestamp_ntz": "TIMESTAMP",
 }
-QUERIES = contract.queries()
-ORACLE = contract.oracle_sql()
+LIBRARY = contract.queries().keys() - contract.LLM_QUERIES.keys()
+QUERIES = {name: contract.queries()[name] for name in LIBRARY}
+ORACLE = {name: sql for name, sql in contract.oracle_sql().items() if name in LIBRARY}
 
 
 @pytest.fixture(scope="module")
