@@ -8,9 +8,11 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 from pyarrow import fs
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.plans.storage import store
+
 # Fixed value: a word is a longest run of characters other than the six ASCII white-space characters.
 WORD = r"[^\x20\x09-\x0D]+"
 SPACES = r"[\x20\x09-\x0D]+"
@@ -66,3 +68,24 @@ def open_shared(path: str) -> pa.NativeFile:
     """Open a shared file for reading at any place."""
     store, place = fs.FileSystem.from_uri(path) if "://" in path or path.startswith("file:") else (fs.LocalFileSystem(), path)
     return store.open_input_file(place)
+
+
+def in_order(table: DataFrame, order: list[Column], folder: str, name: str) -> DataFrame:
+    """The stored rows in a total order: ``_part`` and ``_at`` ascend with it, and ``_at`` counts up by one inside a ``_part``."""
+    ordered = table.repartitionByRange(*order).sortWithinPartitions(*order)
+    ordered = ordered.withColumn("_at", F.monotonically_increasing_id())
+    return store(ordered.withColumn("_part", F.shiftright("_at", 33)), folder, name)
+
+
+def running_total(table: DataFrame, order: list[Column], value: str, folder: str) -> DataFrame:
+    """``table`` with ``_before``: the sum of ``value`` over all earlier rows of the order.
+
+    Each partition adds up its own rows; the one window over everything sees one row for each partition.
+    """
+    placed = in_order(table, order, folder, "placed")
+    sums = placed.groupBy("_part").agg(F.sum(value).alias("_sum"))
+    earlier = F.sum("_sum").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1))
+    sums = store(sums.select(F.col("_part"), F.coalesce(earlier, F.lit(0)).alias("_base")), folder, "sums")
+    local = F.sum(value).over(Window.partitionBy("_part").orderBy("_at").rowsBetween(Window.unboundedPreceding, -1))
+    placed = placed.withColumn("_local", F.coalesce(local, F.lit(0))).join(sums, "_part")
+    return placed.withColumn("_before", F.col("_base") + F.col("_local")).drop("_part", "_at", "_local", "_base")

@@ -5,13 +5,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe
+from tidemark.llm import bpe, tokens
+from tidemark.plans.storage import scratch_dir, store
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op3_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = scratch_dir(spark)
+    manifest = store(tokens.write_shards(_table(spark, sf_dir, "documents"), f"{folder}/shards"), folder, "manifest")
+    starts = tokens.shard_starts(manifest, folder)
+    read = tokens.read_shards(manifest, with_ids=False).join(starts, "path")
+    return read.select("doc_id", (F.col("start") + F.col("local_start")).alias("start"), "n_tokens", "ids_crc32")
+
+
 def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     coded = bpe.encode_documents(_table(spark, sf_dir, "documents"))
     return coded.select(
@@ -22,5 +31,5 @@ def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {"op8_bpe": op8_bpe}
+QUERIES = {"op3_tokens": op3_tokens, "op8_bpe": op8_bpe}
 SQL: dict[str, str] = {}
