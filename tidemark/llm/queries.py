@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, tokens
+from tidemark.llm import bpe, simhash, tokens
 from tidemark.plans.storage import scratch_dir, store
 
 
@@ -31,5 +31,10 @@ def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {"op3_tokens": op3_tokens, "op8_bpe": op8_bpe}
+def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(_table(spark, sf_dir, "documents"), scratch_dir(spark))
+    return found.select("doc_id", simhash.hex_print(F.col("fp")).alias("fingerprint"), "component_id")
+
+
+QUERIES = {"op3_tokens": op3_tokens, "op8_bpe": op8_bpe, "op10_simhash": op10_simhash}
 SQL: dict[str, str] = {}
