@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, simhash, tokens
+from tidemark.llm import bpe, simhash, tokens, warc
 from tidemark.plans.storage import scratch_dir, store
 
 
@@ -21,6 +21,12 @@ def op3_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read.select("doc_id", (F.col("start") + F.col("local_start")).alias("start"), "n_tokens", "ids_crc32")
 
 
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = scratch_dir(spark)
+    index = store(warc.write_archives(_table(spark, sf_dir, "pages"), f"{folder}/archives"), folder, "index")
+    return warc.read_archives(warc.frames_of(index), with_payload=False).drop("url")
+
+
 def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     coded = bpe.encode_documents(_table(spark, sf_dir, "documents"))
     return coded.select(
@@ -36,5 +42,5 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.hex_print(F.col("fp")).alias("fingerprint"), "component_id")
 
 
-QUERIES = {"op3_tokens": op3_tokens, "op8_bpe": op8_bpe, "op10_simhash": op10_simhash}
+QUERIES = {"op3_tokens": op3_tokens, "op6_warc": op6_warc, "op8_bpe": op8_bpe, "op10_simhash": op10_simhash}
 SQL: dict[str, str] = {}
