@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, simhash, tokens, warc
+from tidemark.llm import bpe, simhash, tokens, urls, warc
 from tidemark.plans.storage import scratch_dir, store
 
 
@@ -27,6 +27,14 @@ def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read_archives(warc.frames_of(index), with_payload=False).drop("url")
 
 
+def op7_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The labels of the document with the page's number serve as the page's outcome: bad if of low quality or toxic."""
+    bad = ((F.col("quality") == 0) | (F.col("toxic") == 1)).cast("int").alias("bad")
+    outcomes = _table(spark, sf_dir, "labels").select(F.col("doc_id").alias("page_id"), bad)
+    found = urls.judge(_table(spark, sf_dir, "pages"), outcomes, scratch_dir(spark))
+    return found.select("page_id", "host", "path", "rule", "verdict")
+
+
 def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     coded = bpe.encode_documents(_table(spark, sf_dir, "documents"))
     return coded.select(
@@ -42,5 +50,51 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.hex_print(F.col("fp")).alias("fingerprint"), "component_id")
 
 
-QUERIES = {"op3_tokens": op3_tokens, "op6_warc": op6_warc, "op8_bpe": op8_bpe, "op10_simhash": op10_simhash}
-SQL: dict[str, str] = {}
+QUERIES = {"op3_tokens": op3_tokens, "op6_warc": op6_warc, "op7_urls": op7_urls, "op8_bpe": op8_bpe, "op10_simhash": op10_simhash}
+# Which url's host has been seen with which outcomes, shrunk level by level as in ``urls.reputations``.
+_STRENGTH = """
+  SELECT 1 / greatest(0.001, least(0.5, CASE WHEN g < 2 OR k = 0 OR k = n OR n - q / n - (g - 1) <= 0 THEN 0.5
+      ELSE ((s - k * k / n) / (k / n * (1 - k / n)) - (g - 1)) / (n - q / n - (g - 1)) END)) - 1 AS w
+  FROM (SELECT sum(k) k, sum(n) n, sum(n * n) q, count(*)::DOUBLE g, sum(k * k / n) s FROM {level})
+"""
+_POSTERIOR = """
+  SELECT {key}, m, m * (1 - m) / (total + 1) AS v
+  FROM (SELECT *, (k + prior * w) / (n + w) AS m, n + w AS total FROM {level} JOIN ({parent}) USING ({on}) CROSS JOIN {level}_w)
+"""
+_OP7 = f"""
+WITH parsed AS (
+  SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages
+), cut AS (
+  SELECT page_id, translate(regexp_extract(rest, '^([^/?#]*)([^?#]*)', 1), '{urls.UPPER}', '{urls.LOWER}') AS host,
+    regexp_extract(rest, '^([^/?#]*)([^?#]*)', 2) AS path
+  FROM parsed
+), page AS (
+  SELECT *, regexp_extract(host, '([^.]*[.])?[^.]*$', 0) AS domain, regexp_extract(host, '[^.]*$', 0) AS suffix FROM cut
+), hosts AS (
+  SELECT host, any_value(domain) AS domain, any_value(suffix) AS suffix, count(*)::DOUBLE AS n,
+    sum(CASE WHEN quality = 0 OR toxic = 1 THEN 1 ELSE 0 END)::DOUBLE AS k
+  FROM page JOIN labels ON doc_id = page_id WHERE quality = 0 OR toxic = 1 OR (quality IS NOT NULL AND toxic IS NOT NULL)
+  GROUP BY host
+), domains AS (
+  SELECT domain, any_value(suffix) AS suffix, sum(n) AS n, sum(k) AS k FROM hosts GROUP BY domain
+), suffixes AS (
+  SELECT suffix, 1 AS one, sum(n) AS n, sum(k) AS k FROM domains GROUP BY suffix
+), hosts_w AS ({_STRENGTH.format(level="hosts")}), domains_w AS ({_STRENGTH.format(level="domains")}),
+suffixes_w AS ({_STRENGTH.format(level="suffixes")}),
+s AS ({_POSTERIOR.format(key="suffix", level="suffixes", parent="SELECT 1 AS one, sum(k) / sum(n) AS prior FROM suffixes", on="one")}),
+d AS ({_POSTERIOR.format(key="domain", level="domains", parent="SELECT suffix, m AS prior FROM s", on="suffix")}),
+h AS ({_POSTERIOR.format(key="host", level="hosts", parent="SELECT domain, m AS prior FROM d", on="domain")}),
+rated AS (
+  SELECT page.*, coalesce(h.m, d.m, s.m) - 1.645 * sqrt(coalesce(h.v, d.v, s.v)) AS bound,
+    CASE WHEN ('.' || host) LIKE '%.example.net' AND path LIKE '/en/%' THEN 'example.net/en/'
+      WHEN ('.' || host) LIKE '%.example.com' AND path LIKE '/de/%' THEN 'example.com/de/'
+      WHEN ('.' || host) LIKE '%.org' AND path LIKE '/fr/%' THEN 'org/fr/'
+      WHEN ('.' || host) LIKE '%.net' AND path LIKE '/%' THEN 'net/' END AS rule
+  FROM page LEFT JOIN h USING (host) LEFT JOIN d USING (domain) LEFT JOIN s USING (suffix)
+)
+SELECT page_id, host, path, rule, CASE WHEN rule IN ('net/', 'example.com/de/') THEN 'block' WHEN rule IS NOT NULL THEN 'allow'
+  WHEN coalesce(bound, 0) > 0.5 THEN 'block' ELSE 'allow' END AS verdict
+FROM rated
+"""
+
+SQL: dict[str, str] = {"op7_urls": _OP7}
