@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, simhash, tokens, urls, warc
+from tidemark.llm import bpe, mixing, simhash, tokens, urls, warc
 from tidemark.plans.storage import scratch_dir, store
 
 
@@ -13,6 +13,12 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = mixing.mix(_table(spark, sf_dir, "documents"), scratch_dir(spark), ["doc_id"])
+    taken = (F.col("copies") * F.col("size")).alias("taken")
+    return found.select("_row.doc_id", "size", "source_size", "target", taken)
+
+
 def op3_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = scratch_dir(spark)
     manifest = store(tokens.write_shards(_table(spark, sf_dir, "documents"), f"{folder}/shards"), folder, "manifest")
@@ -50,7 +56,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.hex_print(F.col("fp")).alias("fingerprint"), "component_id")
 
 
-QUERIES = {"op3_tokens": op3_tokens, "op6_warc": op6_warc, "op7_urls": op7_urls, "op8_bpe": op8_bpe, "op10_simhash": op10_simhash}
+QUERIES = {"op1_mixing": op1_mixing, "op3_tokens": op3_tokens, "op6_warc": op6_warc, "op7_urls": op7_urls, "op8_bpe": op8_bpe, "op10_simhash": op10_simhash}
 # Which url's host has been seen with which outcomes, shrunk level by level as in ``urls.reputations``.
 _STRENGTH = """
   SELECT 1 / greatest(0.001, least(0.5, CASE WHEN g < 2 OR k = 0 OR k = n OR n - q / n - (g - 1) <= 0 THEN 0.5
@@ -97,4 +103,29 @@ SELECT page_id, host, path, rule, CASE WHEN rule IN ('net/', 'example.com/de/')
 FROM rated
 """
 
-SQL: dict[str, str] = {"op7_urls": _OP7}
+_OP1 = r"""
+WITH sized AS (
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size FROM documents
+), per AS (
+  SELECT source, sum(size)::BIGINT AS source_size, 3.0 * sum(size)::DOUBLE AS most,
+    CASE (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 WHEN 0 THEN 5.0::DOUBLE WHEN 1 THEN 2.0 ELSE 1.0 END AS weight
+  FROM sized GROUP BY source
+), levels AS (
+  SELECT *, (sum(source_size::DOUBLE) OVER () - coalesce(sum(most::DOUBLE) OVER w, 0)) / (sum(weight) OVER () - coalesce(sum(weight) OVER w, 0))
+      AS level, row_number() OVER (ORDER BY most / weight, source NULLS LAST) AS place
+  FROM per WINDOW w AS (ORDER BY most / weight, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+), water AS (
+  SELECT level FROM levels WHERE level < most / weight ORDER BY place LIMIT 1
+), targets AS (
+  SELECT source, source_size, least(most, coalesce((SELECT level FROM water) * weight, most))::DOUBLE AS target,
+    ('0x' || substr(md5('mix|' || coalesce('=' || source, 'null')), 1, 8))::BIGINT::DOUBLE / 4294967296 AS u
+  FROM levels
+), ranked AS (
+  SELECT sized.*, source_size, target, u, (row_number() OVER (PARTITION BY sized.source ORDER BY size DESC, doc_id))::DOUBLE AS place,
+    CASE WHEN source_size > 0 THEN target / source_size ELSE 0 END AS rate
+  FROM sized JOIN targets ON sized.source IS NOT DISTINCT FROM targets.source
+)
+SELECT doc_id, size, source_size, target, ((floor(place * rate + u) - floor((place - 1) * rate + u)) * size)::BIGINT AS taken FROM ranked
+"""
+
+SQL: dict[str, str] = {"op1_mixing": _OP1, "op7_urls": _OP7}
