@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, edits, mixing, simhash, tokens, urls, warc
+from tidemark.llm import bpe, edits, html, mixing, simhash, tokens, urls, warc
 from tidemark.plans.storage import scratch_dir, store
 
 
@@ -19,6 +19,12 @@ def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("_row.doc_id", "size", "source_size", "target", taken)
 
 
+def op2_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = _table(spark, sf_dir, "pages")
+    found = html.extract(pages, html.train(pages))
+    return found.withColumn("n_chars", F.length("text").cast("long"))
+
+
 def op3_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = scratch_dir(spark)
     manifest = store(tokens.write_shards(_table(spark, sf_dir, "documents"), f"{folder}/shards"), folder, "manifest")
@@ -60,7 +66,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.hex_print(F.col("fp")).alias("fingerprint"), "component_id")
 
 
-QUERIES = {"op1_mixing": op1_mixing, "op3_tokens": op3_tokens, "op5_edits": op5_edits, "op6_warc": op6_warc, "op7_urls": op7_urls, "op8_bpe": op8_bpe, "op10_simhash": op10_simhash}
+QUERIES = {"op1_mixing": op1_mixing, "op2_html": op2_html, "op3_tokens": op3_tokens, "op5_edits": op5_edits, "op6_warc": op6_warc, "op7_urls": op7_urls, "op8_bpe": op8_bpe, "op10_simhash": op10_simhash}
 # Which url's host has been seen with which outcomes, shrunk level by level as in ``urls.reputations``.
 _STRENGTH = """
   SELECT 1 / greatest(0.001, least(0.5, CASE WHEN g < 2 OR k = 0 OR k = n OR n - q / n - (g - 1) <= 0 THEN 0.5
