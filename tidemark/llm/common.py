@@ -89,3 +89,21 @@ def running_total(table: DataFrame, order: list[Column], value: str, folder: str
     local = F.sum(value).over(Window.partitionBy("_part").orderBy("_at").rowsBetween(Window.unboundedPreceding, -1))
     placed = placed.withColumn("_local", F.coalesce(local, F.lit(0))).join(sums, "_part")
     return placed.withColumn("_before", F.col("_base") + F.col("_local")).drop("_part", "_at", "_local", "_base")
+
+
+def beta_strength(counts: DataFrame) -> float:
+    """How many pseudo-outcomes a parent's rate is worth to its children: method of moments of the beta-binomial.
+
+    The intra-class correlation of the groups (k bad of n) is held between 0.001 and 0.5; without groups to compare it is 0.5.
+    """
+    total = counts.where("n > 0").agg(F.sum("k"), F.sum("n"), F.sum(F.col("n") * F.col("n")), F.count(F.lit(1)), F.sum(F.col("k") * F.col("k") / F.col("n"))).first()
+    k, n, squares, groups, spread = (float(v or 0) for v in total)
+    rate = k / n if n else 0.0
+    if groups < 2 or rate in (0.0, 1.0):
+        correlation = 0.5
+    else:
+        between = spread - n * rate * rate
+        room = n - squares / n - (groups - 1)
+        correlation = (between / (rate * (1 - rate)) - (groups - 1)) / room if room > 0 else 0.5
+    correlation = min(0.5, max(0.001, correlation))
+    return 1 / correlation - 1

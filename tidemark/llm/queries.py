@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, edits, html, mixing, simhash, tokens, urls, warc
+from tidemark.llm import bpe, edits, html, mixing, quality, simhash, tokens, urls, warc
 from tidemark.plans.storage import scratch_dir, store
 
 
@@ -33,6 +33,16 @@ def op3_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read.select("doc_id", (F.col("start") + F.col("local_start")).alias("start"), "n_tokens", "ids_crc32")
 
 
+def good_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _table(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("good"))
+
+
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The source of a document is its host, its language the path in it."""
+    found = quality.classify(_table(spark, sf_dir, "documents"), good_labels(spark, sf_dir), scratch_dir(spark), keep=["doc_id"])
+    return found.select("_row.doc_id", "evidence", "host_posterior", "path_posterior", "posterior", "kept")
+
+
 def op5_edits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return edits.fingerprint_edits(_table(spark, sf_dir, "documents"), scratch_dir(spark))
 
@@ -66,7 +76,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.hex_print(F.col("fp")).alias("fingerprint"), "component_id")
 
 
-QUERIES = {"op1_mixing": op1_mixing, "op2_html": op2_html, "op3_tokens": op3_tokens, "op5_edits": op5_edits, "op6_warc": op6_warc, "op7_urls": op7_urls, "op8_bpe": op8_bpe, "op10_simhash": op10_simhash}
+QUERIES = {"op1_mixing": op1_mixing, "op2_html": op2_html, "op3_tokens": op3_tokens, "op4_quality": op4_quality, "op5_edits": op5_edits, "op6_warc": op6_warc, "op7_urls": op7_urls, "op8_bpe": op8_bpe, "op10_simhash": op10_simhash}
 # Which url's host has been seen with which outcomes, shrunk level by level as in ``urls.reputations``.
 _STRENGTH = """
   SELECT 1 / greatest(0.001, least(0.5, CASE WHEN g < 2 OR k = 0 OR k = n OR n - q / n - (g - 1) <= 0 THEN 0.5

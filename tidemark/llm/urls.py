@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.common import beta_strength
 from tidemark.plans.storage import store
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -34,24 +35,6 @@ def suffix(host: Column) -> Column:
     return F.substring_index(host, ".", -1)
 
 
-def _strength(counts: DataFrame) -> float:
-    """How many pseudo-outcomes a parent's rate is worth to its children: method of moments of the beta-binomial.
-
-    The intra-class correlation of the groups (k bad of n) is held between 0.001 and 0.5; without groups to compare it is 0.5.
-    """
-    total = counts.where("n > 0").agg(F.sum("k"), F.sum("n"), F.sum(F.col("n") * F.col("n")), F.count(F.lit(1)), F.sum(F.col("k") * F.col("k") / F.col("n"))).first()
-    k, n, squares, groups, spread = (float(v or 0) for v in total)
-    rate = k / n if n else 0.0
-    if groups < 2 or rate in (0.0, 1.0):
-        correlation = 0.5
-    else:
-        between = spread - n * rate * rate
-        room = n - squares / n - (groups - 1)
-        correlation = (between / (rate * (1 - rate)) - (groups - 1)) / room if room > 0 else 0.5
-    correlation = min(0.5, max(0.001, correlation))
-    return 1 / correlation - 1
-
-
 def reputations(outcomes: DataFrame, folder: str) -> tuple[DataFrame, DataFrame, DataFrame, float]:
     """Posterior means and variances of the bad rate of hosts, domains and suffixes, and the overall rate.
 
@@ -71,11 +54,11 @@ def reputations(outcomes: DataFrame, folder: str) -> tuple[DataFrame, DataFrame,
         mean = a / (a + b)
         return table.withColumns({f"{name}_mean": mean, f"{name}_var": mean * (1 - mean) / (a + b + 1)})
 
-    suffixes = store(posterior(suffixes, F.lit(overall), _strength(suffixes), "suffix").select("suffix", "suffix_mean", "suffix_var"), folder, "suffix_rates")
+    suffixes = store(posterior(suffixes, F.lit(overall), beta_strength(suffixes), "suffix").select("suffix", "suffix_mean", "suffix_var"), folder, "suffix_rates")
     domains = domains.withColumn("suffix", suffix(F.col("domain"))).join(suffixes, "suffix")
-    domains = store(posterior(domains, F.col("suffix_mean"), _strength(domains), "domain").select("domain", "domain_mean", "domain_var"), folder, "domain_rates")
+    domains = store(posterior(domains, F.col("suffix_mean"), beta_strength(domains), "domain").select("domain", "domain_mean", "domain_var"), folder, "domain_rates")
     hosts = hosts.withColumn("domain", registered_domain(F.col("host"))).join(domains, "domain")
-    hosts = store(posterior(hosts, F.col("domain_mean"), _strength(hosts), "host").select("host", "host_mean", "host_var"), folder, "host_rates")
+    hosts = store(posterior(hosts, F.col("domain_mean"), beta_strength(hosts), "host").select("host", "host_mean", "host_var"), folder, "host_rates")
     return hosts, domains, suffixes, overall
 
 
