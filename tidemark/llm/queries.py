@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, edits, html, mixing, quality, simhash, tokens, urls, warc
+from tidemark.llm import bpe, edits, html, mixing, quality, rules, simhash, tokens, urls, warc
 from tidemark.plans.storage import scratch_dir, store
 
 
@@ -71,12 +71,21 @@ def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def trusted_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _table(spark, sf_dir, "labels").where("quality = 1").select("doc_id")
+
+
+def op9_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = rules.judge(_table(spark, sf_dir, "documents"), trusted_documents(spark, sf_dir), scratch_dir(spark), keep=["doc_id"])
+    return found.select("_row.doc_id", *found.columns[1:])
+
+
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(_table(spark, sf_dir, "documents"), scratch_dir(spark))
     return found.select("doc_id", simhash.hex_print(F.col("fp")).alias("fingerprint"), "component_id")
 
 
-QUERIES = {"op1_mixing": op1_mixing, "op2_html": op2_html, "op3_tokens": op3_tokens, "op4_quality": op4_quality, "op5_edits": op5_edits, "op6_warc": op6_warc, "op7_urls": op7_urls, "op8_bpe": op8_bpe, "op10_simhash": op10_simhash}
+QUERIES = {"op1_mixing": op1_mixing, "op2_html": op2_html, "op3_tokens": op3_tokens, "op4_quality": op4_quality, "op5_edits": op5_edits, "op6_warc": op6_warc, "op7_urls": op7_urls, "op8_bpe": op8_bpe, "op9_rules": op9_rules, "op10_simhash": op10_simhash}
 # Which url's host has been seen with which outcomes, shrunk level by level as in ``urls.reputations``.
 _STRENGTH = """
   SELECT 1 / greatest(0.001, least(0.5, CASE WHEN g < 2 OR k = 0 OR k = n OR n - q / n - (g - 1) <= 0 THEN 0.5
