@@ -41,6 +41,7 @@ class Wavelet:
     @classmethod
     def build(cls, ids: np.ndarray, width: int) -> Wavelet:
         zeros, ranks, planes = [], [], []
+        ids = ids.astype(np.uint16 if width <= 16 else np.uint32)
         for level in range(width - 1, -1, -1):
             bits = ((ids >> level) & 1).astype(bool)
             packed = np.packbits(bits, bitorder="little")
@@ -101,15 +102,14 @@ class Wavelet:
         return at
 
     def decode(self) -> np.ndarray:
-        """All ids in order, by undoing the planes from the last."""
-        at = np.arange(self.n)
-        values = np.zeros(self.n, dtype=np.int32)
-        for plane, zeros in enumerate(self.zeros.tolist()):
-            bits = np.unpackbits(self.planes[plane], count=self.n, bitorder="little").astype(bool)
-            ones = np.cumsum(bits) - bits
-            here = bits[at]
-            values = values << 1 | here
-            at = np.where(here, zeros + ones[at], at - ones[at])
+        """All ids in order, by undoing the planes from the last: its zeros and ones go back to their places in the plane before."""
+        values = np.zeros(self.n, dtype=np.uint16 if len(self.planes) <= 16 else np.uint32)
+        for level, (plane, zeros) in enumerate(zip(reversed(self.planes), reversed(self.zeros.tolist()))):
+            bits = np.unpackbits(plane, count=self.n, bitorder="little").view(bool)
+            before = np.empty_like(values)
+            before[~bits] = values[:zeros]
+            before[bits] = values[zeros:] | values.dtype.type(1 << level)
+            values = before
         return values
 
 
@@ -260,4 +260,5 @@ def read_shards(manifest: DataFrame, with_ids: bool = True) -> DataFrame:
 
     schema = READ + ", ids array<int>" * with_ids
     names = [part.split()[0] for part in schema.split(", ")]
-    return manifest.select("path").repartition("path").mapInArrow(run, schema)
+    shards = manifest.count()  # one task for each file; without a number, small rows would be put into one task
+    return manifest.select("path").repartition(max(1, shards), "path").mapInArrow(run, schema)
