@@ -131,7 +131,11 @@ def judge(docs: DataFrame, trusted: DataFrame, folder: str, keep: list[str] | No
     rows = measures(packed(docs, F.col("text").cast("string").alias("text")).select(row, "text"))
     total = F.aggregate(_buckets(F.col("_words"), orders), F.lit(0.0), lambda acc, bucket: acc + F.get(weights, bucket))
     grams = sum((F.greatest(F.size("_words") - (n - 1), F.lit(0)) for n in orders), F.lit(0))
-    rows = rows.withColumn("score", F.when(grams > 0, total / grams).otherwise(0.0)).withColumn("kept", ~F.col("base_failed") & (F.col("score") >= threshold))
+    rows = rows.withColumn("score", F.when(grams > 0, total / grams).otherwise(0.0))
+    # A filter on the verdict must not be moved below the measures, where each use of the words would split the text anew; it stays
+    # above a column that depends on the partition's number.
+    kept = ~F.col("base_failed") & (F.col("score") >= threshold) & (F.spark_partition_id() >= 0)
+    rows = rows.withColumn("kept", kept)
     return rows.select("_row", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "score", "kept")
 
 
