@@ -29,9 +29,9 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: in
     everything = Window.partitionBy()
     left = F.sum(F.col("source_size").cast("double")).over(everything) - F.coalesce(F.sum("most").over(earlier), F.lit(0.0))
     open_weight = F.sum("weight").over(everything) - F.coalesce(F.sum("weight").over(earlier), F.lit(0.0))
-    table = table.withColumn("level", left / open_weight)
+    table = table.withColumns({"level": left / open_weight, "place": F.row_number().over(by_ratio)})
     fits = F.col("level") < F.col("most") / F.col("weight")
-    level = F.min(F.when(fits, F.struct(F.col("most") / F.col("weight"), F.col("level").alias("level")))).over(everything)["level"]
+    level = F.min(F.when(fits, F.struct("place", "level"))).over(everything)["level"]
     target = F.when(F.col("most") <= F.coalesce(level, F.lit(float("inf"))) * F.col("weight"), F.col("most"))
     return table.withColumn("target", F.coalesce(target, level * F.col("weight"))).select("source", "source_size", "target")
 
