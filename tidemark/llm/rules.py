@@ -84,14 +84,17 @@ def measures(rows: DataFrame) -> DataFrame:
 
 def _buckets(found: Column, orders: tuple[int, ...]) -> Column:
     """Bucket of every n-gram of the given orders."""
-    grams = []
-    for n in orders:
+
+    def hashed(*parts: Column) -> Column:
+        return F.pmod(F.xxhash64(*parts), F.lit(BUCKETS)).cast("int")
+
+    def grams(n: int) -> Column:
         if n == 1:
-            grams.append(F.transform(found, lambda w: F.pmod(F.xxhash64(w), F.lit(BUCKETS)).cast("int")))
-        else:
-            places = F.when(F.size(found) >= n, F.sequence(F.lit(0), F.size(found) - n)).otherwise(F.array().cast("array<int>"))
-            grams.append(F.transform(places, lambda k, n=n: F.pmod(F.xxhash64(*[F.get(found, k + i) for i in range(n)]), F.lit(BUCKETS)).cast("int")))
-    return F.concat(*grams) if len(grams) > 1 else grams[0]
+            return F.transform(found, lambda word: hashed(word))
+        places = F.when(F.size(found) >= n, F.sequence(F.lit(0), F.size(found) - n)).otherwise(F.array().cast("array<int>"))
+        return F.transform(places, lambda k: hashed(*[F.get(found, k + i) for i in range(n)]))
+
+    return F.concat(*map(grams, orders)) if len(orders) > 1 else grams(*orders)
 
 
 def ratios(docs: DataFrame, trusted: DataFrame, folder: str, orders: tuple[int, ...] = (1,), sample: int = 20_000, smooth: float = 10_000.0) -> Column:
