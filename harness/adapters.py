@@ -43,13 +43,15 @@ def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def raw_event_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
+def raw_event_strings(spark: SparkSession, sf_dir: str, odd_brands: bool = False) -> DataFrame:
     """The nine CSV columns as text, with the blemishes the cleaning step must cope with.
 
     Every 11th time has microseconds and no zone, every 97th product id is in exponent notation, every 101st price
-    and every 103rd user is no number.
+    and every 103rd user is no number. With ``odd_brands`` every 10th brand has quotes, a comma and a backslash.
     """
     event_id = F.col("event_id")
+    brand = F.coalesce("brand", F.lit(""))
+    odd = F.concat(F.lit('a "'), brand, F.lit('", \\ inc'))
     second = F.concat(F.date_format("event_ts", "yyyy-MM-dd HH:mm:ss"), F.lit(" UTC"))
     micros = F.date_format("event_ts", "yyyy-MM-dd HH:mm:ss.SSSSSS")
     return (
@@ -62,7 +64,7 @@ def raw_event_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
             ),
             F.col("category_id").cast("string").alias("category_id"),
             F.coalesce("category_code", F.lit(" ")).alias("category_code"),
-            F.coalesce("brand", F.lit("")).alias("brand"),
+            (F.when(event_id % 10 == 0, odd).otherwise(brand) if odd_brands else brand).alias("brand"),
             F.when(event_id % 101 == 0, F.lit("n/a")).otherwise(F.col("price").cast("string")).alias("price"),
             F.when(event_id % 103 == 0, F.lit("?")).otherwise(F.col("user_id").cast("string")).alias("user_id"),
             F.coalesce("user_session", F.lit("")).alias("user_session"),

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from harness.queries import AS_OF, PLACES, RANGE
+from harness.queries import AS_OF, BRANDS, CONTENT_PLACES, CUT_DAY, PLACES, RANGE
 from tidemark.plans.clickstream import EXPORTED
 
 STEPS = ("view", "cart", "purchase")
@@ -38,7 +38,7 @@ PAID = "event_type = 'purchase' AND price > 0"
 DEDUP = f"""
 ranked AS (
   SELECT session_id, user_id, product_id, event_ts, price,
-         row_number() OVER (PARTITION BY session_id, user_id, product_id ORDER BY event_ts, price) AS nth
+         row_number() OVER (PARTITION BY session_id, user_id, product_id ORDER BY event_ts, event_id) AS nth
   FROM clicks WHERE session_id IS NOT NULL AND {PAID}
 ),
 firsts AS (
@@ -328,40 +328,40 @@ def _query(ctes: str, select: str, doubles: tuple[str, ...] = ()) -> str:
     return f"WITH {ctes.strip()}\nSELECT {shown} FROM (\n{select}\n) AS result"
 
 
-def _counts(parts: dict[str, str]) -> str:
-    return "\nUNION ALL\n".join(
-        f"SELECT '{name}' AS table_name, (SELECT count(*) FROM {rows}) AS row_count" for name, rows in parts.items()
-    )
-
-
-_EXPORT_ROWS = {
-    "fct_session_funnel": "funnel",
-    "cohort_retention_summary": "summary",
-    "cohort_retention_curve": "curve",
-    "agg_category_funnel": "per_category",
-    "agg_brand_revenue": f"(SELECT DISTINCT brand FROM clicks WHERE brand IS NOT NULL AND {PAID} LIMIT 200)",
-    "daily_event_counts": "(SELECT DISTINCT event_date, event_type FROM clicks)",
+def _content(tables: dict[str, str]) -> str:
+    """For every column of every table: how many values it has and the sum of those that are numbers."""
+    parts = [
+        f"""SELECT '{name}' AS table_name, column_name, filled, round(total, {CONTENT_PLACES}) AS total
+FROM (SELECT count(COLUMNS('(.*)')) AS "\\1" FROM ({rows})) UNPIVOT (filled FOR column_name IN (*))
+JOIN (SELECT * FROM (SELECT sum(TRY_CAST(CAST(COLUMNS('(.*)') AS VARCHAR) AS DOUBLE)) AS "\\1" FROM ({rows}))
+  UNPIVOT INCLUDE NULLS (total FOR column_name IN (*))) USING (column_name)"""
+        for name, rows in tables.items()
+    ]
+    return "\nUNION ALL\n".join(parts)
+
+
+# Which registered query gives a table of the whole builds.
+_MODEL_TABLES = {
+    "fct_session_funnel": "session_funnel",
+    "cohort_retention_summary": "cohort_retention_summary",
+    "cohort_retention_curve": "cohort_retention_curve",
+    "agg_category_funnel": "category_funnel",
+    "agg_brand_revenue": "brand_revenue",
+    "daily_event_counts": "daily_event_counts",
+    "fact_events": "fact_events",
+    "dim_date": "dim_date",
+    "dim_user": "dim_user",
+    "dim_category": "dim_category",
+    "dim_product": "dim_product",
+    "dim_session": "dim_session",
+    "fct_user_daily_purchases": "user_daily_purchases",
+    "dim_user_purchase_cohort": "user_purchase_cohort",
+    "fct_cohort_activity": "cohort_activity",
 }
-_MODEL_ROWS = {
-    **_EXPORT_ROWS,
-    "dim_date": "(SELECT DISTINCT event_date FROM clicks)",
-    "dim_user": "(SELECT DISTINCT user_id FROM clicks)",
-    "dim_category": "(SELECT DISTINCT category_id FROM clicks)",
-    "dim_product": "(SELECT DISTINCT product_id FROM clicks)",
-    "dim_session": "visits",
-    "fact_events": "clicks",
-    "fct_user_daily_purchases": "buys",
-    "dim_user_purchase_cohort": "starts",
-    "fct_cohort_activity": "activity",
-}
-# The two chains share the first table expression, which must be defined once.
-_WHOLE_MODEL = CATEGORIES + CURVE.removeprefix(CLICKS)
-
-
-def _range_groups(columns: str) -> str:
-    return f"(SELECT DISTINCT {columns} FROM marked WHERE {IN_RANGE})"
-
-
+_KPI_TABLES = (
+    "executive_summary daily_created daily_resolved backlog_snapshot daily_kpis queue_performance agent_performance "
+    "priority_sla channel_analysis category_pain_points backlog_aging data_quality"
+).split()
 _AGE = f"date_diff('day', CAST(issue_created AS DATE), DATE '{AS_OF}')"
 _AGED = f"""{TICKETS},
 aged AS (
@@ -374,28 +374,23 @@ aged AS (
   FROM marked WHERE is_open
 )"""
 
-_KPI_ROWS = {
-    "executive_summary": f"(SELECT 1 FROM marked WHERE {IN_RANGE} LIMIT 1)",
-    "daily_created": _range_groups("created_day"),
-    "daily_resolved": f"(SELECT DISTINCT resolved_day FROM marked WHERE resolved_day IS NOT NULL AND {IN_RANGE})",
-    "backlog_snapshot": "(SELECT 1)",
-    "daily_kpis": f"(SELECT created_day FROM marked WHERE {IN_RANGE} UNION"
-    f" SELECT resolved_day FROM marked WHERE resolved_day IS NOT NULL AND {IN_RANGE})",
-    "queue_performance": _range_groups("queue_name"),
-    "agent_performance": _range_groups("assigned_agent"),
-    "priority_sla": _range_groups("issue_priority"),
-    "channel_analysis": _range_groups("channel"),
-    "category_pain_points": _range_groups("category, subcategory"),
-    "backlog_aging": "(SELECT DISTINCT aging_bucket FROM aged)",
-    "data_quality": "generate_series(1, 6)",
-}
-
+# The ticket KPIs of a date range read the live tickets of that range.
+_LIVE = "WHERE deleted_flag IS NOT TRUE"
 _RETURNS = """
 returned AS (
   SELECT cohort_date, user_id, min(CASE WHEN days_since > 0 THEN days_since END) AS back
   FROM activity GROUP BY ALL
 )"""
 
+# The text columns as written: blanks and all, and some brands with quotes, commas and backslashes; empty fields are NULL.
+_WRITTEN = """SELECT event_time, '  ' || event_type || ' ' AS event_type, product_id, category_id,
+       coalesce(category_code, ' ') AS category_code,
+       CASE WHEN event_id % 10 = 0 THEN 'a "' || coalesce(brand, '') || '", \\ inc' ELSE brand END AS brand,
+       price, user_id, user_session
+FROM raw_text"""
+_BRANDS = f"""SELECT brand, count(DISTINCT session_id) AS purchase_sessions, sum(price) AS revenue_gross,
+       avg(price) AS avg_item_price
+FROM clicks WHERE {PAID} AND brand IS NOT NULL GROUP BY brand"""
 _SUMMARY_RATES = ("retention_d1", "retention_d7", "retention_d30")
 _FUNNEL_DOUBLES = ("session_revenue_gross", "session_revenue_dedup_product", "aov_session_proxy")
 
@@ -435,12 +430,29 @@ FROM per_day""",
 
 
 def sql() -> dict[str, str]:
+    """Check SQL of every registered query; that of whole builds reads the SQL of their tables."""
+    found = _tables()
+    return found | {
+        "export_parquet": _content({name: found[_MODEL_TABLES[name]] for name in EXPORTED}),
+        "build_clickstream_model": _content({name: found[key] for name, key in _MODEL_TABLES.items()}),
+        "run_all_ticket_kpis": _content(
+            {
+                name: found[f"ticket_{name}"]
+                if name in ("backlog_aging", "data_quality")
+                else found[f"ticket_{name}"].replace(_LIVE, f"{_LIVE} AND {IN_RANGE}")
+                for name in _KPI_TABLES
+            }
+        ),
+    }
+
+
+def _tables() -> dict[str, str]:
     clicks = f"{CLICKS}"
     heat = ", ".join(f"max(CASE WHEN days_since = {n} THEN retention_rate END) AS day_{n}" for n in range(31))
     curve_columns = "days_since, active_users, cohort_users, retention_weighted"
     return {
         # sources, sinks, whole builds
-        "read_events_csv": _query(RAW_TEXT, "SELECT * EXCLUDE (event_id) FROM raw_text"),
+        "read_events_csv": _query(RAW_TEXT, _WRITTEN),
         "clean_raw_events": _query(
             clicks,
             """
@@ -456,10 +468,7 @@ FROM clicks""",
         ),
         "events_clean": _query(clicks, "SELECT * FROM clicks", ("price",)),
         "read_model_parquet": _query(CATEGORIES, "SELECT * FROM per_category", ("revenue_dedup", "revenue_gross")),
-        "read_tickets": _query(TICKETS, "SELECT * REPLACE (CAST(ticket_id AS VARCHAR) AS ticket_id) FROM tickets"),
-        "export_parquet": _query(_WHOLE_MODEL, _counts({name: _EXPORT_ROWS[name] for name in EXPORTED})),
-        "build_clickstream_model": _query(_WHOLE_MODEL, _counts(_MODEL_ROWS)),
-        "run_all_ticket_kpis": _query(_AGED, _counts(_KPI_ROWS)),
+        "read_tickets": _query(TICKETS, "SELECT * REPLACE (CAST(ticket_id AS VARCHAR) AS ticket_id, CAST(csat_score + 0.5 AS DOUBLE) AS csat_score) FROM tickets"),
         # star schema
         "dim_date": _query(f"{clicks}, {DATE_DIM}", "SELECT * FROM dim_date"),
         "dim_user": _query(f"{clicks}, {USER_DIM}", "SELECT * FROM dim_user"),
@@ -540,6 +549,9 @@ FROM generate_series(0, 30) AS axis(d) LEFT JOIN weighted ON days_since = d""",
         "cohort_activity": _query(ACTIVITY, "SELECT * FROM activity", ("revenue_gross",)),
         "cohort_retention_summary": _query(SUMMARY, "SELECT * FROM summary", _SUMMARY_RATES),
         "cohort_retention_curve": _query(CURVE, "SELECT * FROM curve", ("retention_rate",)),
+        "cohort_retention_curve_cut": _query(
+            CURVE, f"SELECT * FROM curve WHERE days_since <= {CUT_DAY}", ("retention_rate",)
+        ),
         "weighted_retention_cards": _query(
             f"""{SUMMARY}, cards AS (
   SELECT CAST(sum(cohort_size) AS BIGINT) AS total_purchasers,
@@ -585,13 +597,9 @@ FROM generate_series(0, 30) AS axis(d) LEFT JOIN weighted ON days_since = d""",
 FROM (SELECT DISTINCT session_id FROM clicks WHERE session_id IS NOT NULL) LEFT JOIN placed USING (session_id)""",
         ),
         "category_funnel": _query(CATEGORIES, "SELECT * FROM per_category", ("revenue_dedup", "revenue_gross")),
-        "brand_revenue": _query(
-            clicks,
-            f"""SELECT brand, count(DISTINCT session_id) AS purchase_sessions, sum(price) AS revenue_gross,
-       avg(price) AS avg_item_price
-FROM clicks WHERE {PAID} AND brand IS NOT NULL GROUP BY brand
-ORDER BY sum(price) DESC, brand LIMIT 200""",
-            ("revenue_gross", "avg_item_price"),
+        "brand_revenue": _query(clicks, _BRANDS, ("revenue_gross", "avg_item_price")),
+        "brand_revenue_top": _query(
+            clicks, f"{_BRANDS} ORDER BY sum(price) DESC, brand LIMIT {BRANDS}", ("revenue_gross", "avg_item_price")
         ),
         "category_cvr": _query(CATEGORIES, "SELECT * FROM rated", ("revenue_dedup", "revenue_gross", *CVRS)),
         "category_quadrants": _query(

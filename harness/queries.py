@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from harness import adapters
@@ -24,6 +24,9 @@ Query = Callable[[SparkSession, str], DataFrame]
 AS_OF = "2001-08-02"
 RANGE = ("1998-01-01", "1999-01-01")
 PLACES = 6
+CONTENT_PLACES = 2
+CUT_DAY = 7
+BRANDS = 5
 
 
 def _rounded(df: DataFrame) -> DataFrame:
@@ -81,7 +84,7 @@ def _over_daily(op: Callable[[DataFrame], DataFrame]) -> Query:
 
 
 def _category_funnel(fact: DataFrame) -> DataFrame:
-    return drivers.category_funnel(funnel.session_funnel(fact), drivers.session_category(fact))
+    return drivers.category_funnel_of_events(fact)
 
 
 def _over_categories(op: Callable[[DataFrame], DataFrame]) -> Query:
@@ -105,30 +108,37 @@ def _weighted(**options) -> Query:
     return _over_activity(run)
 
 
-def _row_counts(tables: dict[str, DataFrame]) -> DataFrame:
-    counts = [
-        df.agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(name).alias("table_name"), "row_count")
-        for name, df in tables.items()
-    ]
-    return reduce(DataFrame.unionByName, counts)
+def _content(tables: dict[str, DataFrame]) -> DataFrame:
+    """For every column of every table: how many values it has and the sum of those that are numbers."""
+
+    def measured(name: str, df: DataFrame) -> DataFrame:
+        def row(c: str) -> Column:
+            number = F.col(c).cast("string").try_cast("double")
+            filled, total = F.count(c).alias("filled"), F.round(F.sum(number), CONTENT_PLACES).alias("total")
+            return F.struct(F.lit(c).alias("column_name"), filled, total)
+
+        return df.agg(F.array(*map(row, df.columns)).alias("rows")).select(F.lit(name).alias("table_name"), F.inline("rows"))
+
+    return reduce(DataFrame.unionByName, [measured(name, df) for name, df in tables.items()])
 
 
 def _csv_round_trip(spark: SparkSession, sf: str) -> DataFrame:
+    """Files whose columns stand in another order, with quotes, commas and backslashes in the brands."""
     path = f"{scratch_dir(spark)}/events_csv"
-    adapters.raw_event_strings(spark, sf).write.option("header", True).csv(path)
-    # Blanks and missing fields are the same thing to the cleaning step.
-    raw = read_events_csv(spark, path)
-    return raw.select(*[F.nullif(F.trim(F.col(c)), F.lit("")).alias(c) for c in raw.columns])
+    text = adapters.raw_event_strings(spark, sf, odd_brands=True)
+    writer = text.select(*reversed(text.columns)).write.option("header", True).option("escape", '"')
+    writer.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
+    return read_events_csv(spark, path)
 
 
 def _stored_counts(spark: SparkSession, sf: str) -> DataFrame:
-    return _row_counts(build_model(_raw(spark, sf), f"{scratch_dir(spark)}/build"))
+    return _content(build_model(_raw(spark, sf), f"{scratch_dir(spark)}/build"))
 
 
 def _exported_counts(spark: SparkSession, sf: str) -> DataFrame:
     out = f"{scratch_dir(spark)}/export"
     export_model(build_model(_raw(spark, sf)), out)
-    return _row_counts(read_model(spark, out, EXPORTED))
+    return _content(read_model(spark, out, EXPORTED))
 
 
 def _read_model(spark: SparkSession, sf: str) -> DataFrame:
@@ -138,14 +148,23 @@ def _read_model(spark: SparkSession, sf: str) -> DataFrame:
 
 
 # The foreign field names of the stored ticket documents.
-TICKET_FIELDS = {"issue_created": "createdAt", "assigned_agent": "agent", "csat_score": "csat"}
+TICKET_FIELDS = {"issue_created": "createdAt", "assigned_agent": "agent", "csat_score": "feedback.csat"}
 
 
 def _read_tickets(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents with an inner document, extended dates and fractional numbers."""
     path = f"{scratch_dir(spark)}/tickets"
-    adapters.tickets(spark, sf).withColumnsRenamed(TICKET_FIELDS).write.json(path)
-    read = read_tickets(spark, path, "json", TICKET_FIELDS)
-    return read.select(*adapters.tickets(spark, sf).columns)
+    written = adapters.tickets(spark, sf)
+    date = F.struct(F.date_format("issue_created", "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'").alias("$date"))
+    documents = written.select(
+        *[c for c in written.columns if c not in ("issue_created", "assigned_agent", "csat_score", "reopen_count")],
+        F.when(F.col("issue_created").isNotNull(), date).alias("createdAt"),
+        F.col("assigned_agent").alias("agent"),
+        F.struct((F.col("csat_score") + 0.5).alias("csat")).alias("feedback"),
+        F.col("reopen_count").cast("double").alias("reopen_count"),
+    )
+    documents.write.json(path)
+    return read_tickets(spark, path, "json", TICKET_FIELDS).select(*written.columns)
 
 
 def _star_join(spark: SparkSession, sf: str) -> DataFrame:
@@ -198,7 +217,7 @@ def _ticket_dates(tickets: DataFrame) -> DataFrame:
 
 
 def _all_ticket_kpis(tickets: DataFrame) -> DataFrame:
-    return _row_counts(run_ticket_kpis(tickets, *RANGE, as_of=AS_OF))
+    return _content(run_ticket_kpis(tickets, *RANGE, as_of=AS_OF))
 
 
 def _clean_strings(spark: SparkSession, sf: str) -> DataFrame:
@@ -242,6 +261,7 @@ QUERIES: dict[str, Query] = {
     "cohort_activity": _over_purchases(cohorts.cohort_activity),
     "cohort_retention_summary": _over_summary(lambda s: s),
     "cohort_retention_curve": _over_curve(lambda c: c),
+    "cohort_retention_curve_cut": _over_activity(lambda a: cohorts.cohort_retention_curve(a, CUT_DAY)),
     "weighted_retention_cards": _over_summary(cohorts.weighted_retention_cards),
     "weighted_retention_curve": _weighted(),
     "weighted_retention_curve_all": _weighted(denominator="all"),
@@ -254,6 +274,7 @@ QUERIES: dict[str, Query] = {
     "session_category": _over_fact(drivers.session_category),
     "category_funnel": _over_categories(lambda c: c),
     "brand_revenue": _over_fact(drivers.brand_revenue),
+    "brand_revenue_top": _over_fact(lambda f: drivers.brand_revenue(f, BRANDS)),
     "category_cvr": _over_categories(drivers.category_cvr),
     "category_quadrants": _over_categories(lambda c: drivers.category_quadrants(drivers.category_cvr(c))),
     # trends

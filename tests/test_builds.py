@@ -13,7 +13,7 @@ from harness.queries import QUERIES
 from tidemark.operators import drivers, funnel, quality, star
 from tidemark.plans import storage
 from tidemark.plans.clickstream import EXPORTED, build_model, export_model
-from tidemark.sources.events import read_events_csv
+from tidemark.sources.events import clean_raw_events, malformed_rows, read_events_csv
 from tidemark.sources.model import export_parquet, read_model
 
 
@@ -65,10 +65,33 @@ def test_scratch_follows_the_shared_folder(spark):
     assert first.startswith(shared) and second.startswith(shared) and first != second
 
 
-def test_scratch_on_a_cluster_must_be_shared():
-    unset = SimpleNamespace(get=lambda key, default: default)
-    with pytest.raises(RuntimeError):
-        storage.scratch_dir(SimpleNamespace(conf=unset, sparkContext=SimpleNamespace(master="yarn")))
+def test_scratch_without_a_shared_folder_lies_in_the_warehouse():
+    settings = {"spark.sql.warehouse.dir": "hdfs://w"}
+    unset = SimpleNamespace(get=lambda key, *default: settings.get(key, *default))
+    assert storage.scratch_dir(SimpleNamespace(conf=unset)).startswith("hdfs://w/scratch/")
+
+
+def test_csv_goes_by_header_and_doubled_quotes(spark, tmp_path):
+    header = "user_id,event_type,event_time,product_id,category_id,category_code,brand,price,user_session"
+    (tmp_path / "a.csv").write_text(header + '\n5,view,2019-11-01 00:00:00 UTC,1,2,c,"acme ""pro"", inc",7.0d,s\n6,cart\n')
+    (row, short) = rows_of(read_events_csv(spark, str(tmp_path)).orderBy("user_id"))
+    assert (row["brand"], row["user_id"], row["event_type"], row["user_session"]) == ('acme "pro", inc', "5", "view", "s")
+    assert short["event_type"] == "cart" and [r["row"] for r in rows_of(malformed_rows(spark, str(tmp_path)))] == ["6,cart"]
+    assert rows_of(clean_raw_events(read_events_csv(spark, str(tmp_path))).where("user_id = 5"))[0]["price"] is None
+    (tmp_path / "b.csv").write_text(header.replace("user_id,event_type", "event_type,user_id") + "\nview,5,t,1,2,c,b,1,s\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        read_events_csv(spark, str(tmp_path)).collect()
+
+
+def test_csv_lines_and_missing_columns(spark, tmp_path):
+    header = "event_time,event_type,product_id,category_id,category_code,brand,price,user_id,user_session"
+    (tmp_path / "a.csv").write_text(header + '\nt,view,1,2,c,"two\nlines",1,5,s\n')
+    assert only(read_events_csv(spark, str(tmp_path), multi_line=True))["brand"] == "two\nlines"
+    other = tmp_path / "other"
+    other.mkdir()
+    (other / "a.csv").write_text("event_time,event_type\nt,view\n")
+    with pytest.raises(ValueError, match="lacks"):
+        read_events_csv(spark, str(other))
 
 
 def test_invariants(model):
@@ -103,10 +126,19 @@ def test_session_table_takes_one_scan_and_two_shuffles(spark, sf_dir):
     assert "Expand" not in plan and "Join" not in plan
 
 
-def test_category_join_needs_no_extra_shuffle(spark, sf_dir):
+def test_category_funnel_takes_one_scan(spark, sf_dir):
     plan = plan_of(QUERIES["category_funnel"](spark, sf_dir))
-    # Session table 2, per session id 1, session category 1, per category 1.
-    assert exchanges(plan) == 5
+    # Per product, per (session, user), per session, per category.
+    assert plan.count("FileScan") == 1 and exchanges(plan) == 4 and "Join" not in plan
+
+
+def test_session_tables_need_no_sorting(spark, sf_dir):
+    for name in ("session_funnel", "category_funnel", "session_category", "purchase_dedup"):
+        assert "SortAggregate" not in plan_of(QUERIES[name](spark, sf_dir)), name
+
+
+def test_executive_kpis_take_one_scan(spark, sf_dir):
+    assert plan_of(QUERIES["executive_kpis"](spark, sf_dir)).count("FileScan") == 1
 
 
 def test_purchase_filter_reaches_the_scan(spark, tmp_path):
@@ -116,7 +148,8 @@ def test_purchase_filter_reaches_the_scan(spark, tmp_path):
     assert "EqualTo(event_type,purchase)" in plan and "GreaterThan(price,0.0)" in plan
     read = plan.split("ReadSchema:")[1].splitlines()[0]
     assert "product_id" not in read and "event_ts" not in read
-    assert "TakeOrderedAndProject" in plan
+    assert "TakeOrderedAndProject" not in plan
+    assert "TakeOrderedAndProject" in plan_of(drivers.brand_revenue(fact, 5))
 
 
 STORED_FIRST = {"read_events_csv", "read_tickets", "read_model_parquet", "export_parquet", "build_clickstream_model"}

@@ -163,9 +163,11 @@ def test_session_steps(spark):
     assert row["distinct_products_viewed"] == 1
     assert row["distinct_products_purchased"] == 2
     assert row["session_revenue_gross"] == 20.0
-    # Product 1 counts with the lower of two prices at its first time, the missing product once.
-    assert row["session_revenue_dedup_product"] == 8.0
-    assert row["aov_session_proxy"] == 4.0
+    # Product 1 counts with the earlier of two events at its first time, the missing product once.
+    assert row["session_revenue_dedup_product"] == 10.0
+    # Without event ids the lower price counts.
+    assert only(funnel.session_funnel(events.drop("event_id")))["session_revenue_dedup_product"] == 8.0
+    assert row["aov_session_proxy"] == 5.0
     assert row["time_view_to_cart_sec"] == -30
     assert row["time_view_to_purchase_sec"] == 30
     assert row["time_cart_to_purchase_sec"] == 60
@@ -173,7 +175,7 @@ def test_session_steps(spark):
     assert ordered["time_view_to_cart_sec"] is None
     assert ordered["time_view_to_purchase_sec"] == 30
     firsts = {r["product_id"]: r for r in rows_of(funnel.purchase_dedup(events))}
-    assert {p: r["first_purchase_price"] for p, r in firsts.items()} == {1: 6.0, None: 2.0}
+    assert {p: r["first_purchase_price"] for p, r in firsts.items()} == {1: 8.0, None: 2.0}
     assert firsts[1]["first_purchase_ts"] == at("01 10:01:00")
 
 

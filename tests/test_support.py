@@ -28,7 +28,9 @@ DEFAULTS = {
 
 def tickets(spark, *rows):
     names = TICKET_SCHEMA.fieldNames()
-    return spark.createDataFrame([tuple({**DEFAULTS, **row}.get(n) for n in names) for row in rows], TICKET_SCHEMA)
+    csat = lambda row: {"csat_score": None if row.get("csat_score") is None else float(row["csat_score"])}
+    full = [{**DEFAULTS, **row} for row in rows]
+    return spark.createDataFrame([tuple({**row, **csat(row)}.get(n) for n in names) for row in full], TICKET_SCHEMA)
 
 
 def test_base_drops_deleted_and_uses_half_open_range(spark):
@@ -175,3 +177,33 @@ def test_all_kpis_run(spark):
     tables = run_ticket_kpis(tickets(spark, {}), "2024-01-01", "2024-02-01", as_of="2024-01-05")
     assert len(tables) == 12
     assert rows_of(tables["backlog_aging"]) == [{"aging_bucket": "4-7 days", "open_tickets": 1}]
+
+
+def test_tickets_from_extended_documents(spark, tmp_path):
+    path = tmp_path / "t.json"
+    path.write_text(
+        '{"ticket_id":"1","opened":{"$date":"2024-11-03T05:30:00Z"},"csat":4.5,"reopen_count":2.0,"sla":{"breached":true}}\n'
+        '{"ticket_id":"2","opened":{"$date":"2024-11-03T06:30:00Z"},"csat":5,"reopen_count":1}\n'
+        '{"ticket_id":"3","opened":"2024-11-03T12:00:00+05:30"}\n'
+        '{"ticket_id":"4","opened":{"$date":{"$numberLong":"1730615400000"}}}\n'
+        '{"ticket_id":"5","opened":"2024-11-03 06:30:00"}\n'
+    )
+    mapping = {"issue_created": "opened", "csat_score": "csat", "first_response_breached": "sla.breached"}
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        rows = {r["ticket_id"]: r for r in rows_of(read_tickets(spark, str(path), mapping=mapping))}
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    hours = [str(rows[k]["issue_created"])[11:16] for k in "12345"]
+    assert hours == ["05:30", "06:30", "06:30", "06:30", "06:30"]
+    assert (rows["1"]["csat_score"], rows["1"]["reopen_count"], rows["1"]["first_response_breached"]) == (4.5, 2, True)
+    assert rows["2"]["csat_score"] == 5.0
+    with pytest.raises(ValueError, match="lacks"):
+        read_tickets(spark, str(path), mapping=mapping | {"queue_name": "quue"})
+
+
+def test_tickets_from_csv(spark, tmp_path):
+    (tmp_path / "t.csv").write_text('ticket_id,issue_created,csat_score,queue_name\n7,2024-01-02T03:04:05Z,4.5,"a ""b"""\n')
+    row = only(read_tickets(spark, str(tmp_path / "t.csv"), "csv"))
+    assert (row["ticket_id"], str(row["issue_created"]), row["csat_score"], row["queue_name"]) == ("7", "2024-01-02 03:04:05", 4.5, 'a "b"')

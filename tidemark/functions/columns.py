@@ -42,3 +42,21 @@ def null_safe_join(left: DataFrame, right: DataFrame, keys: list[str], how: str
     for key in keys:
         cond = cond & F.col(key).eqNullSafe(F.col(f"__{key}"))
     return left.join(right, cond, how).drop(*[f"__{k}" for k in keys])
+
+
+def time_key(fact: DataFrame, value: str) -> Column:
+    """What orders events by time and among equal times by ``event_id``, or by the value where there is none.
+
+    With ``event_id`` it is one number, which fits the fixed-width buffers of hash aggregation, so that no event has to be
+    sorted; a struct does not.
+    """
+    if "event_id" not in fact.columns:
+        return F.struct("event_ts", value)
+    micros = F.unix_micros(F.col("event_ts").cast("timestamp")).cast("decimal(18,0)")
+    wide = micros * F.lit("10000000000000000000").cast("decimal(20,0)")
+    return (wide + F.col("event_id").cast("decimal(19,0)")).cast("decimal(38,0)")
+
+
+def first_by_time(fact: DataFrame, value: str, where: Column) -> Column:
+    """Aggregate: the value of the earliest event that meets the condition."""
+    return F.min_by(F.when(where, F.col(value)), F.when(where, time_key(fact, value)))

@@ -2,48 +2,56 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.columns import FUNNEL_STEPS, is_paid
+from tidemark.functions.columns import FUNNEL_STEPS, first_by_time, is_paid
+from tidemark.operators import funnel
 from tidemark.operators.funnel import with_conversion_rates
 
 
 def session_category(fact: DataFrame) -> DataFrame:
     """One category per session: that of its earliest event that has one."""
-    order = ["event_ts", *(["event_id"] if "event_id" in fact.columns else []), "category_id"]
-    first = F.min(F.when(F.col("category_id").isNotNull(), F.struct(*order)))
     return (
         fact.where(F.col("session_id").isNotNull())
         .groupBy("session_id")
-        .agg(first.getField("category_id").alias("category_id"))
+        .agg(first_by_time(fact, "category_id", F.col("category_id").isNotNull()).alias("category_id"))
     )
 
 
+def _measures() -> list[Column]:
+    return [
+        F.count(F.lit(1)).alias("sessions"),
+        *[F.sum(f"has_{step}").alias(f"{step}_sessions") for step in FUNNEL_STEPS],
+        F.sum("session_revenue_dedup_product").alias("revenue_dedup"),
+        F.sum("session_revenue_gross").alias("revenue_gross"),
+    ]
+
+
+def _by_category(per_session: DataFrame) -> DataFrame:
+    measures = [name for name in per_session.columns if name not in ("session_id", "category_id")]
+    return per_session.groupBy("category_id").agg(*[F.sum(name).alias(name) for name in measures])
+
+
 def category_funnel(sessions: DataFrame, categories: DataFrame) -> DataFrame:
-    """Sessions per step and revenue per category, highest deduplicated revenue first.
+    """Sessions per step and revenue per category, from stored session rows and session categories.
 
     Session rows are added up per session id before the join. Both sides then have one row per id and are already
     partitioned on it, so the join needs no further shuffle and meets no hot key.
     """
-    per_session = sessions.groupBy("session_id").agg(
-        F.count(F.lit(1)).alias("sessions"),
-        *[F.sum(f"has_{step}").alias(f"{step}_sessions") for step in FUNNEL_STEPS],
-        F.sum("session_revenue_dedup_product").alias("revenue_dedup"),
-        F.sum("session_revenue_gross").alias("revenue_gross"),
-    )
-    measures = [name for name in per_session.columns if name != "session_id"]
-    return (
-        per_session.join(categories, "session_id")
-        .groupBy("category_id")
-        .agg(*[F.sum(name).alias(name) for name in measures])
-        .orderBy(F.col("revenue_dedup").desc_nulls_last(), "category_id")
-    )
+    return _by_category(sessions.groupBy("session_id").agg(*_measures()).join(categories, "session_id"))
 
 
-def brand_revenue(fact: DataFrame, limit: int = 200) -> DataFrame:
-    """The brands with the highest purchase revenue, with purchase sessions and mean price."""
-    return (
+def category_funnel_of_events(fact: DataFrame) -> DataFrame:
+    """The same straight from events in one scan: the first category rides along with the session rows."""
+    sessions = funnel.session_funnel(fact, with_category=True)
+    category = F.min_by("first_category_id", "first_category_key").alias("category_id")
+    return _by_category(sessions.groupBy("session_id").agg(*_measures(), category))
+
+
+def brand_revenue(fact: DataFrame, limit: int | None = None) -> DataFrame:
+    """Purchase revenue, purchase sessions and mean price per brand; with ``limit`` only the brands with the highest revenue."""
+    brands = (
         fact.where(is_paid() & F.col("brand").isNotNull())
         .groupBy("brand")
         .agg(
@@ -51,9 +59,10 @@ def brand_revenue(fact: DataFrame, limit: int = 200) -> DataFrame:
             F.sum("price").alias("revenue_gross"),
             F.avg("price").alias("avg_item_price"),
         )
-        .orderBy(F.col("revenue_gross").desc_nulls_last(), "brand")
-        .limit(limit)
     )
+    if limit is None:
+        return brands
+    return brands.orderBy(F.col("revenue_gross").desc_nulls_last(), "brand").limit(limit)
 
 
 def category_cvr(category_funnel: DataFrame) -> DataFrame:

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.columns import FUNNEL_STEPS, is_paid, is_step, ratio, seconds_between
+from tidemark.functions.columns import FUNNEL_STEPS, first_by_time, is_paid, is_step, ratio, seconds_between, time_key
 
 SESSION = ["session_id", "user_id"]
 # How the distinct-product counters of the three steps are called.
@@ -22,13 +22,17 @@ _DISTINCT_NAMES = {
 }
 
 
-def _first_paid_price() -> Column:
-    """Aggregate: price of the earliest revenue purchase, the lower one on equal times."""
-    return F.min(F.when(is_paid(), F.struct("event_ts", "price"))).getField("price")
+def _first_paid_price(fact: DataFrame) -> Column:
+    """Aggregate: price of the earliest revenue purchase."""
+    return first_by_time(fact, "price", is_paid())
 
 
-def _per_product(fact: DataFrame) -> DataFrame:
+def _per_product(fact: DataFrame, with_category: bool = False) -> DataFrame:
     steps = []
+    if with_category:
+        known = F.col("category_id").isNotNull()
+        steps.append(first_by_time(fact, "category_id", known).alias("first_category_id"))
+        steps.append(F.min(F.when(known, time_key(fact, "category_id"))).alias("first_category_key"))
     for step in FUNNEL_STEPS:
         steps.append(F.min(F.when(is_step(step), F.col("event_ts"))).alias(f"first_{step}_ts"))
         steps.append(F.count_if(is_step(step)).alias(f"{step}_events"))
@@ -40,16 +44,20 @@ def _per_product(fact: DataFrame) -> DataFrame:
             F.max("event_ts").alias("last_ts"),
             *steps,
             F.sum(F.when(is_paid(), F.col("price"))).alias("gross"),
-            _first_paid_price().alias("first_paid_price"),
+            _first_paid_price(fact).alias("first_paid_price"),
         )
     )
 
 
-def _per_session(fact: DataFrame) -> DataFrame:
+def _per_session(fact: DataFrame, with_category: bool = False) -> DataFrame:
     """Session rows with all step columns, plus ``dedup``: the sum of first paid prices, NULL if none."""
     has_product = F.col("product_id").isNotNull()
+    category = []
+    if with_category:
+        category.append(F.min_by("first_category_id", "first_category_key").alias("first_category_id"))
+        category.append(F.min("first_category_key").alias("first_category_key"))
     rolled = (
-        _per_product(fact)
+        _per_product(fact, with_category)
         .groupBy(*SESSION)
         .agg(
             F.min("first_ts").alias("session_start_ts"),
@@ -62,6 +70,7 @@ def _per_session(fact: DataFrame) -> DataFrame:
             ],
             F.sum("gross").alias("session_revenue_gross"),
             F.sum("first_paid_price").alias("dedup"),
+            *category,
         )
     )
     return rolled.select(
@@ -75,6 +84,7 @@ def _per_session(fact: DataFrame) -> DataFrame:
         *[(F.col(f"{step}_events") > 0).cast("int").alias(f"has_{step}") for step in FUNNEL_STEPS],
         "session_revenue_gross",
         "dedup",
+        *(["first_category_id", "first_category_key"] if with_category else []),
     )
 
 
@@ -90,7 +100,7 @@ def purchase_dedup(fact: DataFrame) -> DataFrame:
         .groupBy(*SESSION, "product_id")
         .agg(
             F.min("event_ts").alias("first_purchase_ts"),
-            _first_paid_price().alias("first_purchase_price"),
+            _first_paid_price(fact).alias("first_purchase_price"),
         )
     )
 
@@ -100,10 +110,11 @@ def session_dedup_revenue(dedup: DataFrame) -> DataFrame:
     return dedup.groupBy(*SESSION).agg(F.sum("first_purchase_price").alias("session_revenue_dedup_product"))
 
 
-def session_funnel(fact: DataFrame, ordered_only: bool = False) -> DataFrame:
+def session_funnel(fact: DataFrame, ordered_only: bool = False, with_category: bool = False) -> DataFrame:
     """The session table with deduplicated revenue, order-value proxy and step-to-step times.
 
-    ``ordered_only=True`` sets step times to NULL where the later step came first.
+    ``ordered_only=True`` sets step times to NULL where the later step came first. ``with_category=True`` adds the
+    category of the earliest event that has one, and that event's order key.
     """
 
     def step_time(start: str, end: str) -> Column:
@@ -113,7 +124,7 @@ def session_funnel(fact: DataFrame, ordered_only: bool = False) -> DataFrame:
     revenue = F.col("session_revenue_dedup_product")
     products = F.col("distinct_products_purchased")
     return (
-        _per_session(fact)
+        _per_session(fact, with_category)
         .withColumn("session_revenue_dedup_product", F.coalesce("dedup", F.lit(0.0)))
         .drop("dedup")
         .withColumns(

@@ -15,31 +15,37 @@ PRICE_POINTS = {"p50_price": 0.5, "p90_price": 0.9, "p99_price": 0.99}
 def executive_kpis(fact: DataFrame) -> DataFrame:
     """Sessions, users, purchases, revenue and the rates between them, in one row.
 
-    Events are reduced to (session, user) rows once; sessions and users are counted from those, so no distinct
-    aggregate runs over raw events.
+    Events are scanned once and reduced to (session, user) rows. Each such row then goes into two groups, its session and
+    its user, so that both are counted as rows of one grouping and no distinct aggregate runs over events.
     """
     visits = fact.groupBy("session_id", "user_id").agg(
         *[F.max(is_step(step).cast("int")).alias(f"has_{step}") for step in FUNNEL_STEPS],
         F.count_if(is_step("purchase")).alias("purchases"),
         F.sum(F.when(is_paid(), F.col("price"))).alias("revenue"),
     )
-    users = visits.agg(F.count_distinct("user_id")).scalar()
-    real = F.col("session_id").isNotNull()
-    totals = (
-        visits.groupBy("session_id")
+    keys = F.array(
+        F.struct(F.lit(True).alias("of_session"), F.col("session_id").alias("session"), F.lit(None).cast("bigint").alias("user")),
+        F.struct(F.lit(False).alias("of_session"), F.lit(None).cast("string").alias("session"), F.col("user_id").cast("bigint").alias("user")),
+    )
+    groups = (
+        visits.withColumn("key", F.explode(keys))
+        .groupBy("key.of_session", "key.session", "key.user")
         .agg(
             *[F.max(f"has_{step}").alias(f"has_{step}") for step in FUNNEL_STEPS],
             F.sum("purchases").alias("purchases"),
             F.sum("revenue").alias("revenue"),
         )
-        .agg(
-            F.count_if(real).alias("sessions"),
-            *[F.count_if(real & (F.col(f"has_{step}") == 1)).alias(f"{step}_sessions") for step in FUNNEL_STEPS],
-            F.coalesce(F.sum("purchases"), F.lit(0)).alias("purchases"),
-            F.sum("revenue").alias("revenue"),
-        )
     )
-    return totals.withColumn("users", users).select(
+    of_session = F.col("of_session")
+    real = of_session & F.col("session").isNotNull()
+    totals = groups.agg(
+        F.count_if(real).alias("sessions"),
+        F.count_if(~of_session & F.col("user").isNotNull()).alias("users"),
+        *[F.count_if(real & (F.col(f"has_{step}") == 1)).alias(f"{step}_sessions") for step in FUNNEL_STEPS],
+        F.coalesce(F.sum(F.when(of_session, F.col("purchases"))), F.lit(0)).alias("purchases"),
+        F.sum(F.when(of_session, F.col("revenue"))).alias("revenue"),
+    )
+    return totals.select(
         "sessions",
         "users",
         "purchases",

@@ -111,12 +111,11 @@ def star_join(fact: DataFrame, dims: Mapping[str, DataFrame]) -> DataFrame:
     ``dims`` may hold dim_date, dim_category, dim_product, dim_user and dim_session. All joins are many-to-one left
     joins, so no fact row is lost or doubled. Pass dimensions as read back from storage: then Spark knows their size and
     broadcasts the small ones, and it splits hot keys of the others at run time, which it cannot do where a join
-    sits right on the aggregation that built the dimension. Only the calendar, bounded by the number of days, is
-    broadcast by hint. Users are attached to sessions first, so that the fact is shuffled once for both.
+    sits right on the aggregation that built the dimension. Users are attached to sessions first, so that the fact is shuffled once for both.
     """
     out = fact
     if "dim_date" in dims:
-        out = out.join(F.broadcast(dims["dim_date"]), "date_key", "left")
+        out = out.join(dims["dim_date"], "date_key", "left")
     if "dim_category" in dims:
         categories = with_category_label(dims["dim_category"])
         out = out.join(categories, "category_id", "left")

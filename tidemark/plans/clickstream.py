@@ -19,12 +19,22 @@ EXPORTED = (
     "agg_category_funnel",
     "agg_brand_revenue",
     "daily_event_counts",
+    "fact_events",
+    "dim_date",
+    "dim_user",
+    "dim_category",
+    "dim_product",
+    "dim_session",
 )
 
 
-def build_model(raw: DataFrame, work_dir: str | None = None) -> dict[str, DataFrame]:
+def build_model(
+    raw: DataFrame, work_dir: str | None = None, max_day: int = 30, brand_limit: int | None = None
+) -> dict[str, DataFrame]:
     """All model tables by name, from cleaned raw events.
 
+    The retention curve ends at day offset ``max_day``; ``brand_limit`` keeps only so many brands, by default all.
+
     With ``work_dir`` every table is written there and read back before others use it. Each is then computed once, lost
     executors cost no more than their tasks, and later joins know the real table sizes; use it for real volumes.
     Without it the tables stay lazy.
@@ -55,9 +65,9 @@ def build_model(raw: DataFrame, work_dir: str | None = None) -> dict[str, DataFr
         "fct_cohort_activity": activity,
         "dim_user_purchase_cohort": keep("dim_user_purchase_cohort", cohorts.user_purchase_cohort(purchases)),
         "cohort_retention_summary": keep("cohort_retention_summary", cohorts.cohort_retention_summary(activity)),
-        "cohort_retention_curve": keep("cohort_retention_curve", cohorts.cohort_retention_curve(activity)),
+        "cohort_retention_curve": keep("cohort_retention_curve", cohorts.cohort_retention_curve(activity, max_day)),
         "agg_category_funnel": keep("agg_category_funnel", categories),
-        "agg_brand_revenue": keep("agg_brand_revenue", drivers.brand_revenue(fact)),
+        "agg_brand_revenue": keep("agg_brand_revenue", drivers.brand_revenue(fact, brand_limit)),
         "daily_event_counts": keep("daily_event_counts", trends.daily_event_counts(fact)),
     }
 

@@ -29,7 +29,7 @@ TICKET_SCHEMA = T.StructType(
         T.StructField("first_response_time_minutes", T.DoubleType()),
         T.StructField("resolution_time_minutes", T.DoubleType()),
         T.StructField("reopen_count", T.LongType()),
-        T.StructField("csat_score", T.LongType()),
+        T.StructField("csat_score", T.DoubleType()),
         T.StructField("escalated_flag", T.BooleanType()),
         T.StructField("deleted_flag", T.BooleanType()),
     ]
@@ -40,6 +40,43 @@ def _is_time(field: T.StructField) -> bool:
     return isinstance(field.dataType, T.TimestampNTZType)
 
 
+def _read_type(field: T.StructField) -> T.DataType:
+    """How a field is read from documents: times as they are written, numbers as doubles, which documents hold by default."""
+    if _is_time(field):
+        return T.StringType()
+    return T.DoubleType() if isinstance(field.dataType, T.NumericType) else field.dataType
+
+
+def _nested_schema(kinds: Mapping[str, T.DataType]) -> T.StructType:
+    """The struct type whose dotted paths are the given ones."""
+    groups: dict[str, dict[str, T.DataType]] = {}
+    for path, kind in kinds.items():
+        head, _, rest = path.partition(".")
+        groups.setdefault(head, {})[rest] = kind
+    fields = []
+    for head, inner in groups.items():
+        if "" in inner and len(inner) > 1:
+            raise ValueError(f"{head} is mapped both as a value and as a document")
+        fields.append(T.StructField(head, inner[""] if "" in inner else _nested_schema(inner)))
+    return T.StructType(fields)
+
+
+def _utc_wall_clock(instant: Column) -> Column:
+    """An instant as UTC wall-clock time, by its distance from the epoch; no local time comes between."""
+    seconds = F.unix_micros(instant).cast("decimal(20,0)") / F.lit(1_000_000)
+    return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(secs=seconds.cast("decimal(18,6)"))
+
+
+def _written_time(text: Column) -> Column:
+    """A time as documents write it: text with or without a zone (then UTC), or ``{"$date": text or milliseconds}``."""
+    date = F.get_json_object(text, "$['$date']")
+    long = F.get_json_object(text, "$['$date']['$numberLong']")
+    value = F.coalesce(long, date, text)
+    zoned = F.when(value.rlike(r"(Z|UTC|[+-]\d{2}:?\d{2})\s*$"), value).otherwise(F.concat(F.trim(value), F.lit("Z")))
+    instant = F.when(value.rlike(r"^-?\d{6,}$"), F.timestamp_millis(value.try_cast("bigint"))).otherwise(zoned.try_cast("timestamp"))
+    return _utc_wall_clock(instant)
+
+
 def read_tickets(
     spark: SparkSession,
     path: str,
@@ -48,8 +85,11 @@ def read_tickets(
 ) -> DataFrame:
     """Tickets with the standard column names and types.
 
-    ``mapping`` says which source field holds a standard column, for fields named differently at the source.
-    Fields the source lacks come out as NULL. Instants become UTC wall-clock times, whatever the session zone.
+    ``mapping`` says which source field holds a standard column, for fields named differently at the source; a dotted path
+    names a field of an inner document. A mapped field that no ticket of a non-empty source has raises an error, at the
+    price of one pass over the source; fields that are not mapped and absent come out as NULL. Numbers may be written
+    as whole or as fractional ones; counts are cut to whole ones. Instants become UTC wall-clock times, whatever the
+    session zone; text without a zone is taken as UTC. ``fmt`` is json, csv (with a header) or parquet.
     """
     source_of = {field.name: (mapping or {}).get(field.name, field.name) for field in TICKET_SCHEMA}
     unknown = set(mapping or {}) - set(source_of)
@@ -57,22 +97,35 @@ def read_tickets(
         raise ValueError(f"not ticket columns: {sorted(unknown)}")
     reader = spark.read
     if fmt == "json":
-        # Documents hold instants ("...Z"); text without a zone is taken as UTC too.
-        fields = [
-            T.StructField(source_of[field.name], T.TimestampType() if _is_time(field) else field.dataType)
-            for field in TICKET_SCHEMA
-        ]
-        reader = reader.schema(T.StructType(fields)).option("timeZone", "UTC")
+        reader = reader.schema(_nested_schema({source_of[field.name]: _read_type(field) for field in TICKET_SCHEMA}))
+    elif fmt == "csv":
+        reader = reader.option("header", True).option("quote", '"').option("escape", '"')
     source = reader.format(fmt).load(path)
-    kinds = dict(source.dtypes)
+
+    def raw(name: str) -> Column | None:
+        kind: T.DataType = source.schema
+        for part in name.split("."):
+            if not isinstance(kind, T.StructType) or part not in kind.names:
+                return None
+            kind = kind[part].dataType
+        return F.col(".".join(f"`{part}`" for part in name.split(".")))
+
+    absent = [name for name in (mapping or {}).values() if raw(name) is None]
+    if mapping and not absent:
+        seen = source.agg(F.count(F.lit(1)).alias("n"), *[F.count(raw(v)).alias(k) for k, v in mapping.items()]).first()
+        absent = [v for k, v in mapping.items() if seen["n"] and not seen[k]]
+    if absent:
+        raise ValueError(f"mapped fields that the source lacks: {sorted(absent)}")
 
     def column(field: T.StructField) -> Column:
-        name = source_of[field.name]
-        if name not in kinds:
+        value = raw(source_of[field.name])
+        if value is None:
             return F.lit(None).cast(field.dataType)
-        value = F.col(f"`{name}`")
-        if _is_time(field) and kinds[name] == "timestamp":
-            return F.convert_timezone(F.current_timezone(), F.lit("UTC"), value.cast("timestamp_ntz"))
-        return value.cast(field.dataType)
+        if not _is_time(field):
+            return value.cast("double").cast(field.dataType) if isinstance(field.dataType, T.NumericType) else value.cast(field.dataType)
+        kind = source.select(value.alias("v")).schema["v"].dataType
+        if isinstance(kind, T.StringType):
+            return _written_time(value)
+        return _utc_wall_clock(value) if isinstance(kind, T.TimestampType) else value.cast(field.dataType)
 
     return source.select(*[column(field).alias(field.name) for field in TICKET_SCHEMA])
