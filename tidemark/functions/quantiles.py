@@ -97,8 +97,10 @@ def exact_quantiles(
     )
     hits = place(fine, path, "__fine").where(wanted)
     path = [*path, "__fine"]
-    hits = lookup(hits, path)
-    hits = place(null_safe_join(near.drop("__base", "__total"), hits, path), path, "__v").where(wanted)
+    # Both readers of ``near`` use all its columns, so that it is shuffled once: the finer start is the greater one.
+    hits = lookup(hits, path).drop("__total").withColumnRenamed("__base", "__fine_base")
+    joined = null_safe_join(near, hits, path).withColumn("__base", F.greatest("__base", "__fine_base")).drop("__fine_base")
+    hits = place(joined, path, "__v").where(wanted)
 
     picks = []
     for name, pos in positions.items():
