@@ -130,8 +130,9 @@ def one_of_each(docs: DataFrame, folder: str, shingle: int = 3) -> DataFrame:
     doc_id is taken for a key: rows that share one count as repeats, of which one stays. All columns are kept.
     """
     found = near_duplicates(docs, folder, shingle)
-    chosen = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_kept")).distinct()
-    chosen = store(chosen, folder, "chosen")
-    rows = packed(docs, F.col("doc_id").cast("long").alias("_id"))
-    rows = rows.join(chosen, F.col("_id").eqNullSafe(F.col("_kept")), "left_semi").dropDuplicates(["_id"])
+    # Null-free keys, so that join and removal of repeats share one shuffle of the texts.
+    keys = {"_none": F.col("doc_id").isNull(), "_id": F.coalesce(F.col("doc_id").cast("long"), F.lit(0).cast("long"))}
+    chosen = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(*[v.alias(k) for k, v in keys.items()]).distinct()
+    rows = packed(docs, *[v.alias(k) for k, v in keys.items()])
+    rows = rows.join(store(chosen, folder, "chosen"), [*keys], "left_semi").dropDuplicates([*keys])
     return unpacked(rows, docs.columns)
