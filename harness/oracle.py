@@ -511,6 +511,28 @@ FROM generate_series(0, 30) AS axis(d) LEFT JOIN weighted ON days_since = d""",
             f"SELECT *, {RATES} FROM counted",
             CVRS,
         ),
+        "funnel_summary_by_cart": _query(
+            f"{FUNNEL}, counted AS (SELECT has_cart, count(*) AS sessions, {FUNNEL_SUMS} FROM funnel GROUP BY has_cart)",
+            f"SELECT *, {RATES} FROM counted",
+            CVRS,
+        ),
+        "daily_session_cvr": _query(
+            f"""{FUNNEL}, counted AS (
+  SELECT CAST(session_start_ts AS DATE) AS event_date, count(*) AS sessions, {FUNNEL_SUMS} FROM funnel GROUP BY ALL
+)""",
+            f"SELECT *, {RATES} FROM counted",
+            CVRS,
+        ),
+        "category_funnel_labelled": _query(
+            f"{CATEGORIES}, {CATEGORY_DIM.removeprefix(CLICKS).lstrip(',')}",
+            """SELECT *, coalesce(category_code, 'cat_' || category_id) AS category_label
+FROM per_category LEFT JOIN dim_category USING (category_id)""",
+            ("revenue_dedup", "revenue_gross"),
+        ),
+        "daily_events_on_calendar": _query(
+            f"{DAILY}, {DATE_DIM}",
+            "SELECT daily.*, dim_date.* EXCLUDE (date_key) FROM daily LEFT JOIN dim_date ON event_date = date_key",
+        ),
         "funnel_skip_steps": _query(
             f"""{FUNNEL}, skips AS (
   SELECT count(*) AS purchase_sessions,

@@ -179,6 +179,16 @@ def _day_axis(spark: SparkSession, sf: str) -> DataFrame:
     return star.on_day_axis(_weighted()(spark, sf), star.dim_days(spark))
 
 
+def _category_labels(spark: SparkSession, sf: str) -> DataFrame:
+    categories = store(star.dim_category(_events(spark, sf)), scratch_dir(spark), "dim_category")
+    return star.with_category_labels(_category_funnel(_fact(spark, sf)), categories)
+
+
+def _daily_calendar(spark: SparkSession, sf: str) -> DataFrame:
+    daily = trends.daily_event_counts(_fact(spark, sf))
+    return star.on_calendar(daily, star.dim_date(_events(spark, sf)))
+
+
 def _row_integrity(spark: SparkSession, sf: str) -> DataFrame:
     raw = _raw(spark, sf)
     events = events_clean(raw)
@@ -251,6 +261,7 @@ QUERIES: dict[str, Query] = {
     "session_funnel": _over_fact(funnel.session_funnel),
     "session_funnel_ordered": _over_fact(lambda f: funnel.session_funnel(f, ordered_only=True)),
     "funnel_summary": _over_sessions(funnel.funnel_summary),
+    "funnel_summary_by_cart": _over_sessions(lambda s: funnel.funnel_summary(s, "has_cart")),
     "funnel_skip_steps": _over_sessions(funnel.funnel_skip_steps),
     "funnel_timing_anomalies": _over_sessions(funnel.funnel_timing_anomalies),
     "session_event_density": _over_fact(funnel.session_event_density),
@@ -275,6 +286,7 @@ QUERIES: dict[str, Query] = {
     "category_funnel": _over_categories(lambda c: c),
     "brand_revenue": _over_fact(drivers.brand_revenue),
     "brand_revenue_top": _over_fact(lambda f: drivers.brand_revenue(f, BRANDS)),
+    "category_funnel_labelled": _category_labels,
     "category_cvr": _over_categories(drivers.category_cvr),
     "category_quadrants": _over_categories(lambda c: drivers.category_quadrants(drivers.category_cvr(c))),
     # trends
@@ -283,6 +295,8 @@ QUERIES: dict[str, Query] = {
     "events_moving_avg": _over_daily(trends.events_moving_avg),
     "events_moving_avg_total": _over_daily(lambda d: trends.events_moving_avg(d, by_type=False)),
     "daily_cvr": _over_daily(trends.daily_cvr),
+    "daily_session_cvr": _over_sessions(funnel.daily_session_cvr),
+    "daily_events_on_calendar": _daily_calendar,
     "peak_view_day": _over_daily(trends.peak_view_day),
     "peak_view_spike": _over_daily(trends.peak_view_spike),
     # executive and profile

@@ -149,16 +149,21 @@ def with_conversion_rates(counts: DataFrame) -> DataFrame:
     )
 
 
-def funnel_summary(sessions: DataFrame) -> DataFrame:
-    """Overall session counts per step and conversion rates."""
+def funnel_summary(sessions: DataFrame, *by: Column | str) -> DataFrame:
+    """Session counts per step and conversion rates, overall or per group."""
     return with_conversion_rates(
-        sessions.agg(
+        sessions.groupBy(*by).agg(
             F.count(F.lit(1)).alias("sessions"),
             *[F.sum(f"has_{step}").alias(f"{step}_sessions") for step in FUNNEL_STEPS],
         )
     )
 
 
+def daily_session_cvr(sessions: DataFrame) -> DataFrame:
+    """The same per day on which sessions start: the session-based form of daily conversion."""
+    return funnel_summary(sessions, F.to_date("session_start_ts").alias("event_date"))
+
+
 def funnel_skip_steps(sessions: DataFrame) -> DataFrame:
     """Purchase sessions that skipped the view or the cart, with their share of purchase sessions."""
     bought = F.col("has_purchase") == 1

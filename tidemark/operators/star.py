@@ -137,6 +137,16 @@ def star_join(fact: DataFrame, dims: Mapping[str, DataFrame]) -> DataFrame:
     return out
 
 
+def with_category_labels(table: DataFrame, categories: DataFrame) -> DataFrame:
+    """Any table by category with the codes and labels of the category dimension."""
+    return table.join(with_category_label(categories), "category_id", "left")
+
+
+def on_calendar(daily: DataFrame, dates: DataFrame) -> DataFrame:
+    """Any table by ``event_date`` with the attributes of the date dimension."""
+    return daily.join(dates.withColumnRenamed("date_key", "event_date"), "event_date", "left")
+
+
 def dim_days(spark: SparkSession, max_day: int = 30) -> DataFrame:
     """Axis of day offsets 0..max_day."""
     return spark.range(0, max_day + 1).select(F.col("id").cast("int").alias("day"))
