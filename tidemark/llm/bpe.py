@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -103,6 +104,12 @@ class Codec:
         return b"".join(map(self.token_bytes.__getitem__, ids)).decode("utf-8", errors="replace")
 
 
+@cache
+def shared_codec(path: str | None) -> Codec:
+    """One codec for each Python worker, so that later tasks find the fragments that earlier ones have met."""
+    return Codec(path)
+
+
 def encode_documents(docs: DataFrame, path: str | None = None) -> DataFrame:
     """doc_id, ids and the decoded text of every row of ``docs`` (doc_id, text); other columns are ignored.
 
@@ -111,9 +118,8 @@ def encode_documents(docs: DataFrame, path: str | None = None) -> DataFrame:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = None
+        codec = shared_codec(path)
         for batch in slices(batches, 64):
-            codec = codec or Codec(path)
             ids = [codec.encode(text) for text in utf8(batch["text"])]
             decoded = [codec.decode(i.tolist()) for i in ids]
             yield pa.RecordBatch.from_arrays(

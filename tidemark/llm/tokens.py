@@ -5,6 +5,7 @@ from __future__ import annotations
 import struct
 import zlib
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -186,6 +187,12 @@ class PieceCodec:
         return np.frombuffer(b"".join(found), dtype=np.int32)
 
 
+@cache
+def shared_codec(path: str | None) -> PieceCodec:
+    """One codec for each Python worker, so that later tasks find the pieces that earlier ones have met."""
+    return PieceCodec(path)
+
+
 def write_shards(docs: DataFrame, folder: str, path: str | None = None, end_id: int = 1, shard_tokens: int = 2_000_000) -> DataFrame:
     """Encode every document and write shard files in ascending doc_id order into ``folder``; return their manifest.
 
@@ -212,7 +219,7 @@ def write_shards(docs: DataFrame, folder: str, path: str | None = None, end_id:
 
         for batch in slices(batches, 64):
             if codec is None:
-                codec = PieceCodec(path)
+                codec = shared_codec(path)
                 width = max(codec.tokenizer.get_vocab_size(with_added_tokens=True) - 1, end_id).bit_length()
             for doc_id, text in zip(batch["doc_id"].to_pylist(), utf8(batch["text"])):
                 if doc_id is None:
