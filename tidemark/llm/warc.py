@@ -168,8 +168,11 @@ def frames_of(paths: DataFrame) -> DataFrame:
     return paths.select("path").distinct().mapInArrow(run, "path string, start long, size long")
 
 
-def read_archives(frames: DataFrame, with_payload: bool = True) -> DataFrame:
-    """A row for each record of the listed frames (path, start, size). A revisit's payload is null, its length and digest are given."""
+def read_archives(frames: DataFrame, with_payload: bool = True, task_bytes: int = 1 << 22) -> DataFrame:
+    """A row for each record of the listed frames (path, start, size). A revisit's payload is null, its length and digest are given.
+
+    Frames are dealt out so that a task reads some ``task_bytes`` of them; rows of the list alone are too small to be spread by size.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -183,7 +186,8 @@ def read_archives(frames: DataFrame, with_payload: bool = True) -> DataFrame:
     kinds = {"page_id": pa.int64(), "url": pa.string(), "payload_bytes": pa.int64(), "payload_digest": pa.string(), "record_type": pa.string(), "refers_to": pa.int64()}
     kinds |= {"payload": pa.binary()} if with_payload else {}
     schema = READ if with_payload else READ.removesuffix(", payload binary")
-    return frames.repartition("path", "start").mapInArrow(run, schema)
+    tasks = -(-(frames.agg(F.sum("size")).first()[0] or 0) // task_bytes)
+    return frames.repartition(max(1, tasks), "path", "start").mapInArrow(run, schema)
 
 
 def fetch(index: DataFrame, record_ids: DataFrame) -> DataFrame:
