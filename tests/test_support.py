@@ -207,3 +207,15 @@ def test_tickets_from_csv(spark, tmp_path):
     (tmp_path / "t.csv").write_text('ticket_id,issue_created,csat_score,queue_name\n7,2024-01-02T03:04:05Z,4.5,"a ""b"""\n')
     row = only(read_tickets(spark, str(tmp_path / "t.csv"), "csv"))
     assert (row["ticket_id"], str(row["issue_created"]), row["csat_score"], row["queue_name"]) == ("7", "2024-01-02 03:04:05", 4.5, 'a "b"')
+
+
+def test_bounds_with_an_offset_are_instants(spark):
+    t = tickets(spark, {"ticket_id": "a", "issue_created": datetime(2024, 1, 1, 18, 30)}, {"ticket_id": "b", "issue_created": datetime(2024, 1, 1, 18, 29)})
+    assert [r["ticket_id"] for r in rows_of(support.ticket_base(t, "2024-01-02T00:00:00+05:30"))] == ["a"]
+    assert [r["ticket_id"] for r in rows_of(support.ticket_base(t, None, datetime.fromisoformat("2024-01-01T18:30:00+00:00")))] == ["b"]
+
+
+def test_stored_kpis_equal_lazy_ones(spark, tmp_path):
+    t = tickets(spark, {}, {"issue_priority": "low"})
+    lazy, stored = run_ticket_kpis(t, as_of="2024-01-05"), run_ticket_kpis(t, as_of="2024-01-05", work_dir=str(tmp_path))
+    assert rows_of(lazy["priority_sla"]) == rows_of(stored["priority_sla"])

@@ -42,13 +42,17 @@ def category_funnel(sessions: DataFrame, categories: DataFrame) -> DataFrame:
     return _by_category(sessions.groupBy("session_id").agg(*_measures()).join(categories, "session_id"))
 
 
-def category_funnel_of_events(fact: DataFrame) -> DataFrame:
-    """The same straight from events in one scan: the first category rides along with the session rows."""
-    sessions = funnel.session_funnel(fact, with_category=True)
+def category_funnel_of_sessions(sessions: DataFrame) -> DataFrame:
+    """The same from session rows that carry their first category (``session_funnel(..., with_category=True)``)."""
     category = F.min_by("first_category_id", "first_category_key").alias("category_id")
     return _by_category(sessions.groupBy("session_id").agg(*_measures(), category))
 
 
+def category_funnel_of_events(fact: DataFrame) -> DataFrame:
+    """The same straight from events in one scan: the first category rides along with the session rows."""
+    return category_funnel_of_sessions(funnel.session_funnel(fact, with_category=True))
+
+
 def brand_revenue(fact: DataFrame, limit: int | None = None) -> DataFrame:
     """Purchase revenue, purchase sessions and mean price per brand; with ``limit`` only the brands with the highest revenue."""
     brands = (

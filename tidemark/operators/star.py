@@ -88,6 +88,12 @@ def dim_session(events: DataFrame) -> DataFrame:
     )
 
 
+def dim_session_of_rows(sessions: DataFrame) -> DataFrame:
+    """The same from the session rows of the funnel, without another pass over events."""
+    duration = F.col("session_duration_sec").alias("session_duration_seconds")
+    return sessions.select("session_id", "user_id", "session_start_ts", "session_end_ts", duration)
+
+
 def fact_events(events: DataFrame) -> DataFrame:
     """One row per event: keys and price. ``event_id`` stays as tie-break if there is one."""
     tie_break = ["event_id"] if "event_id" in events.columns else []

@@ -6,9 +6,9 @@ a hot queue or agent costs no more than any other.
 
 from __future__ import annotations
 
-from datetime import date, datetime
+from datetime import UTC, date, datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.support import (
@@ -29,13 +29,21 @@ from tidemark.functions.support import (
 Moment = str | date | datetime
 
 
+def utc_moment(moment: Moment) -> Column:
+    """A bound as UTC wall-clock time: text and datetimes with an offset are converted, others are taken as UTC."""
+    value = datetime.fromisoformat(moment) if isinstance(moment, str) else moment
+    if isinstance(value, datetime) and value.tzinfo is not None:
+        value = value.astimezone(UTC).replace(tzinfo=None)
+    return F.lit(value.isoformat()).cast("timestamp_ntz")
+
+
 def ticket_base(tickets: DataFrame, start: Moment | None = None, end: Moment | None = None) -> DataFrame:
     """Tickets that are not deleted, created from ``start`` (inclusive) to ``end`` (exclusive) where given."""
     base = tickets.where(~F.coalesce(F.col("deleted_flag"), F.lit(False)))
     if start is not None:
-        base = base.where(F.col("issue_created") >= F.lit(start).cast("timestamp_ntz"))
+        base = base.where(F.col("issue_created") >= utc_moment(start))
     if end is not None:
-        base = base.where(F.col("issue_created") < F.lit(end).cast("timestamp_ntz"))
+        base = base.where(F.col("issue_created") < utc_moment(end))
     return base
 
 

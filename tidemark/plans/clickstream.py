@@ -35,7 +35,8 @@ def build_model(
 
     The retention curve ends at day offset ``max_day``; ``brand_limit`` keeps only so many brands, by default all.
 
-    With ``work_dir`` every table is written there and read back before others use it. Each is then computed once, lost
+    Events are read seven times: for daily counts, users, categories, products, session rows, purchases and brands; dates,
+    sessions and category measures derive from tables already built. With ``work_dir`` every table is written there and read back before others use it. Each is then computed once, lost
     executors cost no more than their tasks, and later joins know the real table sizes; use it for real volumes.
     Without it the tables stay lazy.
     """
@@ -46,18 +47,16 @@ def build_model(
     events = keep("events_clean", events_clean(raw))
     model = {}
     model["fact_events"] = fact = star.fact_events(events)
-    for name, build in (
-        ("dim_date", star.dim_date),
-        ("dim_user", star.dim_user),
-        ("dim_category", star.dim_category),
-        ("dim_product", star.dim_product),
-        ("dim_session", star.dim_session),
-    ):
+    daily = keep("daily_event_counts", trends.daily_event_counts(fact))
+    model["dim_date"] = keep("dim_date", star.dim_date(daily))
+    for name, build in (("dim_user", star.dim_user), ("dim_category", star.dim_category), ("dim_product", star.dim_product)):
         model[name] = keep(name, build(events))
-    sessions = keep("fct_session_funnel", funnel.session_funnel(fact))
+    with_category = keep("session_rows", funnel.session_funnel(fact, with_category=True))
+    sessions = with_category.drop("first_category_id", "first_category_key")
+    model["dim_session"] = star.dim_session_of_rows(sessions)
     purchases = keep("fct_user_daily_purchases", cohorts.user_daily_purchases(fact))
     activity = keep("fct_cohort_activity", cohorts.cohort_activity(purchases))
-    categories = drivers.category_funnel(sessions, drivers.session_category(fact))
+    categories = drivers.category_funnel_of_sessions(with_category)
     return {
         **model,
         "fct_session_funnel": sessions,
@@ -68,7 +67,7 @@ def build_model(
         "cohort_retention_curve": keep("cohort_retention_curve", cohorts.cohort_retention_curve(activity, max_day)),
         "agg_category_funnel": keep("agg_category_funnel", categories),
         "agg_brand_revenue": keep("agg_brand_revenue", drivers.brand_revenue(fact, brand_limit)),
-        "daily_event_counts": keep("daily_event_counts", trends.daily_event_counts(fact)),
+        "daily_event_counts": daily,
     }
 
 

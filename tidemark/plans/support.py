@@ -6,12 +6,23 @@ from pyspark.sql import DataFrame
 
 from tidemark.operators import support
 from tidemark.operators.support import Moment
+from tidemark.plans.storage import store
 
 
 def run_ticket_kpis(
-    tickets: DataFrame, start: Moment | None = None, end: Moment | None = None, *, as_of: Moment
+    tickets: DataFrame,
+    start: Moment | None = None,
+    end: Moment | None = None,
+    *,
+    as_of: Moment,
+    work_dir: str | None = None,
 ) -> dict[str, DataFrame]:
-    """The ticket KPI tables by name, all lazy. Cache or store ``tickets`` first if it is costly to derive."""
+    """The ticket KPI tables by name, all lazy.
+
+    With ``work_dir`` the tickets are written there once and all KPIs read the stored copy; use it where tickets are costly
+    to derive.
+    """
+    tickets = store(tickets, work_dir, "tickets") if work_dir else tickets
     base = support.ticket_base(tickets, start, end)
     return {
         "executive_summary": support.executive_summary(base),
