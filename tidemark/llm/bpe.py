@@ -16,7 +16,7 @@ from tidemark.llm.common import slices, utf8
 
 SCHEMA = "doc_id long, ids array<int>, decoded string"
 #: Distinct fragments whose ids a task remembers; longer or rarer fragments are encoded anew, with the same result.
-REMEMBERED = 700_000
+REMEMBERED = 350_000
 SPACE = b" \t\n\x0b\x0c\r"
 ALNUM = b"0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"
 

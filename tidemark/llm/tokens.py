@@ -25,7 +25,7 @@ BLOCK = 512
 MANIFEST = "path string, first long, docs long, tokens long"
 READ = "path string, place long, doc_id long, local_start long, n_tokens long, ids_crc32 long"
 #: Pieces of text whose ids a task remembers; others are encoded anew, with the same result.
-REMEMBERED = 500_000
+REMEMBERED = 300_000
 MARKS = b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 ALNUM = b"0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"
 
