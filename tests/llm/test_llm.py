@@ -398,6 +398,22 @@ def test_ratio_equals_brute_force(spark, docs, rows, orders):
         assert abs(r.score - want[r.doc_id]) < 1e-9 and r.kept == (not r.base_failed and r.score >= -0.4)
 
 
+@pytest.mark.parametrize("limit", ["10m", "-1"])
+def test_every_trusted_document_counts(spark, limit):
+    """However many there are, and by either kind of join."""
+    texts = spark.range(20_400).select("id", F.concat(F.lit("w"), F.col("id") % 7, F.lit(" v")).alias("text"))
+    more = spark.createDataFrame([(None, "w0"), (None, None), (5, "again"), (99_999, "raw")], "id long, text string")
+    trusted = spark.range(20_400).unionByName(spark.createDataFrame([(None,), (5,)], "id long")).withColumnRenamed("id", "doc_id")
+    folder, before = scratch_dir(spark), spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    try:
+        rules.ratios(texts.unionByName(more).withColumnRenamed("id", "doc_id"), trusted, folder)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    counts = spark.read.parquet(f"{folder}/counts").agg(F.sum("raw"), F.sum("target")).first()
+    assert tuple(counts) == (40_803, 40_801)
+
+
 def test_rules_stage_filters_and_runs_no_python(spark, docs, empty, capsys):
     trusted = spark.createDataFrame([(0,)], "doc_id long")
     kept = rules.passing(docs, trusted, scratch_dir(spark))

@@ -97,19 +97,22 @@ def _buckets(found: Column, orders: tuple[int, ...]) -> Column:
     return F.concat(*map(grams, orders)) if len(orders) > 1 else grams(*orders)
 
 
-def ratios(docs: DataFrame, trusted: DataFrame, folder: str, orders: tuple[int, ...] = (1,), sample: int = 20_000, smooth: float = 10_000.0) -> Column:
+def ratios(docs: DataFrame, trusted: DataFrame, folder: str, orders: tuple[int, ...] = (1,), smooth: float = 10_000.0) -> Column:
     """The log likelihood ratio of each bucket between trusted target and raw corpus, as one constant array.
 
-    The raw multinomial counts every n-gram of every document. The target's counts those of ``sample`` trusted documents, the
-    smallest by a hash of doc_id, and ``smooth`` pseudo-counts spread like the raw corpus. Counts are added up in the tasks, so at most
-    all buckets leave each; that fixed number of rows reaches the driver. Without trusted documents or n-grams all ratios are 0.
+    The raw multinomial counts every n-gram of every document. The target's counts those of every trusted document, and ``smooth``
+    pseudo-counts spread like the raw corpus. Counts are added up in the tasks, so at most all buckets leave each; that fixed number
+    of rows reaches the driver. Without trusted documents or n-grams all ratios are 0.
     """
-    chosen = trusted.select(F.col("doc_id").cast("long").alias("_trusted")).where("_trusted is not null").distinct()
-    chosen = chosen.orderBy(F.xxhash64("_trusted"), "_trusted").limit(sample)
-    texts = docs.select(F.col("doc_id").cast("long").alias("_id"), words(F.col("text").cast("string")).alias("_words"))
-    flagged = texts.join(F.broadcast(chosen), F.col("_id") == F.col("_trusted"), "left")
-    grams = flagged.select("_trusted", F.explode(_buckets(F.col("_words"), orders)).alias("bucket"))
-    counts = grams.groupBy("bucket").agg(F.count(F.lit(1)).cast("double").alias("raw"), F.count("_trusted").cast("double").alias("target"))
+    chosen = trusted.select(F.lit(False).alias("_none"), F.col("doc_id").cast("long").alias("_id")).where("_id is not null").distinct()
+    chosen = store(chosen.withColumn("_trusted", F.lit(True)), folder, "trusted")
+    # Where the join needs a shuffle, what moves is two bytes for each n-gram. Rows without doc_id are spread by their texts.
+    key, text = F.col("doc_id").cast("long"), F.col("text").cast("string")
+    found = F.transform(_buckets(words(text), orders), lambda bucket: bucket.cast("short")).alias("_buckets")
+    texts = docs.select(key.isNull().alias("_none"), F.coalesce(key, F.xxhash64(text)).alias("_id"), found)
+    flagged = texts.join(chosen, ["_none", "_id"], "left")
+    grams = flagged.select("_trusted", F.explode("_buckets").alias("bucket"))
+    counts = grams.groupBy(F.col("bucket").cast("int").alias("bucket")).agg(F.count(F.lit(1)).cast("double").alias("raw"), F.count("_trusted").cast("double").alias("target"))
     counts = store(counts, folder, "counts")
     every = docs.sparkSession.range(BUCKETS).select(F.col("id").cast("int").alias("bucket"))
     raw, target = counts.agg(F.coalesce(F.sum("raw"), F.lit(0.0)), F.coalesce(F.sum("target"), F.lit(0.0))).first()
