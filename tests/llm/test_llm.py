@@ -249,6 +249,22 @@ def test_few_edits_keep_texts_alike():
     assert 0.5 < likeness(text, text[: len(text) * 2 // 3] + prose(9, 900)[: len(text) // 3]) < 0.85
 
 
+def full_likeness(a: str, b: str) -> float:
+    """The share of steps at which both whole walks write the same character."""
+    one, other = (edits.Text(None, t) for t in (a, b))
+    shown = [t.codes[np.searchsorted(t.ends, np.arange(t.ends[-1]), side="right")] for t in (one, other)]
+    n = min(map(len, shown))
+    return (shown[0][:n] == shown[1][:n]).sum() / max(map(len, shown))
+
+
+def test_likeness_counts_the_longer_tail():
+    text = prose(11, 30_000)
+    for n, m in ((2048, 1024), (130_000, 65_536), (1500, 1000), (1025, 1024), (2000, 1100), (1024, 900)):
+        assert abs(likeness(text[:n], text[:m]) - full_likeness(text[:n], text[:m])) < 0.1
+        assert abs(likeness(text[:m], text[:n]) - m / n) < 0.1
+    assert abs(edits.Text(1, text[:1500]).row(edits.Text(2, ""))[5] - 2 / 3) < 0.1
+
+
 def test_fingerprints_of_edited_texts(spark, docs, rows, empty):
     found = edits.fingerprint_edits(docs, scratch_dir(spark)).collect()
     order = sorted(((r[0], r[1] or "") for r in rows), key=lambda r: (-r[0], r[1]))

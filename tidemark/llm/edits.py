@@ -82,8 +82,9 @@ class Walk:
         """How many bands agree in all sampled bits, and the verified likeness from 0 to 1.
 
         Compared are the sampled steps of the largest scale that both have. Sampled bits of unlike characters agree half of the
-        time, so the share of like ones is twice the share of agreement less one; steps of one walk alone count as unlike. Without a
-        common scale, one text is more than twice as long as the other, and the likeness is 0.
+        time, so the share of like ones is twice the share of agreement less one; steps of one walk alone count as unlike. So do those
+        past the scale's range: the longer walk counts with the samples that it would have there. Without a common scale, one text is
+        more than twice as long as the other, and the likeness is 0.
         """
         a, b = one.split(":"), other.split(":")
         shared = {int(a[1]) - x: (x, y) for x in (0, 1) for y in (0, 1) if int(a[1]) - x == int(b[1]) - y >= 0}
@@ -93,6 +94,8 @@ class Walk:
         x, y = shared[scale]
         lengths = sorted((int(a[0]), int(b[0])))
         both, either = np.searchsorted(self.places[scale], lengths).tolist()
+        if lengths[1] > 2 << scale:
+            either = len(self.places[scale]) * lengths[1] / max(2 << scale, lengths[0])
         bits = np.unpackbits(np.frombuffer(bytes.fromhex(a[2 + x]) + bytes.fromhex(b[2 + y]), dtype=np.uint8)).reshape(2, -1)
         agree = bits[0, :both] == bits[1, :both]
         # A band takes every so-manieth step, so that it samples the whole walk.
