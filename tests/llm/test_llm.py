@@ -480,6 +480,20 @@ def test_near_duplicates_equal_brute_force(spark, docs, rows, empty):
     assert simhash.one_of_each(empty, scratch_dir(spark)).count() == 0
 
 
+def test_one_row_of_each_component(spark):
+    """Whether rows share a doc_id, have none, or are equal."""
+    a, b, c, d, e = (prose(k) for k in range(40, 45))
+    data = [(None, a, "x"), (None, a, "y"), (None, b, "x"), (None, None, "x"), (5, c, "x"), (5, d, "x"), (5, d, "x"), (4, d, None), (9, e, "x"), (None, e, "x"), (0, "other words", None)]
+    results = []
+    for n in (1, 3):
+        table = spark.createDataFrame(data[::n] + (data[1::n] + data[2::n] if n > 1 else []), "doc_id long, text string, lang string").repartition(n)
+        results.append(sorted(map(tuple, simhash.one_of_each(table, scratch_dir(spark)).collect()), key=str))
+    assert results[0] == results[1]
+    fixed = [r for r in results[0] if r[1] != a]
+    assert len(results[0]) == len(fixed) + 1
+    assert fixed == sorted([(None, b, "x"), (None, None, "x"), (5, c, "x"), (4, d, None), (9, e, "x"), (0, "other words", None)], key=str)
+
+
 def test_links_of_planted_distances(spark):
     rng = random.Random(9)
     prints = set()

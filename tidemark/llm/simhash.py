@@ -36,16 +36,20 @@ def simhash(text: bytes, shingle: int = 3) -> int:
     return int(np.packbits(2 * counts > len(hashes), bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
-    """doc_id and SimHash (``fp``, the 64 bits as a signed long) of every row; a null or blank text has 0."""
+def fingerprints(docs: DataFrame, shingle: int = 3, beside: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id and SimHash (``fp``, the 64 bits as a signed long) of every row; a null or blank text has 0.
+
+    The longs named in ``beside`` stay beside them.
+    """
+    names = ["doc_id", *beside]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             found = np.array([simhash(text, shingle) for text in utf8(batch["text"])], dtype=np.uint64)
-            yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(found.view(np.int64))], names=["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([*[batch[c] for c in names], pa.array(found.view(np.int64))], names=[*names, "fp"])
 
-    texts = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].cast("string").alias("text"))
-    return texts.mapInArrow(run, "doc_id long, fp long")
+    texts = docs.select(*[docs[c].cast("long").alias(c) for c in names], docs["text"].cast("string").alias("text"))
+    return texts.mapInArrow(run, ", ".join(f"{c} long" for c in [*names, "fp"]))
 
 
 def _constants(rows: list[tuple[int, ...]]) -> F.Column:
@@ -110,14 +114,19 @@ def near_duplicates(docs: DataFrame, folder: str, shingle: int = 3) -> DataFrame
     without words (fingerprint 0) included. Repeated rows stay and share a component. A null doc_id never names a component unless
     it has no other member. Columns beside these two are not read. ``folder`` is shared by all executors.
     """
-    prints = store(fingerprints(docs, shingle), folder, "prints")
+    return _grouped(fingerprints(docs, shingle), folder).select("doc_id", "fp", "component_id")
+
+
+def _grouped(prints: DataFrame, folder: str) -> DataFrame:
+    """Every row of ``prints`` (doc_id, fp and others) with ``root``, which no two components share, and ``component_id``."""
+    prints = store(prints, folder, "prints")
     classes = store(prints.groupBy("fp").agg(F.min("doc_id").alias("first")), folder, "classes")
     roots = store(components(linked(classes.select("fp"), folder), folder), folder, "roots")
     member = classes.join(roots.withColumnsRenamed({"node": "fp"}), "fp", "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
     member = store(member, folder, "member")
     least = store(member.groupBy("root").agg(F.min("first").alias("component_id")), folder, "least")
-    named = store(member.join(least, "root").select("fp", "component_id"), folder, "named")
-    return prints.join(named, "fp").select("doc_id", "fp", "component_id")
+    named = store(member.join(least, "root").select("fp", "root", "component_id"), folder, "named")
+    return prints.join(named, "fp")
 
 
 def hex_print(fp: F.Column) -> F.Column:
@@ -125,14 +134,23 @@ def hex_print(fp: F.Column) -> F.Column:
 
 
 def one_of_each(docs: DataFrame, folder: str, shingle: int = 3) -> DataFrame:
-    """The rows of ``docs`` without near-duplicates: of each component the row with the smallest doc_id.
+    """The rows of ``docs`` without near-duplicates: of each component one row, with all its columns.
 
-    doc_id is taken for a key: rows that share one count as repeats, of which one stays. All columns are kept.
+    It is the one with the smallest doc_id, a null one last; among equal ones that with the smallest hash of the whole row. So the
+    choice does not depend on the order of rows, and only rows that are equal in all columns can stand for each other. Rows of
+    different components all stay, whether they share a doc_id or have none.
     """
-    found = near_duplicates(docs, folder, shingle)
-    # Null-free keys, so that join and removal of repeats share one shuffle of the texts.
-    keys = {"_none": F.col("doc_id").isNull(), "_id": F.coalesce(F.col("doc_id").cast("long"), F.lit(0).cast("long"))}
-    chosen = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(*[v.alias(k) for k, v in keys.items()]).distinct()
+    # A row's doc_id and 128 bits of hash are its key. The keys are free of nulls, so that join and removal of repeats share one
+    # shuffle of the texts.
+    whole = [F.to_json(F.struct(F.col(f"`{c}`"))) if "map<" in kind else F.col(f"`{c}`") for c, kind in docs.dtypes]
+    # A hash passes over nulls: which columns have one is hashed as well.
+    nulls = F.concat(*[F.col(f"`{c}`").isNull().cast("int").cast("string") for c in docs.columns])
+    keys = {"_none": F.col("doc_id").cast("long").isNull(), "_id": F.coalesce(F.col("doc_id").cast("long"), F.lit(0).cast("long"))}
+    keys |= {f"_hash{k}": F.xxhash64(F.lit(k), nulls, *whole) for k in (1, 2)}
+    texts = docs.select("doc_id", "text", *[keys[k].alias(k) for k in ("_hash1", "_hash2")])
+    found = _grouped(fingerprints(texts, shingle, ("_hash1", "_hash2")), folder)
+    key = F.struct(F.col("doc_id").isNull().alias("_none"), F.coalesce("doc_id", F.lit(0).cast("long")).alias("_id"), "_hash1", "_hash2")
+    chosen = found.groupBy("root").agg(F.min(key).alias("key")).select("key.*")
     rows = packed(docs, *[v.alias(k) for k, v in keys.items()])
     rows = rows.join(store(chosen, folder, "chosen"), [*keys], "left_semi").dropDuplicates([*keys])
     return unpacked(rows, docs.columns)
