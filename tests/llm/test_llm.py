@@ -203,6 +203,21 @@ def test_shards_round_trip(spark, docs, rows, empty):
     assert tokens.read_shards(manifest).count() == 0 and tokens.shard_starts(manifest, folder).count() == 0
 
 
+def test_shards_take_rows_without_doc_id(spark):
+    data = [(7, "one"), (None, "b c"), (None, None), (-3, "two"), (None, "b c"), (7, "")] + [(None, f"{k} more words") for k in range(40)]
+    folder = scratch_dir(spark)
+    table = spark.createDataFrame(data, "doc_id long, text string").repartition(3)
+    manifest = store(tokens.write_shards(table, f"{folder}/shards", shard_tokens=12), folder, "manifest")
+    read = tokens.read_shards(manifest).join(tokens.shard_starts(manifest, folder), "path").collect()
+    library = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    start, want = 0, []
+    for doc_id, text in sorted(((k, t or "") for k, t in data), key=lambda r: (r[0] is None, r[0] or 0, r[1])):
+        ids = [*library.encode(text, add_special_tokens=False).ids, 1]
+        want.append((start, doc_id, ids))
+        start += len(ids)
+    assert sorted(((r.start + r.local_start, r.doc_id, r.ids) for r in read), key=lambda r: r[0]) == want
+
+
 # 4 quality
 
 

@@ -10,6 +10,7 @@ from functools import cache
 import numpy as np
 import pyarrow as pa
 import public_tokenizers
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -18,9 +19,9 @@ from tidemark.llm.bpe import byte_alphabet
 from tidemark.llm.common import open_shared, running_total, slices, utf8, write_shared
 from tidemark.plans.storage import store
 
-#: File format: magic, then these numbers, then doc_ids, offsets, zeros of each plane, and per plane its ranks and its bits.
-MAGIC = b"TMWM0001"
-HEAD = struct.Struct("<8sQQII")
+#: File format: magic, then these numbers (documents, those of them that have a doc_id, ids, width, block), then doc_ids, offsets, zeros of each plane, and per plane its ranks and its bits.
+MAGIC = b"TMWM0002"
+HEAD = struct.Struct("<8sQQQII")
 BLOCK = 512
 MANIFEST = "path string, first long, docs long, tokens long"
 READ = "path string, place long, doc_id long, local_start long, n_tokens long, ids_crc32 long"
@@ -114,17 +115,19 @@ class Wavelet:
         return values
 
 
-def shard_bytes(doc_ids: np.ndarray, lengths: np.ndarray, ids: np.ndarray, width: int) -> list[bytes]:
+def shard_bytes(doc_ids: np.ndarray, lengths: np.ndarray, ids: np.ndarray, width: int, nameless: int = 0) -> list[bytes]:
+    """The parts of a shard file; ``nameless``: how many documents without a doc_id follow those of ``doc_ids``, as the last ones."""
+    named, doc_ids = len(doc_ids), np.concatenate([doc_ids, np.zeros(nameless)]).astype(np.int64) if nameless else doc_ids
     matrix = Wavelet.build(ids, width)
     offsets = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int64)
-    parts = [HEAD.pack(MAGIC, len(doc_ids), len(ids), width, BLOCK), doc_ids.astype(np.int64).tobytes(), offsets.tobytes(), matrix.zeros.tobytes()]
+    parts = [HEAD.pack(MAGIC, len(doc_ids), named, len(ids), width, BLOCK), doc_ids.astype(np.int64).tobytes(), offsets.tobytes(), matrix.zeros.tobytes()]
     parts += [x.tobytes() for plane in zip(matrix.ranks, matrix.planes) for x in plane]
     return [*parts, struct.pack("<I", zlib.crc32(b"".join(parts)))]
 
 
-def read_shard(body: bytes) -> tuple[np.ndarray, np.ndarray, Wavelet]:
-    """Doc ids, offsets and the wavelet matrix of a shard file."""
-    magic, docs, tokens, width, block = HEAD.unpack_from(body)
+def read_shard(body: bytes) -> tuple[pa.Array, np.ndarray, Wavelet]:
+    """Doc ids (null where a document has none), offsets and the wavelet matrix of a shard file."""
+    magic, docs, named, tokens, width, block = HEAD.unpack_from(body)
     if magic != MAGIC or block != BLOCK or zlib.crc32(body[:-4]) != struct.unpack("<I", body[-4:])[0]:
         raise ValueError("not a whole shard file")
     at = HEAD.size
@@ -141,7 +144,7 @@ def read_shard(body: bytes) -> tuple[np.ndarray, np.ndarray, Wavelet]:
     for _ in range(width):
         ranks.append(take(np.uint64, size + 1))
         planes.append(take(np.uint8, size * BLOCK // 8))
-    return doc_ids, offsets, Wavelet(tokens, zeros, ranks, planes)
+    return pa.array(doc_ids, mask=np.arange(docs) >= named), offsets, Wavelet(tokens, zeros, ranks, planes)
 
 
 class PieceCodec:
@@ -196,34 +199,35 @@ def shared_codec(path: str | None) -> PieceCodec:
 def write_shards(docs: DataFrame, folder: str, path: str | None = None, end_id: int = 1, shard_tokens: int = 2_000_000) -> DataFrame:
     """Encode every document and write shard files in ascending doc_id order into ``folder``; return their manifest.
 
-    ``docs`` has doc_id and text. A null text counts as empty and gives ``end_id`` alone; rows without a doc_id can't be filed and
-    raise an error; equal doc_ids stand in the order of their texts. A shard ends after the document with which it reaches
+    ``docs`` has doc_id and text. A null text counts as empty and gives ``end_id`` alone; rows without a doc_id come last; rows
+    with equal doc_ids or none stand in the order of their texts. A shard ends after the document with which it reaches
     ``shard_tokens``, so that a task holds one shard. ``folder`` must be shared by all executors. File names follow from the
-    first doc_id and its place among equal ones, so that a repeated task writes the same files again. Write into a new folder each time.
+    first doc_id and its place among equal ones, or without one from the task, so that a repeated task writes the same files again.
+    Write into a new folder each time.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = None
-        doc_ids: list[int] = []
+        codec, part = None, TaskContext.get().partitionId()
+        doc_ids: list[int | None] = []
         parts: list[np.ndarray] = []
         size = shards = 0
 
         def flush() -> pa.RecordBatch:
             nonlocal size, shards, doc_ids, parts
-            name = f"{folder}/{doc_ids[0]:020d}-{shards:06d}.wm"
+            first = f"none-{part:06d}" if doc_ids[0] is None else f"{doc_ids[0]:020d}"
+            name = f"{folder}/{first}-{shards:06d}.wm"
+            named = np.array([k for k in doc_ids if k is not None], dtype=np.int64)
             ids = np.concatenate(parts)
-            write_shared(name, shard_bytes(np.array(doc_ids), np.array([len(p) for p in parts]), ids, width))
+            write_shared(name, shard_bytes(named, np.array([len(p) for p in parts]), ids, width, len(doc_ids) - len(named)))
             row = [[name], [doc_ids[0]], [len(doc_ids)], [len(ids)]]
             size, shards, doc_ids, parts = 0, shards + 1, [], []
-            return pa.RecordBatch.from_arrays([pa.array(c) for c in row], names=["path", "first", "docs", "tokens"])
+            return pa.RecordBatch.from_arrays([pa.array(row[0]), *[pa.array(c, pa.int64()) for c in row[1:]]], names=["path", "first", "docs", "tokens"])
 
         for batch in slices(batches, 64):
             if codec is None:
                 codec = shared_codec(path)
                 width = max(codec.tokenizer.get_vocab_size(with_added_tokens=True) - 1, end_id).bit_length()
             for doc_id, text in zip(batch["doc_id"].to_pylist(), utf8(batch["text"])):
-                if doc_id is None:
-                    raise ValueError("a document without doc_id")
                 doc_ids.append(doc_id)
                 parts.append(np.append(codec.encode(text), np.int32(end_id)))
                 size += len(parts[-1])
@@ -233,13 +237,16 @@ def write_shards(docs: DataFrame, folder: str, path: str | None = None, end_id:
             yield flush()
 
     texts = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].cast("string").alias("text"))
-    ordered = texts.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
+    # Rows without doc_id may be many: the start of their texts spreads them over the ranges.
+    start = F.when(F.col("doc_id").isNull(), F.substring("text", 1, 64))
+    order = F.col("doc_id").asc_nulls_last()
+    ordered = texts.repartitionByRange(order, start).sortWithinPartitions(order, "text")
     return ordered.mapInArrow(run, MANIFEST)
 
 
 def shard_starts(manifest: DataFrame, folder: str) -> DataFrame:
     """path and start of each shard file: how many ids all files before it hold."""
-    totals = running_total(manifest.select("path", "first", "tokens"), [F.col("first"), F.col("path")], "tokens", folder)
+    totals = running_total(manifest.select("path", "first", "tokens"), [F.col("first").asc_nulls_last(), F.col("path")], "tokens", folder)
     return store(totals.select("path", F.col("_before").alias("start")), folder, "starts")
 
 
