@@ -126,6 +126,12 @@ def test_blocks_follow_the_markup():
     assert html.main_text("", {}) == "" and html.main_text("<nav>menu</nav>", {}) == ""
 
 
+@pytest.mark.parametrize("head", ["<head>", "<head><title>t</title><meta charset=x><style>s</style>", "<head><template><p>no</p></template><script>x</script>"])
+@pytest.mark.parametrize("body", ["<body><p>a<p>b</body>", "<p>a<p>b", "</body><p>a<p>b", "a<p>b", "<b>a</b><p>b", "&#97;<head><p>b", "</head>a<body><p>b"])
+def test_an_open_head_ends_with_the_body(head, body):
+    assert [b.text for b in html.blocks_of(f"<html>{head}\n {body}")] == ["a", "b"]
+
+
 def test_main_text_leaves_the_surroundings_out():
     page = (
         "<body><header class=site><a href=/>Home</a></header><nav><ul><li><a href=/a>A</a></ul></nav><div class='cookie-notice'>We use cookies.</div>"

@@ -24,6 +24,7 @@ BLOCKS = frozenset(
 RAW = frozenset("script style title textarea iframe noembed noframes noscript xmp".split())
 SILENT = frozenset("head template svg math object canvas select button datalist audio video map".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
+HEAD_ONLY = frozenset("base basefont bgsound head html link meta noframes noscript script style template title".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 CLOSED_BY = {"li": ("ul", "ol", "menu", "dir"), "dt": ("dl",), "dd": ("dl",), "tr": ("table",), "td": ("table", "tr"), "th": ("table", "tr"), "option": ("select",)}
 # Words of class, id and role attributes that tell what a part of a page is for.
@@ -98,7 +99,8 @@ def _name_words(attributes: dict[str, str]) -> set[str]:
 def blocks_of(page: str) -> list[Block]:
     """The text blocks of a page in order, with what its structure says about each.
 
-    Tags that never close, close twice or end with the page are taken as browsers take them, as far as text and nesting go.
+    Tags that never close, close twice or end with the page are taken as browsers take them, as far as text and nesting go. So an open
+    head ends where text or an element starts that can't stand in it.
     """
     blocks: list[Block] = []
     stack = [Element("", 0, False, False, False, False, False, False)]
@@ -128,6 +130,8 @@ def blocks_of(page: str) -> list[Block]:
 
     def add(raw: str) -> None:
         nonlocal linked
+        if stack[-1].tag == "head" and raw.strip(" \t\n\f\r"):
+            pop_to("head")
         if raw and not stack[-1].silent:
             text = html.unescape(raw) if "&" in raw else raw
             parts.append(text)
@@ -152,6 +156,8 @@ def blocks_of(page: str) -> list[Block]:
         if found is None:  # the page ends inside a tag
             break
         at, tag = found.end(), found[2].lower()
+        if stack[-1].tag == "head" and (tag in ("body", "html", "br") if found[1] else tag not in HEAD_ONLY):
+            pop_to("head")
         if found[1]:
             if tag in BLOCKS:
                 flush()
