@@ -406,6 +406,16 @@ def test_measures_equal_brute_force(spark, rows):
     assert found == {k: base_measures(t or "") for k, t in enumerate(texts)}
 
 
+def test_repeats_in_long_texts_and_among_like_hashes(spark, monkeypatch):
+    a, b = 5 << 24, (5 << 24) + 1  # equal in the bits above the place
+    table = spark.createDataFrame([([a, b, a, b],), ([b, a, 7, a],), ([a, b, 7, 8],), ([-a, 3, -a],)], "hashes array<long>")
+    assert [r[0] for r in table.select(rules._repeated_places(F.col("hashes"))).collect()] == [[0, 1, 2, 3], [1, 3], [], [0, 2]]
+    monkeypatch.setattr(rules, "PLACE_BITS", 4)
+    texts = [" ".join(random.Random(k).choices("abcd", k=k)) for k in range(10, 60)]
+    found = rules.measures(spark.createDataFrame(list(enumerate(texts)), "k long, text string")).select("k", "n_repeat_words").collect()
+    assert {r.k: r[1] for r in found} == {k: base_measures(t)[4] for k, t in enumerate(texts)}
+
+
 @pytest.mark.parametrize("orders", [(1,), (1, 2)])
 def test_ratio_equals_brute_force(spark, docs, rows, orders):
     trusted = spark.createDataFrame([(0,), (3,), (3,), (None,), (999,)], "doc_id long")

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import SPACES, packed, unpacked, words
 from tidemark.plans.storage import store
 
-#: Low bits of a sort key that hold a word's place; longer texts are sorted by (hash, place) pairs.
+#: Low bits of a sort key that hold a window's place; texts with more windows are sorted by (hash, place) pairs.
 PLACE_BITS = 24
 BUCKETS = 1 << 14
 
@@ -35,7 +35,8 @@ def _repeated_places(hashes: Column) -> Column:
     """Places of the hashes that occur twice or more, in ascending order.
 
     The hash's high bits and the place make one number, so that equal windows are neighbours after a plain sort; neighbours count only
-    if their whole hashes are equal.
+    if their whole hashes are equal. Where places need more bits, or different hashes share their high bits and so may stand between
+    equal ones, (hash, place) pairs are sorted instead.
     """
 
     def same(keys: Column, one: Column, other: Column) -> Column:
@@ -50,7 +51,16 @@ def _repeated_places(hashes: Column) -> Column:
         F.array(keys),
         lambda sorted_keys: F.filter(sorted_keys, lambda key, k: (k > 0) & F.coalesce(same(sorted_keys, k - 1, k), F.lit(False)) | F.coalesce(same(sorted_keys, k, k + 1), F.lit(False))),
     )
-    return F.sort_array(F.transform(F.get(bound, F.lit(0)), lambda key: key.bitwiseAND(F.lit((1 << PLACE_BITS) - 1))))
+    short = F.sort_array(F.transform(F.get(bound, F.lit(0)), lambda key: key.bitwiseAND(F.lit((1 << PLACE_BITS) - 1))))
+
+    def paired(pairs: Column, one: Column, other: Column) -> Column:
+        return F.coalesce(F.get(pairs, one)["hash"] == F.get(pairs, other)["hash"], F.lit(False))
+
+    pairs = F.sort_array(F.transform(hashes, lambda h, k: F.struct(h.alias("hash"), k.cast("long").alias("place"))))
+    kept = F.transform(F.array(pairs), lambda found: F.filter(found, lambda _, k: (k > 0) & paired(found, k - 1, k) | paired(found, k, k + 1)))
+    exact = F.sort_array(F.transform(F.get(kept, F.lit(0)), lambda pair: pair["place"]))
+    shared = F.size(F.array_distinct(F.transform(hashes, lambda h: h.bitwiseAND(high)))) < F.size(F.array_distinct(hashes))
+    return F.when((F.size(hashes) > 1 << PLACE_BITS) | shared, exact).otherwise(short)
 
 
 def _covered(places: Column) -> Column:
