@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, edits, html, mixing, quality, rules, simhash, tokens, urls, warc
+from tidemark.llm import bpe, edits, html, infill, lexical, mixing, pieces, quality, rules, simhash, tokens, urls, warc
 from tidemark.plans.storage import scratch_dir, store
 
 
@@ -85,7 +85,37 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.hex_print(F.col("fp")).alias("fingerprint"), "component_id")
 
 
-QUERIES = {"op1_mixing": op1_mixing, "op2_html": op2_html, "op3_tokens": op3_tokens, "op4_quality": op4_quality, "op5_edits": op5_edits, "op6_warc": op6_warc, "op7_urls": op7_urls, "op8_bpe": op8_bpe, "op9_rules": op9_rules, "op10_simhash": op10_simhash}
+def op11_infill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = infill.fill_in_middle(_table(spark, sf_dir, "documents"), keep=["doc_id"])
+    text = infill.restored(F.col("output"), F.col("form"))
+    return found.select(
+        "_row.doc_id",
+        "n",
+        "form",
+        "prefix_chars",
+        "middle_chars",
+        F.sha2(F.col("output").cast("binary"), 256).alias("output_sha256"),
+        F.sha2(text.cast("binary"), 256).alias("restored_sha256"),
+    )
+
+
+def op12_lexical(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = scratch_dir(spark)
+    index, n = lexical.build_index(_table(spark, sf_dir, "documents"), folder)
+    return lexical.search(index, n, _table(spark, sf_dir, "benchmark"), folder)
+
+
+def op13_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded = pieces.encode_documents(_table(spark, sf_dir, "documents"), scratch_dir(spark))
+    return coded.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " ").cast("binary"), 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+    )
+
+
+QUERIES = {"op1_mixing": op1_mixing, "op2_html": op2_html, "op3_tokens": op3_tokens, "op4_quality": op4_quality, "op5_edits": op5_edits, "op6_warc": op6_warc, "op7_urls": op7_urls, "op8_bpe": op8_bpe, "op9_rules": op9_rules, "op10_simhash": op10_simhash, "op11_infill": op11_infill, "op12_lexical": op12_lexical, "op13_pieces": op13_pieces}
 # Which url's host has been seen with which outcomes, shrunk level by level as in ``urls.reputations``.
 _STRENGTH = """
   SELECT 1 / greatest(0.001, least(0.5, CASE WHEN g < 2 OR k = 0 OR k = n OR n - q / n - (g - 1) <= 0 THEN 0.5
@@ -157,4 +187,52 @@ WITH sized AS (
 SELECT doc_id, size, source_size, target, ((floor(place * rate + u) - floor((place - 1) * rate + u)) * size)::BIGINT AS taken FROM ranked
 """
 
-SQL: dict[str, str] = {"op1_mixing": _OP1, "op7_urls": _OP7}
+_OP11 = r"""
+WITH unit AS (
+  SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\n]*\n|[^\n]+') AS units,
+    sha256('7:' || coalesce(doc_id::VARCHAR, '')) AS digest
+  FROM documents
+), drawn AS (
+  SELECT doc_id, text, units, len(units)::BIGINT AS n, list_transform([1, 9, 17, 25], lambda k: ('0x' || substr(digest, k, 8))::BIGINT) AS h FROM unit
+), cut AS (
+  SELECT *, least(h[1] % (n + 1), h[2] % (n + 1)) AS a, greatest(h[1] % (n + 1), h[2] % (n + 1)) AS b,
+    CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h[3] % 100 >= 100 THEN 'plain'
+      WHEN h[4] % 100 < 50 THEN 'spm' ELSE 'psm' END AS form
+  FROM drawn
+), part AS (
+  SELECT *, coalesce(array_to_string(units[1:a], ''), '') AS p, coalesce(array_to_string(units[a + 1:b], ''), '') AS m,
+    coalesce(array_to_string(units[b + 1:n], ''), '') AS s
+  FROM cut
+)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(p)::BIGINT END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(m)::BIGINT END AS middle_chars,
+  sha256(CASE form WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m WHEN 'spm' THEN '<S>' || s || '<P>' || p || '<M>' || m ELSE text END) AS output_sha256,
+  sha256(text) AS restored_sha256
+FROM part
+"""
+
+_OP12 = rf"""
+WITH doc AS (
+  SELECT row_number() OVER () AS row, doc_id, regexp_extract_all(translate(coalesce(text, ''), '{lexical.UPPER}', '{lexical.LOWER}'), '{lexical.TERM}') AS terms
+  FROM documents
+), total AS (
+  SELECT count(*)::BIGINT AS docs, sum(len(terms))::BIGINT AS length FROM doc WHERE len(terms) > 0
+), item AS (
+  SELECT row_number() OVER () AS item, item_id,
+    list_distinct(regexp_extract_all(translate(coalesce(text, ''), '{lexical.UPPER}', '{lexical.LOWER}'), '{lexical.TERM}')) AS terms
+  FROM benchmark
+), posting AS (
+  SELECT row, any_value(doc_id) AS doc_id, term, count(*)::BIGINT AS tf, any_value(n) AS n
+  FROM (SELECT row, doc_id, len(terms)::BIGINT AS n, unnest(terms) AS term FROM doc) GROUP BY row, term
+), weight AS (
+  SELECT term, floor(1000 * ln((2.0::DOUBLE * (SELECT docs FROM total) + 2) / (2 * count(*) + 1)))::BIGINT AS w FROM posting GROUP BY term
+), scored AS (
+  SELECT item, any_value(item_id) AS item_id, row, any_value(doc_id) AS doc_id,
+    sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * (SELECT docs FROM total)) // (SELECT length FROM total)))))::BIGINT AS score
+  FROM (SELECT item, item_id, unnest(terms) AS term FROM item) JOIN weight USING (term) JOIN posting USING (term) GROUP BY item, row
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id NULLS LAST)::INTEGER AS rank FROM scored WHERE score > 0
+)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 50
+"""
+
+SQL: dict[str, str] = {"op1_mixing": _OP1, "op7_urls": _OP7, "op11_infill": _OP11, "op12_lexical": _OP12}
