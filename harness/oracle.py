@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from harness.queries import AS_OF, BRANDS, CONTENT_PLACES, CUT_DAY, PLACES, RANGE
+from harness.queries import AS_OF, BRANDS, CUT_DAY, PLACES, RANGE, SHORT_DAYS
 from tidemark.plans.clickstream import EXPORTED
 
 STEPS = ("view", "cart", "purchase")
@@ -329,11 +329,11 @@ def _query(ctes: str, select: str, doubles: tuple[str, ...] = ()) -> str:
 
 
 def _content(tables: dict[str, str]) -> str:
-    """For every column of every table: how many values it has and the sum of those that are numbers."""
+    """For every column of every table: how many values it has and the sum of those that are numbers, added as decimals."""
     parts = [
-        f"""SELECT '{name}' AS table_name, column_name, filled, round(total, {CONTENT_PLACES}) AS total
+        f"""SELECT '{name}' AS table_name, column_name, filled, CAST(total AS VARCHAR) AS total
 FROM (SELECT count(COLUMNS('(.*)')) AS "\\1" FROM ({rows})) UNPIVOT (filled FOR column_name IN (*))
-JOIN (SELECT * FROM (SELECT sum(TRY_CAST(CAST(COLUMNS('(.*)') AS VARCHAR) AS DOUBLE)) AS "\\1" FROM ({rows}))
+JOIN (SELECT * FROM (SELECT sum(TRY_CAST(CAST(COLUMNS('(.*)') AS VARCHAR) AS DECIMAL(38,6))) AS "\\1" FROM ({rows}))
   UNPIVOT INCLUDE NULLS (total FOR column_name IN (*))) USING (column_name)"""
         for name, rows in tables.items()
     ]
@@ -570,6 +570,11 @@ FROM per_category LEFT JOIN dim_category USING (category_id)""",
         "user_purchase_cohort": _query(ACTIVITY, "SELECT * FROM starts"),
         "cohort_activity": _query(ACTIVITY, "SELECT * FROM activity", ("revenue_gross",)),
         "cohort_retention_summary": _query(SUMMARY, "SELECT * FROM summary", _SUMMARY_RATES),
+        "cohort_retention_summary_short": _query(
+            f"{ACTIVITY}, {_retention('activity', 'purchase_date', SHORT_DAYS)}",
+            "SELECT * FROM summary",
+            tuple(f"retention_d{n}" for n in SHORT_DAYS),
+        ),
         "cohort_retention_curve": _query(CURVE, "SELECT * FROM curve", ("retention_rate",)),
         "cohort_retention_curve_cut": _query(
             CURVE, f"SELECT * FROM curve WHERE days_since <= {CUT_DAY}", ("retention_rate",)

@@ -24,8 +24,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 AS_OF = "2001-08-02"
 RANGE = ("1998-01-01", "1999-01-01")
 PLACES = 6
-CONTENT_PLACES = 2
 CUT_DAY = 7
+SHORT_DAYS = (1, 7, 20)
 BRANDS = 5
 
 
@@ -109,12 +109,15 @@ def _weighted(**options) -> Query:
 
 
 def _content(tables: dict[str, DataFrame]) -> DataFrame:
-    """For every column of every table: how many values it has and the sum of those that are numbers."""
+    """For every column of every table: how many values it has and the sum of those that are numbers.
+
+    Numbers are added as decimals: the sum does not depend on the order of rows, and ids of 19 digits keep them all.
+    """
 
     def measured(name: str, df: DataFrame) -> DataFrame:
         def row(c: str) -> Column:
-            number = F.col(c).cast("string").try_cast("double")
-            filled, total = F.count(c).alias("filled"), F.round(F.sum(number), CONTENT_PLACES).alias("total")
+            number = F.col(c).cast("string").try_cast("decimal(38,6)")
+            filled, total = F.count(c).alias("filled"), F.sum(number).cast("string").alias("total")
             return F.struct(F.lit(c).alias("column_name"), filled, total)
 
         return df.agg(F.array(*map(row, df.columns)).alias("rows")).select(F.lit(name).alias("table_name"), F.inline("rows"))
@@ -192,7 +195,7 @@ def _daily_calendar(spark: SparkSession, sf: str) -> DataFrame:
 def _row_integrity(spark: SparkSession, sf: str) -> DataFrame:
     raw = _raw(spark, sf)
     events = events_clean(raw)
-    return quality.qa_row_integrity(raw, star.fact_events(events), star.dim_session(events))
+    return quality.qa_row_integrity(raw, star.fact_events(events))
 
 
 def _ticket_flags(tickets: DataFrame) -> DataFrame:
@@ -271,6 +274,7 @@ QUERIES: dict[str, Query] = {
     "user_purchase_cohort": _over_purchases(cohorts.user_purchase_cohort),
     "cohort_activity": _over_purchases(cohorts.cohort_activity),
     "cohort_retention_summary": _over_summary(lambda s: s),
+    "cohort_retention_summary_short": _over_activity(lambda a: cohorts.cohort_retention_summary(a, SHORT_DAYS)),
     "cohort_retention_curve": _over_curve(lambda c: c),
     "cohort_retention_curve_cut": _over_activity(lambda a: cohorts.cohort_retention_curve(a, CUT_DAY)),
     "weighted_retention_cards": _over_summary(cohorts.weighted_retention_cards),

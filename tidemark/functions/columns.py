@@ -44,17 +44,24 @@ def null_safe_join(left: DataFrame, right: DataFrame, keys: list[str], how: str
     return left.join(right, cond, how).drop(*[f"__{k}" for k in keys])
 
 
+def wall_micros(moment: str) -> Column:
+    """Microseconds from 1970 to a zone-free time, the same in every session zone: days and time of day, never a local instant."""
+    seconds = F.hour(moment) * 3600 + F.minute(moment) * 60
+    exact = F.extract(F.lit("SECOND"), F.col(moment)) * 1_000_000
+    return F.unix_date(F.to_date(moment)).cast("bigint") * 86_400_000_000 + seconds.cast("bigint") * 1_000_000 + exact.cast("bigint")
+
+
 def time_key(fact: DataFrame, value: str) -> Column:
     """What orders events by time and among equal times by ``event_id``, or by the value where there is none.
 
     With ``event_id`` it is one number, which fits the fixed-width buffers of hash aggregation, so that no event has to be
-    sorted; a struct does not.
+    sorted; a struct does not. An event without an id comes after those of the same time that have one.
     """
     if "event_id" not in fact.columns:
         return F.struct("event_ts", value)
-    micros = F.unix_micros(F.col("event_ts").cast("timestamp")).cast("decimal(18,0)")
-    wide = micros * F.lit("10000000000000000000").cast("decimal(20,0)")
-    return (wide + F.col("event_id").cast("decimal(19,0)")).cast("decimal(38,0)")
+    wide = wall_micros("event_ts").cast("decimal(18,0)") * F.lit("10000000000000000000").cast("decimal(20,0)")
+    number = F.coalesce(F.col("event_id").cast("decimal(19,0)"), F.lit("9999999999999999999").cast("decimal(19,0)"))
+    return (wide + number).cast("decimal(38,0)")
 
 
 def first_by_time(fact: DataFrame, value: str, where: Column) -> Column:

@@ -54,7 +54,7 @@ def rate_pct(num: str, den: str) -> Column:
     return F.bround(share * 100, 2)
 
 
-def total(value: Column) -> Column:
+def total(value: Column | str) -> Column:
     """Aggregate: sum that is 0, not NULL, when there is nothing to add."""
     return F.coalesce(F.sum(value), F.lit(0)).cast("bigint")
 

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import is_paid, ratio
@@ -55,23 +55,31 @@ def _with_observed_rates(cohorts: DataFrame, days: Iterable[int]) -> DataFrame:
     ).drop("last_day")
 
 
-def cohort_retention_summary(activity: DataFrame, days: Iterable[int] = (1, 7, 30)) -> DataFrame:
-    """Cohort size, users back on day N and their share; the share is NULL for days past the data."""
+def _users_where(condition: Column, users: str | None) -> Column:
+    """Aggregate: users of the rows that meet the condition; ``users`` names a column with a row's users, else each row is one."""
+    return F.count_if(condition) if users is None else F.coalesce(F.sum(F.when(condition, F.col(users))), F.lit(0)).cast("bigint")
+
+
+def cohort_retention_summary(activity: DataFrame, days: Iterable[int] = (1, 7, 30), users: str | None = None) -> DataFrame:
+    """Cohort size, users back on day N and their share; the share is NULL for days past the data.
+
+    ``activity`` has a row per user and purchase day, or, with ``users``, rows that stand for as many users as that column says.
+    """
     days = tuple(days)
     cohorts = activity.groupBy("cohort_date").agg(
-        F.count_if(F.col("days_since") == 0).alias("cohort_size"),
-        *[F.count_if(F.col("days_since") == n).alias(f"retained_d{n}_users") for n in days],
+        _users_where(F.col("days_since") == 0, users).alias("cohort_size"),
+        *[_users_where(F.col("days_since") == n, users).alias(f"retained_d{n}_users") for n in days],
         F.max("purchase_date").alias("last_day"),
     )
     return _with_observed_rates(cohorts, days).orderBy("cohort_date")
 
 
-def cohort_retention_curve(activity: DataFrame, max_day: int = 30) -> DataFrame:
-    """Active users and their share of the cohort for day offsets 0..max_day."""
+def cohort_retention_curve(activity: DataFrame, max_day: int = 30, users: str | None = None) -> DataFrame:
+    """Active users and their share of the cohort for day offsets 0..max_day; ``users`` as in the summary."""
     per_day = (
         activity.where(F.col("days_since").between(0, max_day))
         .groupBy("cohort_date", "days_since")
-        .agg(F.count(F.lit(1)).alias("active_users"))
+        .agg(_users_where(F.lit(True), users).alias("active_users"))
     )
     size = F.max("active_users").over(Window.partitionBy("cohort_date"))
     return per_day.withColumn("retention_rate", ratio(F.col("active_users"), size)).orderBy(

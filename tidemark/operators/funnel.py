@@ -22,12 +22,15 @@ _DISTINCT_NAMES = {
 }
 
 
-def _first_paid_price(fact: DataFrame) -> Column:
-    """Aggregate: price of the earliest revenue purchase."""
-    return first_by_time(fact, "price", is_paid())
+def _paid_key(fact: DataFrame) -> Column:
+    return F.when(is_paid(), time_key(fact, "price"))
 
 
-def _per_product(fact: DataFrame, with_category: bool = False) -> DataFrame:
+def product_steps(fact: DataFrame, with_category: bool = False) -> DataFrame:
+    """Per (session, user, product): bounds, first times and counts of the steps, revenue, and the earliest revenue purchase.
+
+    Such rows can be added up further (``merged_steps``): those of several days give those of all days.
+    """
     steps = []
     if with_category:
         known = F.col("category_id").isNotNull()
@@ -44,21 +47,37 @@ def _per_product(fact: DataFrame, with_category: bool = False) -> DataFrame:
             F.max("event_ts").alias("last_ts"),
             *steps,
             F.sum(F.when(is_paid(), F.col("price"))).alias("gross"),
-            _first_paid_price(fact).alias("first_paid_price"),
+            first_by_time(fact, "price", is_paid()).alias("first_paid_price"),
+            F.min(_paid_key(fact)).alias("first_paid_key"),
         )
     )
 
 
-def _per_session(fact: DataFrame, with_category: bool = False) -> DataFrame:
+def merged_steps(steps: DataFrame) -> DataFrame:
+    """Rows of ``product_steps`` of several parts of the events (days, say) as those of all parts together."""
+    firsts = [name for name in ("first_category", "first_paid") if f"{name}_key" in steps.columns]
+    values = {"first_category": "first_category_id", "first_paid": "first_paid_price"}
+    return steps.groupBy(*SESSION, "product_id").agg(
+        F.min("first_ts").alias("first_ts"),
+        F.max("last_ts").alias("last_ts"),
+        *[F.min(f"first_{step}_ts").alias(f"first_{step}_ts") for step in FUNNEL_STEPS],
+        *[F.sum(f"{step}_events").alias(f"{step}_events") for step in FUNNEL_STEPS],
+        F.sum("gross").alias("gross"),
+        *[F.min_by(values[name], f"{name}_key").alias(values[name]) for name in firsts],
+        *[F.min(f"{name}_key").alias(f"{name}_key") for name in firsts],
+    )
+
+
+def _per_session(steps: DataFrame) -> DataFrame:
     """Session rows with all step columns, plus ``dedup``: the sum of first paid prices, NULL if none."""
+    with_category = "first_category_key" in steps.columns
     has_product = F.col("product_id").isNotNull()
     category = []
     if with_category:
         category.append(F.min_by("first_category_id", "first_category_key").alias("first_category_id"))
         category.append(F.min("first_category_key").alias("first_category_key"))
     rolled = (
-        _per_product(fact, with_category)
-        .groupBy(*SESSION)
+        steps.groupBy(*SESSION)
         .agg(
             F.min("first_ts").alias("session_start_ts"),
             F.max("last_ts").alias("session_end_ts"),
@@ -90,7 +109,7 @@ def _per_session(fact: DataFrame, with_category: bool = False) -> DataFrame:
 
 def session_step_agg(fact: DataFrame) -> DataFrame:
     """Per (session, user): bounds, first time / count / distinct products per step, flags, gross revenue."""
-    return _per_session(fact).drop("dedup")
+    return _per_session(product_steps(fact)).drop("dedup")
 
 
 def purchase_dedup(fact: DataFrame) -> DataFrame:
@@ -100,7 +119,7 @@ def purchase_dedup(fact: DataFrame) -> DataFrame:
         .groupBy(*SESSION, "product_id")
         .agg(
             F.min("event_ts").alias("first_purchase_ts"),
-            _first_paid_price(fact).alias("first_purchase_price"),
+            first_by_time(fact, "price", is_paid()).alias("first_purchase_price"),
         )
     )
 
@@ -116,6 +135,11 @@ def session_funnel(fact: DataFrame, ordered_only: bool = False, with_category: b
     ``ordered_only=True`` sets step times to NULL where the later step came first. ``with_category=True`` adds the
     category of the earliest event that has one, and that event's order key.
     """
+    return sessions_of_steps(product_steps(fact, with_category), ordered_only)
+
+
+def sessions_of_steps(steps: DataFrame, ordered_only: bool = False) -> DataFrame:
+    """The session table from the rows of ``product_steps``, with the first category if they have it."""
 
     def step_time(start: str, end: str) -> Column:
         delta = seconds_between(f"first_{start}_ts", f"first_{end}_ts")
@@ -124,7 +148,7 @@ def session_funnel(fact: DataFrame, ordered_only: bool = False, with_category: b
     revenue = F.col("session_revenue_dedup_product")
     products = F.col("distinct_products_purchased")
     return (
-        _per_session(fact, with_category)
+        _per_session(steps)
         .withColumn("session_revenue_dedup_product", F.coalesce("dedup", F.lit(0.0)))
         .drop("dedup")
         .withColumns(

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.functions.support import total
+
 
 def qa_event_types(fact: DataFrame) -> DataFrame:
     """Events per type, most frequent first."""
@@ -59,17 +61,20 @@ def qa_monotonic(summary: DataFrame) -> DataFrame:
     )
 
 
-def qa_row_integrity(raw: DataFrame, fact: DataFrame, dim_session: DataFrame) -> DataFrame:
-    """Raw against fact rows, and session rows against distinct sessions in the raw events."""
-    one = raw.sparkSession.range(1)
+def qa_row_integrity(raw: DataFrame, fact: DataFrame, dim_session: DataFrame | None = None) -> DataFrame:
+    """Raw against fact rows, and session rows against distinct sessions in the raw events.
+
+    Raw events and fact are read once each: rows are added up over their sessions, which are counted on the way. With
+    ``dim_session``, a stored dimension, its own rows are counted; without it those that the fact gives.
+    """
     rows = F.count(F.lit(1))
-    named = raw.where(F.col("user_session").isNotNull())
-    distinct_sessions = named.select("user_session").distinct()
-    return one.select(
-        raw.agg(rows).scalar().alias("raw_rows"),
-        fact.agg(rows).scalar().alias("fact_rows"),
-        dim_session.agg(rows).scalar().alias("sessions_dim"),
-        distinct_sessions.agg(rows).scalar().alias("sessions_distinct_raw"),
+    of_raw = raw.groupBy("user_session").agg(rows.alias("n"))
+    of_fact = fact.groupBy("session_id", "user_id").agg(rows.alias("n"))
+    counted = F.struct(total("n").alias("rows"), F.count("session_id").alias("sessions"))
+    found = of_fact.agg(counted.alias("fact")).scalar()
+    sessions = dim_session.agg(rows).scalar() if dim_session is not None else F.col("fact.sessions")
+    return of_raw.agg(total("n").alias("raw_rows"), F.count("user_session").alias("sessions_distinct_raw")).withColumn("fact", found).select(
+        "raw_rows", F.col("fact.rows").alias("fact_rows"), sessions.alias("sessions_dim"), "sessions_distinct_raw"
     )
 
 

@@ -40,12 +40,17 @@ def dim_user(events: DataFrame) -> DataFrame:
 
 def dim_category(events: DataFrame) -> DataFrame:
     """Most frequent category code per category; NULL if no event of it has a code."""
-    return (
-        events.groupBy("category_id", "category_code")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .groupBy("category_id")
-        .agg(mode_by_weight("category_code", "n").alias("category_code"))
-    )
+    return dim_category_of_counts(category_counts(events))
+
+
+def category_counts(events: DataFrame, *by: str) -> DataFrame:
+    """Events per category and code, and per further columns; such rows of several parts can be put together."""
+    return events.groupBy(*by, "category_id", "category_code").agg(F.count(F.lit(1)).alias("n"))
+
+
+def dim_category_of_counts(counts: DataFrame) -> DataFrame:
+    codes = counts.groupBy("category_id", "category_code").agg(F.sum("n").alias("n"))
+    return codes.groupBy("category_id").agg(mode_by_weight("category_code", "n").alias("category_code"))
 
 
 def with_category_label(categories: DataFrame) -> DataFrame:
@@ -60,10 +65,22 @@ def dim_product(events: DataFrame, approx: bool = False) -> DataFrame:
     Events are scanned and shuffled once, as counts of distinct attribute combinations; modes and median derive from
     those. ``approx=True`` takes the median from a sketch instead.
     """
-    combos = events.groupBy("product_id", "category_id", "brand", "price").agg(F.count(F.lit(1)).alias("n"))
+    if approx:
+        modes = _product_modes(product_counts(events))
+        medians = events.groupBy("product_id").agg(F.percentile_approx("price", 0.5).alias("median_price"))
+        return null_safe_join(modes, medians, ["product_id"], "left")
+    return dim_product_of_counts(product_counts(events))
+
+
+def product_counts(events: DataFrame, *by: str) -> DataFrame:
+    """Events per product, category, brand and price, and per further columns; such rows of several parts can be put together."""
+    return events.groupBy(*by, "product_id", "category_id", "brand", "price").agg(F.count(F.lit(1)).alias("n"))
+
+
+def _product_modes(combos: DataFrame) -> DataFrame:
     by_category = combos.groupBy("product_id", "category_id").agg(F.sum("n").alias("n"))
     by_brand = combos.groupBy("product_id", "brand").agg(F.sum("n").alias("n"))
-    modes = (
+    return (
         by_category.unionByName(by_brand, allowMissingColumns=True)
         .groupBy("product_id")
         .agg(
@@ -71,11 +88,11 @@ def dim_product(events: DataFrame, approx: bool = False) -> DataFrame:
             mode_by_weight("brand", "n").alias("brand"),
         )
     )
-    if approx:
-        medians = events.groupBy("product_id").agg(F.percentile_approx("price", 0.5).alias("median_price"))
-    else:
-        medians = exact_quantiles(combos, ["product_id"], "price", {"median_price": 0.5}, weight="n")
-    return null_safe_join(modes, medians, ["product_id"], "left")
+
+
+def dim_product_of_counts(combos: DataFrame) -> DataFrame:
+    medians = exact_quantiles(combos, ["product_id"], "price", {"median_price": 0.5}, weight="n")
+    return null_safe_join(_product_modes(combos), medians, ["product_id"], "left")
 
 
 def dim_session(events: DataFrame) -> DataFrame:

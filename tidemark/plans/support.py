@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 
 from tidemark.operators import support
 from tidemark.operators.support import Moment
-from tidemark.plans.storage import store
+from tidemark.plans.storage import scratch_dir, store
 
 
 def run_ticket_kpis(
@@ -17,24 +17,10 @@ def run_ticket_kpis(
     as_of: Moment,
     work_dir: str | None = None,
 ) -> dict[str, DataFrame]:
-    """The ticket KPI tables by name, all lazy.
+    """The ticket KPI tables by name, all from one pass over ``tickets``.
 
-    With ``work_dir`` the tickets are written there once and all KPIs read the stored copy; use it where tickets are costly
-    to derive.
+    The pass groups tickets by every dimension at once and stores the groups, under ``work_dir`` or the shared scratch folder; the
+    tables read nothing else.
     """
-    tickets = store(tickets, work_dir, "tickets") if work_dir else tickets
-    base = support.ticket_base(tickets, start, end)
-    return {
-        "executive_summary": support.executive_summary(base),
-        "daily_created": support.daily_created(base),
-        "daily_resolved": support.daily_resolved(base),
-        "backlog_snapshot": support.backlog_snapshot(base),
-        "daily_kpis": support.daily_kpis(base),
-        "queue_performance": support.queue_performance(base),
-        "agent_performance": support.agent_performance(base),
-        "priority_sla": support.priority_sla(base),
-        "channel_analysis": support.channel_analysis(base),
-        "category_pain_points": support.category_pain_points(base),
-        "backlog_aging": support.backlog_aging(tickets, as_of),
-        "data_quality": support.data_quality(tickets),
-    }
+    rollup = support.kpi_rollup(tickets, start, end, as_of=as_of)
+    return support.tables_of_rollup(store(rollup, work_dir or scratch_dir(tickets.sparkSession), "ticket_rollup"))
