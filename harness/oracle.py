@@ -435,6 +435,7 @@ def sql() -> dict[str, str]:
     return found | {
         "export_parquet": _content({name: found[_MODEL_TABLES[name]] for name in EXPORTED}),
         "build_clickstream_model": _content({name: found[key] for name, key in _MODEL_TABLES.items()}),
+        "load_clickstream_daily": _content({name: found[key] for name, key in _MODEL_TABLES.items()}),
         "run_all_ticket_kpis": _content(
             {
                 name: found[f"ticket_{name}"]

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from harness import adapters
 from tidemark.functions import support as tk
 from tidemark.operators import cohorts, drivers, funnel, kpis, quality, star, support, trends
+from tidemark.plans import daily
 from tidemark.plans.clickstream import EXPORTED, build_model, export_model
 from tidemark.plans.storage import scratch_dir, store
 from tidemark.plans.support import run_ticket_kpis
@@ -138,6 +139,16 @@ def _stored_counts(spark: SparkSession, sf: str) -> DataFrame:
     return _content(build_model(_raw(spark, sf), f"{scratch_dir(spark)}/build"))
 
 
+def _daily_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """All days but the last in one load, then the last day with late events of sessions that were loaded before."""
+    directory, raw = f"{scratch_dir(spark)}/daily", _raw(spark, sf)
+    last = raw.agg(F.max(F.to_date("event_ts"))).scalar()
+    late = (F.to_date("event_ts") == last) | (F.col("event_id") % 10 == 7)
+    daily.load(raw.where(~late), directory, "first")
+    daily.load(raw.where(late), directory, "last")
+    return _content(daily.read_loaded(spark, directory))
+
+
 def _exported_counts(spark: SparkSession, sf: str) -> DataFrame:
     out = f"{scratch_dir(spark)}/export"
     export_model(build_model(_raw(spark, sf)), out)
@@ -188,8 +199,8 @@ def _category_labels(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _daily_calendar(spark: SparkSession, sf: str) -> DataFrame:
-    daily = trends.daily_event_counts(_fact(spark, sf))
-    return star.on_calendar(daily, star.dim_date(_events(spark, sf)))
+    counts = trends.daily_event_counts(_fact(spark, sf))
+    return star.on_calendar(counts, star.dim_date(_events(spark, sf)))
 
 
 def _row_integrity(spark: SparkSession, sf: str) -> DataFrame:
@@ -246,6 +257,7 @@ QUERIES: dict[str, Query] = {
     "read_tickets": _read_tickets,
     "export_parquet": _exported_counts,
     "build_clickstream_model": _stored_counts,
+    "load_clickstream_daily": _daily_counts,
     "run_all_ticket_kpis": _over_tickets(_all_ticket_kpis),
     # star schema
     "dim_date": _over_events(star.dim_date),

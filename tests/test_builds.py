@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from harness import adapters
 from harness.queries import QUERIES
 from tidemark.operators import drivers, funnel, quality, star
-from tidemark.plans import storage
+from tidemark.plans import daily, storage
 from tidemark.plans.clickstream import EXPORTED, build_model, export_model
 from tidemark.sources.events import clean_raw_events, malformed_rows, read_events_csv
 from tidemark.sources.model import export_parquet, read_model
@@ -224,3 +224,76 @@ def test_hot_keys_are_split_when_joining_stored_dimensions(spark, tmp_path):
     finally:
         for key in settings:
             spark.conf.unset(key)
+
+
+# --- the model kept up to date load by load
+
+BOUGHT = {"event_type": "purchase", "session_id": "s1", "user_id": 1}
+FIRST = [
+    {"ts": "05 10:00:00", **BOUGHT},
+    {"ts": "05 10:00:00", "session_id": "s2", "user_id": 2},
+    {"ts": "06 09:00:00", **BOUGHT, "session_id": "s3", "price": 7.0},
+    {"ts": "06 09:00:00", "event_type": "cart", "session_id": None, "user_id": 3},
+]
+LATE = [
+    {"ts": "07 08:00:00", **BOUGHT, "session_id": "s4"},
+    {"ts": "05 09:59:00", "session_id": "s1", "user_id": 1, "category_id": 7},
+    {"ts": "04 23:59:00", "session_id": "s2", "user_id": 2},
+    {"ts": "03 12:00:00", **BOUGHT, "session_id": "s3", "price": 9.0},
+    {"ts": "06 12:00:00", **BOUGHT, "session_id": "s2", "user_id": 2},
+]
+
+
+def numbered(spark, rows):
+    events = make_events(spark, *[{**row, "event_id": k} for k, row in rows])
+    return events.withColumnRenamed("session_id", "user_session").drop("event_date")
+
+
+def same_model(spark, directory, raw):
+    found, wanted = daily.read_loaded(spark, directory), build_model(raw)
+    assert set(found) == set(wanted)
+    for name, table in wanted.items():
+        columns = table.columns
+        assert sorted(map(repr, found[name].select(*columns).collect())) == sorted(map(repr, table.collect())), name
+
+
+def test_late_events_move_sessions_users_and_cohorts(spark, tmp_path):
+    first, late = list(enumerate(FIRST)), list(enumerate(LATE, start=100))
+    daily.load(numbered(spark, first), str(tmp_path), "2024-01-06")
+    same_model(spark, str(tmp_path), numbered(spark, first))
+    daily.load(numbered(spark, late), str(tmp_path), "2024-01-07")
+    same_model(spark, str(tmp_path), numbered(spark, first + late))
+    moved = {r["user_id"]: str(r["cohort_date"]) for r in rows_of(daily.read_loaded(spark, str(tmp_path))["dim_user_purchase_cohort"])}
+    assert moved == {1: "2024-01-03", 2: "2024-01-06"}
+    # The same load with other content: days, sessions and cohorts that it brought before are gone again.
+    daily.load(numbered(spark, late[:1]), str(tmp_path), "2024-01-07")
+    same_model(spark, str(tmp_path), numbered(spark, first + late[:1]))
+
+
+def test_load_without_purchases_and_untouched_days(spark, tmp_path):
+    first = list(enumerate([{"ts": "05 10:00:00"}, {"ts": "06 10:00:00", "session_id": "t", "user_id": 2}]))
+    daily.load(numbered(spark, first), str(tmp_path), "a")
+    assert daily.read_loaded(spark, str(tmp_path))["fct_cohort_activity"].count() == 0
+    files = {p: p.stat().st_mtime_ns for p in (tmp_path / "step_days" / "event_date=2024-01-05").glob("*.parquet")}
+    later = list(enumerate([{"ts": "06 11:00:00", "session_id": "t", "user_id": 2, "event_type": "purchase"}], start=9))
+    daily.load(numbered(spark, later), str(tmp_path), "b", lookback=1)
+    same_model(spark, str(tmp_path), numbered(spark, first + later))
+    assert files == {p: p.stat().st_mtime_ns for p in (tmp_path / "step_days" / "event_date=2024-01-05").glob("*.parquet")}
+    with pytest.raises(ValueError, match="name"):
+        daily.load(numbered(spark, later), str(tmp_path), "a/b")
+
+
+def test_whole_build_checks_do_not_depend_on_partitions(spark, sf_dir):
+    found = []
+    for partitions in ("1", "7"):
+        spark.conf.set("spark.sql.shuffle.partitions", partitions)
+        found.append(sorted(QUERIES["build_clickstream_model"](spark, sf_dir).collect()))
+    spark.conf.set("spark.sql.shuffle.partitions", "4")
+    assert found[0] == found[1]
+
+
+def test_scratch_refuses_a_folder_of_the_driver_on_a_cluster():
+    settings = {"spark.sql.warehouse.dir": "file:/w", "spark.master": "spark://far:7077"}
+    far = SimpleNamespace(conf=SimpleNamespace(get=lambda key, *default: settings.get(key, *default)))
+    with pytest.raises(ValueError, match="checkpoint"):
+        storage.scratch_dir(far)

@@ -219,3 +219,29 @@ def test_stored_kpis_equal_lazy_ones(spark, tmp_path):
     t = tickets(spark, {}, {"issue_priority": "low"})
     lazy, stored = run_ticket_kpis(t, as_of="2024-01-05"), run_ticket_kpis(t, as_of="2024-01-05", work_dir=str(tmp_path))
     assert rows_of(lazy["priority_sla"]) == rows_of(stored["priority_sla"])
+
+
+def test_all_tables_come_from_one_scan_and_one_shuffle(spark, tmp_path):
+    tickets(spark, {}).write.parquet(str(tmp_path / "t"))
+    rollup = support.kpi_rollup(spark.read.parquet(str(tmp_path / "t")), "2024-01-01", "2025-01-01", as_of="2024-02-01")
+    plan = rollup._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and plan.count("Exchange") == 1
+
+
+def test_rollup_equals_the_single_tables(spark):
+    rows = [
+        {"ticket_id": "1", "assigned_agent": None, "csat_score": 6, "issue_priority": ""},
+        {"ticket_id": "2", "assigned_agent": "", "queue_name": None, "issue_status": "Closed", "issue_resolution_date": datetime(2024, 1, 5)},
+        {"ticket_id": "3", "deleted_flag": True, "queue_name": "gone", "csat_score": 9},
+        {"ticket_id": "4", "issue_created": datetime(2023, 5, 1), "queue_name": "old", "issue_resolution_date": datetime(2023, 1, 1)},
+        {"ticket_id": "5", "issue_created": None, "category": None},
+        {"ticket_id": "6", "reopen_count": 3, "csat_score": 4, "escalated_flag": True, "first_response_time_minutes": 2.5},
+    ]
+    for found in (tickets(spark, *rows), tickets(spark, *rows).limit(0)):
+        for bounds in ((), ("2024-01-01", "2024-02-01"), ("2030-01-01", None)):
+            made = run_ticket_kpis(found, *bounds, as_of="2024-01-20")
+            base = support.ticket_base(found, *bounds)
+            for name, table in made.items():
+                single = support.backlog_aging(found, "2024-01-20") if name == "backlog_aging" else getattr(support, name)(found if name == "data_quality" else base)
+                assert rows_of(table) == rows_of(single), (name, bounds)
+                assert table.columns == single.columns

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.columns import FUNNEL_STEPS, first_by_time, is_paid
+from tidemark.functions.columns import FUNNEL_STEPS, first_by_time, is_paid, ratio
 from tidemark.operators import funnel
 from tidemark.operators.funnel import with_conversion_rates
 
@@ -64,9 +64,22 @@ def brand_revenue(fact: DataFrame, limit: int | None = None) -> DataFrame:
             F.avg("price").alias("avg_item_price"),
         )
     )
-    if limit is None:
-        return brands
-    return brands.orderBy(F.col("revenue_gross").desc_nulls_last(), "brand").limit(limit)
+    return _top_brands(brands, limit)
+
+
+def brand_revenue_of_sessions(rows: DataFrame, limit: int | None = None) -> DataFrame:
+    """The same from purchases and revenue per brand, session and any further keys (days, say)."""
+    sessions = rows.groupBy("brand", "session_id").agg(F.sum("purchases").alias("purchases"), F.sum("revenue").alias("revenue"))
+    brands = sessions.groupBy("brand").agg(
+        F.count("session_id").alias("purchase_sessions"),
+        F.sum("revenue").alias("revenue_gross"),
+        ratio(F.sum("revenue"), F.sum("purchases")).alias("avg_item_price"),
+    )
+    return _top_brands(brands, limit)
+
+
+def _top_brands(brands: DataFrame, limit: int | None) -> DataFrame:
+    return brands if limit is None else brands.orderBy(F.col("revenue_gross").desc_nulls_last(), "brand").limit(limit)
 
 
 def category_cvr(category_funnel: DataFrame) -> DataFrame:

@@ -85,10 +85,17 @@ def _grouped(base: DataFrame, *by: str) -> DataFrame:
     return base.groupBy(*by).agg(*sums())
 
 
-_FIRST = ratio("first_response_minutes", "first_responses").alias("avg_first_response_minutes")
-_RESOLUTION = ratio("resolution_minutes", "resolutions").alias("avg_resolution_minutes")
-_CSAT = ratio("csat", "csats").alias("avg_csat")
-_REOPENS = ratio("reopens", "tickets").alias("avg_reopens")
+#: Means as quotients of sums.
+_MEANS = {
+    "avg_first_response_minutes": ("first_response_minutes", "first_responses"),
+    "avg_resolution_minutes": ("resolution_minutes", "resolutions"),
+    "avg_csat": ("csat", "csats"),
+    "avg_reopens": ("reopens", "tickets"),
+}
+
+
+def _mean(name: str) -> Column:
+    return ratio(*_MEANS[name]).alias(name)
 
 
 def _named(**names: str) -> list[Column]:
@@ -97,7 +104,7 @@ def _named(**names: str) -> list[Column]:
 
 def _quality_of_created() -> list[Column]:
     return [
-        _FIRST,
+        _mean("avg_first_response_minutes"),
         ratio("resolution_minutes", "resolutions").alias("avg_resolution_minutes_for_created_tickets"),
         *_named(
             first_response_sla_breaches="first_response_breaches",
@@ -172,10 +179,10 @@ def _queue_table(groups: DataFrame) -> DataFrame:
                 first_response_sla_breaches="first_response_breaches",
                 resolution_sla_breaches="resolution_breaches",
             ),
-            _FIRST,
-            _RESOLUTION,
-            _REOPENS,
-            _CSAT,
+            _mean("avg_first_response_minutes"),
+            _mean("avg_resolution_minutes"),
+            _mean("avg_reopens"),
+            _mean("avg_csat"),
         )
         .withColumns(
             {
@@ -198,15 +205,15 @@ def _agent_table(groups: DataFrame) -> DataFrame:
         groups.select(
             "assigned_agent",
             *_named(tickets_handled="tickets", tickets_closed="closed"),
-            _FIRST,
-            _RESOLUTION,
+            _mean("avg_first_response_minutes"),
+            _mean("avg_resolution_minutes"),
             *_named(
                 first_response_sla_breaches="first_response_breaches",
                 resolution_sla_breaches="resolution_breaches",
                 escalations="escalations",
                 total_reopens="reopens",
             ),
-            _CSAT,
+            _mean("avg_csat"),
         )
         .withColumns(
             {
@@ -233,7 +240,7 @@ def _breach_rates(den: str) -> dict:
 
 
 def _priority_table(groups: DataFrame) -> DataFrame:
-    rows = groups.select("issue_priority", *_named(tickets_total="tickets"), _FIRST, _RESOLUTION, "first_response_breaches", "resolution_breaches")
+    rows = groups.select("issue_priority", *_named(tickets_total="tickets"), _mean("avg_first_response_minutes"), _mean("avg_resolution_minutes"), "first_response_breaches", "resolution_breaches")
     return rows.withColumns(_breach_rates("tickets_total")).orderBy(F.desc("tickets_total"), "issue_priority")
 
 
@@ -262,9 +269,9 @@ def _category_table(groups: DataFrame) -> DataFrame:
             "category",
             "subcategory",
             *_named(tickets_total="tickets", resolution_sla_breaches="resolution_breaches"),
-            _RESOLUTION,
-            _REOPENS,
-            _CSAT,
+            _mean("avg_resolution_minutes"),
+            _mean("avg_reopens"),
+            _mean("avg_csat"),
         )
         .withColumn("resolution_breach_rate_pct", rate_pct("resolution_sla_breaches", "tickets_total"))
         .orderBy(F.desc("tickets_total"), F.desc("resolution_breach_rate_pct"), "category", "subcategory")
@@ -277,7 +284,7 @@ def category_pain_points(base: DataFrame) -> DataFrame:
 
 
 def _channel_table(groups: DataFrame) -> DataFrame:
-    rows = groups.select("channel", *_named(tickets_total="tickets"), _FIRST, _RESOLUTION, "first_response_breaches", "resolution_breaches", _CSAT)
+    rows = groups.select("channel", *_named(tickets_total="tickets"), _mean("avg_first_response_minutes"), _mean("avg_resolution_minutes"), "first_response_breaches", "resolution_breaches", _mean("avg_csat"))
     return rows.withColumns(_breach_rates("tickets_total")).orderBy(F.desc("tickets_total"), "channel")
 
 
@@ -291,11 +298,11 @@ def _summary_table(groups: DataFrame) -> DataFrame:
         groups.where("tickets > 0")
         .select(
             *_named(tickets_created="tickets", tickets_resolved="closed", current_open_backlog_within_filtered_set="open"),
-            _FIRST,
-            _RESOLUTION,
+            _mean("avg_first_response_minutes"),
+            _mean("avg_resolution_minutes"),
             "first_response_breaches",
             "resolution_breaches",
-            _CSAT,
+            _mean("avg_csat"),
             *_named(total_reopens="reopens"),
         )
         .withColumns(_breach_rates("tickets_created"))
