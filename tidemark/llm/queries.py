@@ -72,7 +72,8 @@ def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def trusted_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _table(spark, sf_dir, "labels").where("quality = 1").select("doc_id")
+    """Documents labelled good and not toxic."""
+    return _table(spark, sf_dir, "labels").where("quality = 1 and not coalesce(toxic, 0) = 1").select("doc_id")
 
 
 def op9_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -12,7 +12,11 @@ from tidemark.plans.storage import store
 
 #: Low bits of a sort key that hold a window's place; texts with more windows are sorted by (hash, place) pairs.
 PLACE_BITS = 24
-BUCKETS = 1 << 14
+#: Hash buckets of the n-grams, and the orders of n-grams that the queries count.
+BUCKETS = 1 << 18
+ORDERS = (1, 2)
+#: Bits of the table that tells most documents without trust from those with.
+ID_BITS = 1 << 25
 
 
 def n_symbols(text: Column) -> Column:
@@ -92,60 +96,88 @@ def measures(rows: DataFrame) -> DataFrame:
     return rows.withColumn("base_failed", failed).drop("_windows")
 
 
-def _buckets(found: Column, orders: tuple[int, ...]) -> Column:
-    """Bucket of every n-gram of the given orders."""
+def _hashed(found: Column) -> Column:
+    return F.transform(found, lambda word: F.xxhash64(word))
 
-    def hashed(*parts: Column) -> Column:
-        return F.pmod(F.xxhash64(*parts), F.lit(BUCKETS)).cast("int")
 
-    def grams(n: int) -> Column:
-        if n == 1:
-            return F.transform(found, lambda word: hashed(word))
-        places = F.when(F.size(found) >= n, F.sequence(F.lit(0), F.size(found) - n)).otherwise(F.array().cast("array<int>"))
-        return F.transform(places, lambda k: hashed(*[F.get(found, k + i) for i in range(n)]))
+def _buckets(hashes: Column, orders: tuple[int, ...]) -> Column:
+    """Bucket of every n-gram of the given orders, from the words' hashes (a column, so that they are not made anew for each n-gram)."""
+    found, grams = [], hashes
+    for n in range(1, max(orders) + 1):
+        if n > 1:
+            size = F.greatest(F.size(hashes) - (n - 1), F.lit(0))
+            grams = F.zip_with(F.slice(grams, F.lit(1), size), F.slice(hashes, F.lit(n), size), lambda head, last: F.xxhash64(head, last))
+        if n in orders:
+            found.append(F.transform(grams, lambda gram: gram.bitwiseAND(F.lit(BUCKETS - 1)).cast("int")))
+    return F.concat(*found) if len(found) > 1 else found[0]
 
-    return F.concat(*map(grams, orders)) if len(orders) > 1 else grams(*orders)
 
+def _listed(table: DataFrame, number: str, value: str, size: int) -> DataFrame:
+    """The values of a table as one row with an array of ``size`` places by number; places without a row are null."""
+    every = table.sparkSession.range(size).select(F.col("id").cast("int").alias("_at"))
+    rows = every.join(table.select(F.col(number).cast("int").alias("_at"), F.col(value).alias("_value")), "_at", "left")
+    ordered = F.sort_array(F.collect_list(F.struct("_at", "_value")))
+    return rows.agg(F.transform(ordered, lambda row: row["_value"]).alias("listed"))
 
-def ratios(docs: DataFrame, trusted: DataFrame, folder: str, orders: tuple[int, ...] = (1,), smooth: float = 10_000.0) -> Column:
-    """The log likelihood ratio of each bucket between trusted target and raw corpus, as one constant array.
 
-    The raw multinomial counts every n-gram of every document. The target's counts those of every trusted document, and ``smooth``
-    pseudo-counts spread like the raw corpus. Counts are added up in the tasks, so at most all buckets leave each; that fixed number
-    of rows reaches the driver. Without trusted documents or n-grams all ratios are 0.
+def _perhaps(ids: DataFrame, key: Column) -> Column:
+    """Whether a key may be among ``ids``: true for all that are, and for others by chance, the rarer the fewer ids there are.
+
+    One bit for each of 2^25 hash values, as an array of 4 MB whatever the number of ids.
+    """
+    place = F.xxhash64(F.col("_id")).bitwiseAND(F.lit(ID_BITS - 1))
+    words = ids.select(F.shiftright(place, 6).alias("word"), place.bitwiseAND(F.lit(63)).cast("int").alias("bit"))
+    words = words.groupBy("word").agg(F.expr("bit_or(shiftleft(1L, bit))").alias("bits"))
+    place = F.xxhash64(key).bitwiseAND(F.lit(ID_BITS - 1))
+    word = F.coalesce(F.get(_listed(words, "word", "bits", ID_BITS >> 6).scalar(), F.shiftright(place, 6).cast("int")), F.lit(0).cast("long"))
+    return F.bit_get(word, place.bitwiseAND(F.lit(63)).cast("int")) == 1
+
+
+def _counted(texts: DataFrame, orders: tuple[int, ...], name: str) -> DataFrame:
+    """How often each bucket occurs in the texts; added up in the tasks, so at most all buckets leave each."""
+    hashes = texts.select(words(F.col("_text")).alias("_words")).select(_hashed(F.col("_words")).alias("_hashes"))
+    grams = hashes.select(F.explode(_buckets(F.col("_hashes"), orders)).alias("bucket"))
+    return grams.groupBy("bucket").agg(F.count(F.lit(1)).cast("double").alias(name))
+
+
+def ratios(docs: DataFrame, trusted: DataFrame, folder: str, orders: tuple[int, ...] = ORDERS, pseudo: float = 3.0) -> Column:
+    """The log likelihood ratio of each bucket between trusted target and raw corpus, as one constant array of ``BUCKETS`` places.
+
+    The raw multinomial counts every n-gram of every document, in a scan without a join. The target's counts those of every
+    trusted document. Each bucket has ``pseudo`` further counts in the target and as many in the raw corpus at the target's scale, so the
+    ratio is (target + pseudo) / (raw x target's share + pseudo): n-grams that are rare in the corpus say little, whatever its size.
+    Of the documents only the trusted ones (and the few that a bit table cannot tell from them) are shuffled, the same way at
+    every size. Both counts are stored as tables of at most ``BUCKETS`` rows. Without trusted documents or n-grams all ratios are 0.
     """
-    chosen = trusted.select(F.lit(False).alias("_none"), F.col("doc_id").cast("long").alias("_id")).where("_id is not null").distinct()
-    chosen = store(chosen.withColumn("_trusted", F.lit(True)), folder, "trusted")
-    # Where the join needs a shuffle, what moves is two bytes for each n-gram. Rows without doc_id are spread by their texts.
-    key, text = F.col("doc_id").cast("long"), F.col("text").cast("string")
-    found = F.transform(_buckets(words(text), orders), lambda bucket: bucket.cast("short")).alias("_buckets")
-    texts = docs.select(key.isNull().alias("_none"), F.coalesce(key, F.xxhash64(text)).alias("_id"), found)
-    flagged = texts.join(chosen, ["_none", "_id"], "left")
-    grams = flagged.select("_trusted", F.explode("_buckets").alias("bucket"))
-    counts = grams.groupBy(F.col("bucket").cast("int").alias("bucket")).agg(F.count(F.lit(1)).cast("double").alias("raw"), F.count("_trusted").cast("double").alias("target"))
-    counts = store(counts, folder, "counts")
-    every = docs.sparkSession.range(BUCKETS).select(F.col("id").cast("int").alias("bucket"))
-    raw, target = counts.agg(F.coalesce(F.sum("raw"), F.lit(0.0)), F.coalesce(F.sum("target"), F.lit(0.0))).first()
-    full = every.join(counts, "bucket", "left").select("bucket", F.coalesce("raw", F.lit(0.0)).alias("raw"), F.coalesce("target", F.lit(0.0)).alias("target"))
-    p = (F.col("raw") + 0.5) / F.lit(raw + 0.5 * BUCKETS)
-    q = (F.col("target") + F.lit(smooth) * p) / F.lit(target + smooth)
-    found = {r.bucket: r.ratio for r in full.select("bucket", F.log(q / p).alias("ratio")).collect()}
-    return F.from_json(F.lit(json.dumps([found[k] for k in range(BUCKETS)])), "array<double>")
-
-
-def judge(docs: DataFrame, trusted: DataFrame, folder: str, keep: list[str] | None = None, orders: tuple[int, ...] = (1,), threshold: float = -0.4) -> DataFrame:
+    chosen = store(trusted.select(F.col("doc_id").cast("long").alias("_id")).where("_id is not null").distinct(), folder, "trusted")
+    texts = docs.select(F.col("doc_id").cast("long").alias("_id"), F.col("text").cast("string").alias("_text"))
+    raw = store(_counted(texts, orders, "raw"), folder, "raw")
+    own = texts.where(F.col("_id").isNotNull() & _perhaps(chosen, F.col("_id")))
+    target = store(_counted(own.join(chosen.hint("merge"), "_id", "left_semi"), orders, "target"), folder, "target")
+    counts = raw.join(target, "bucket", "left").select("bucket", "raw", F.coalesce("target", F.lit(0.0)).alias("target"))
+    n_raw, n_target = counts.agg(F.coalesce(F.sum("raw"), F.lit(0.0)), F.coalesce(F.sum("target"), F.lit(0.0))).first()
+    expected = F.col("raw") * F.lit(n_target / n_raw if n_raw else 0.0)
+    ratio = F.log((F.col("target") + pseudo) / (expected + pseudo))
+    (found,) = _listed(counts.select("bucket", F.round(ratio, 5).alias("ratio")), "bucket", "ratio", BUCKETS).first()
+    # A constant, as functions of array elements take no subquery. Only buckets that no document has are null.
+    return F.from_json(F.lit(json.dumps([ratio or 0.0 for ratio in found])), "array<double>")
+
+
+def judge(docs: DataFrame, trusted: DataFrame, folder: str, keep: list[str] | None = None, orders: tuple[int, ...] = ORDERS, threshold: float = -0.25) -> DataFrame:
     """The columns ``keep`` (by default all) of every row of ``docs`` (doc_id, text) as the struct ``_row``, with the base measures,
     base_failed, score and kept.
 
-    ``trusted`` has the doc_ids of the target. The score is the mean log likelihood ratio of a text's n-grams; a document stays if it
-    passes the base rules and scores ``threshold`` or more. A text without words scores 0 and fails the base rules. Repeated rows are
-    judged alike. An empty table gives an empty result.
+    ``trusted`` has the doc_ids of the target; null ones trust nobody. The score is the mean log likelihood ratio of a text's n-grams of
+    all ``orders``; a document stays if it passes the base rules and scores ``threshold`` or more. A null text counts as empty; a text
+    without words scores 0 and fails the base rules. Repeated rows are judged alike and each counts. Texts of any length are judged
+    whole. Extra columns, whatever their names, stay in ``_row``. An empty table gives an empty result.
     """
     names = docs.columns if keep is None else keep
     row = F.struct(*[F.col(f"_row.`{c}`").alias(c) for c in names]).alias("_row")
     weights = ratios(docs, trusted, folder, orders)
     rows = measures(packed(docs, F.col("text").cast("string").alias("text")).select(row, "text"))
-    total = F.aggregate(_buckets(F.col("_words"), orders), F.lit(0.0), lambda acc, bucket: acc + F.get(weights, bucket))
+    rows = rows.withColumn("_hashes", _hashed(F.col("_words")))
+    total = F.aggregate(_buckets(F.col("_hashes"), orders), F.lit(0.0), lambda acc, bucket: acc + F.get(weights, bucket))
     grams = sum((F.greatest(F.size("_words") - (n - 1), F.lit(0)) for n in orders), F.lit(0))
     rows = rows.withColumn("score", F.when(grams > 0, total / grams).otherwise(0.0))
     # A filter on the verdict must not be moved below the measures, where each use of the words would split the text anew; it stays
