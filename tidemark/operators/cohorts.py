@@ -87,9 +87,9 @@ def cohort_retention_curve(activity: DataFrame, max_day: int = 30, users: str |
     )
 
 
-def weighted_retention_cards(summary: DataFrame) -> DataFrame:
-    """All purchasers, and day-1 / day-7 retention weighted by cohort size."""
-    return summary.agg(
+def weighted_retention_cards(summary: DataFrame, *by: str | Column) -> DataFrame:
+    """All purchasers, and day-1 / day-7 retention weighted by cohort size, over all cohorts or per group of them."""
+    return summary.groupBy(*by).agg(
         F.sum("cohort_size").alias("total_purchasers"),
         F.sum("retained_d1_users").alias("d1_retained_users"),
         F.sum("retained_d7_users").alias("d7_retained_users"),
@@ -124,6 +124,20 @@ def weighted_retention_curve(
     return per_day.withColumn("retention_weighted", ratio("active_users", "cohort_users")).orderBy("days_since")
 
 
+def selected_retention_curve(curve: DataFrame, summary: DataFrame, chosen: DataFrame, denominator: str = "present") -> DataFrame:
+    """The weighted curve of the cohorts in ``chosen`` (column cohort_date) beside that of all cohorts, per day offset.
+
+    The choice restricts both the active users and the cohorts they are divided by. Offsets that no chosen cohort has are NULL on
+    the chosen side. Repeated or unknown dates in ``chosen`` change nothing.
+    """
+    dates = chosen.select("cohort_date").distinct()
+    own = weighted_retention_curve(curve.join(dates, "cohort_date", "left_semi"), summary.join(dates, "cohort_date", "left_semi"), denominator)
+    every = weighted_retention_curve(curve, summary, denominator)
+    names = ("active_users", "cohort_users", "retention_weighted")
+    every = every.withColumnsRenamed({name: f"all_{name}" for name in names})
+    return every.join(own.withColumnsRenamed({name: f"chosen_{name}" for name in names}), "days_since", "left").orderBy("days_since")
+
+
 def activity_retention(
     fact: DataFrame, cohort: str = "purchase", days: Iterable[int] = (1, 7, 30)
 ) -> DataFrame:
@@ -165,6 +179,35 @@ def repurchase_within(activity: DataFrame, days: Iterable[int] = (7, 30)) -> Dat
     )
 
 
+def cohort_bitmaps(activity: DataFrame) -> DataFrame:
+    """Who of a cohort bought on which day, as bitmaps: per cohort, day and range of 32,768 user ids, with the number of users.
+
+    User ids are whole numbers. Such rows are small, and sets of users are united bit by bit instead of joined: any period of return is
+    a union of days.
+    """
+    bitmap = F.bitmap_construct_agg(F.bitmap_bit_position("user_id")).alias("bitmap")
+    rows = activity.groupBy("cohort_date", "days_since", "purchase_date", F.bitmap_bucket_number("user_id").alias("bucket")).agg(bitmap)
+    return rows.withColumn("users", F.bitmap_count("bitmap"))
+
+
+def repurchase_within_of_bitmaps(bitmaps: DataFrame, days: Iterable[int] = (7, 30)) -> DataFrame:
+    """``repurchase_within`` from ``cohort_bitmaps``: users on any of the days 1..N are the union of those days' bitmaps."""
+    days = tuple(days)
+    periods = {"cohort_size": F.col("days_since") == 0} | {f"repurchased_{n}d_users": F.col("days_since").between(1, n) for n in days}
+    tagged = F.array_compact(F.array(*[F.when(inside, F.lit(name)) for name, inside in periods.items()]))
+    united = (
+        bitmaps.withColumn("period", F.explode(tagged))
+        .groupBy("cohort_date", "period", "bucket")
+        .agg(F.bitmap_count(F.bitmap_or_agg("bitmap")).alias("users"))
+    )
+    return (
+        united.groupBy("cohort_date")
+        .agg(*[_users_where(F.col("period") == name, "users").alias(name) for name in periods])
+        .withColumns({f"repurchase_{n}d": ratio(f"repurchased_{n}d_users", "cohort_size") for n in days})
+        .orderBy("cohort_date")
+    )
+
+
 def cohort_heatmap(curve: DataFrame, max_day: int = 30) -> DataFrame:
     """Cohorts as rows, day offsets as columns ``day_0`` .. ``day_<max>``, retention rate as value."""
     offsets = list(range(max_day + 1))

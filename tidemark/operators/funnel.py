@@ -230,9 +230,9 @@ def session_event_density(fact: DataFrame) -> DataFrame:
     )
 
 
-def funnel_revenue_totals(sessions: DataFrame) -> DataFrame:
-    """Gross and deduplicated revenue, and by how much duplicates inflate the former (percent)."""
-    return sessions.agg(
+def funnel_revenue_totals(sessions: DataFrame, *by: Column | str) -> DataFrame:
+    """Gross and deduplicated revenue, and by how much duplicates inflate the former (percent), overall or per group."""
+    return sessions.groupBy(*by).agg(
         F.sum("session_revenue_gross").alias("gross_total"),
         F.sum("session_revenue_dedup_product").alias("dedup_total"),
     ).withColumn("inflation_pct", (ratio("gross_total", "dedup_total") - 1) * 100)

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import mode_by_weight, null_safe_join, seconds_between
-from tidemark.functions.quantiles import exact_quantiles
+from tidemark.functions.quantiles import exact_quantiles, quantile_sketches, quantiles_of_sketches
 
 
 def dim_date(events: DataFrame) -> DataFrame:
@@ -63,15 +63,19 @@ def dim_product(events: DataFrame, approx: bool = False) -> DataFrame:
     """Most frequent category and brand, and median price, per product.
 
     Events are scanned and shuffled once, as counts of distinct attribute combinations; modes and median derive from
-    those. ``approx=True`` takes the median from a sketch instead.
+    those. ``approx=True`` takes the median from a quantile sketch instead (``price_sketches``).
     """
     if approx:
-        modes = _product_modes(product_counts(events))
-        medians = events.groupBy("product_id").agg(F.percentile_approx("price", 0.5).alias("median_price"))
-        return null_safe_join(modes, medians, ["product_id"], "left")
+        medians = quantiles_of_sketches(price_sketches(events), ["product_id"], {"median_price": 0.5}).drop("n")
+        return null_safe_join(_product_modes(product_counts(events)), medians, ["product_id"], "left")
     return dim_product_of_counts(product_counts(events))
 
 
+def price_sketches(events: DataFrame) -> DataFrame:
+    """A quantile sketch of prices per product and day: small rows to be stored by day and united for any days or products."""
+    return quantile_sketches(events, ["event_date", "product_id"], "price")
+
+
 def product_counts(events: DataFrame, *by: str) -> DataFrame:
     """Events per product, category, brand and price, and per further columns; such rows of several parts can be put together."""
     return events.groupBy(*by, "product_id", "category_id", "brand", "price").agg(F.count(F.lit(1)).alias("n"))
