@@ -475,6 +475,7 @@ def sql() -> dict[str, str]:
     """Check SQL of every registered query; that of whole builds reads the SQL of their tables."""
     found = _tables()
     return found | {
+        "qa_during_build": _content({name: found[name] for name in ("qa_null_keys", "qa_row_integrity", "qa_revenue")}),
         "repurchase_within_bitmaps": found["repurchase_within"],
         "export_parquet": _content({name: found[_MODEL_TABLES[name]] for name in EXPORTED}),
         "build_clickstream_model": _content({name: found[key] for name, key in _MODEL_TABLES.items()}),
@@ -513,6 +514,9 @@ FROM clicks""",
         "events_clean": _query(clicks, "SELECT * FROM clicks", ("price",)),
         "read_model_parquet": _query(CATEGORIES, "SELECT * FROM per_category", ("revenue_dedup", "revenue_gross")),
         "read_tickets": _query(TICKETS, "SELECT * REPLACE (CAST(ticket_id AS VARCHAR) AS ticket_id, CAST(csat_score + 0.5 AS DOUBLE) AS csat_score) FROM tickets"),
+        "read_ticket_documents": _query(
+            TICKETS, "SELECT * REPLACE (CAST(ticket_id AS VARCHAR) AS ticket_id, CAST(csat_score AS DOUBLE) AS csat_score) FROM tickets"
+        ),
         # star schema
         "dim_date": _query(f"{clicks}, {DATE_DIM}", "SELECT * FROM dim_date"),
         "dim_user": _query(f"{clicks}, {USER_DIM}", "SELECT * FROM dim_user"),

@@ -13,12 +13,12 @@ from tidemark.functions import support as tk
 from tidemark.functions.quantiles import quantiles_of_sketches
 from tidemark.operators import cohorts, drivers, funnel, kpis, quality, star, support, trends
 from tidemark.plans import daily
-from tidemark.plans.clickstream import EXPORTED, build_model, export_model
+from tidemark.plans.clickstream import EXPORTED, BuildChecks, build_model, export_model
 from tidemark.plans.storage import scratch_dir, store
 from tidemark.plans.support import run_ticket_kpis
 from tidemark.sources.events import clean_raw_events, events_clean, read_events_csv
 from tidemark.sources.model import export_parquet, read_model
-from tidemark.sources.tickets import read_tickets
+from tidemark.sources.tickets import read_ticket_documents, read_tickets
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -182,6 +182,39 @@ def _read_tickets(spark: SparkSession, sf: str) -> DataFrame:
     return read_tickets(spark, path, "json", TICKET_FIELDS).select(*written.columns)
 
 
+def _read_changing_tickets(spark: SparkSession, sf: str) -> DataFrame:
+    """One file in which a field is a number, text or an inner document, by ticket."""
+    path = f"{scratch_dir(spark)}/tickets"
+    written = adapters.tickets(spark, sf)
+    key, stamp = F.col("ticket_id"), F.date_format("issue_created", "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'")
+
+    def quoted(value: Column) -> Column:
+        return F.concat(F.lit('"'), value, F.lit('"'))
+
+    def in_form(name: str, value: Column, number: Column, inner: str) -> Column:
+        """A field of JSON text: as it is, as text, or as a document with the field ``inner``."""
+        document = F.concat(F.lit(f'{{"{inner}":'), quoted(value), F.lit("}"))
+        shown = F.when(key % 3 == 0, number).when(key % 3 == 1, quoted(value)).otherwise(document)
+        return F.when(value.isNotNull(), F.concat(F.lit(f',"{name}":'), shown)).otherwise("")
+
+    changing = {"csat_score": "$numberInt", "reopen_count": "$numberLong"}
+    rest = [c for c in written.columns if c not in (*changing, "issue_created", "escalated_flag")]
+    fields = [in_form(name, F.col(name).cast("string"), F.col(name).cast("string"), inner) for name, inner in changing.items()]
+    fields.append(in_form("createdAt", stamp, quoted(stamp), "$date"))
+    flag = F.col("escalated_flag").cast("string")
+    fields.append(F.concat(F.lit(',"escalated_flag":'), F.when(key % 2 == 0, flag).otherwise(quoted(flag))))
+    whole = F.to_json(F.struct(*rest))
+    written.select(F.concat(F.substring(whole, F.lit(1), F.length(whole) - 1), *fields, F.lit("}"))).write.text(path)
+    return read_ticket_documents(spark, path, {"issue_created": "createdAt"}).select(*written.columns)
+
+
+def _checks_of_build(spark: SparkSession, sf: str) -> DataFrame:
+    """The checks counted during a build, one row each check and number."""
+    checks = BuildChecks()
+    build_model(_raw(spark, sf), f"{scratch_dir(spark)}/build", checks=checks)
+    return _content(checks.tables())
+
+
 def _star_join(spark: SparkSession, sf: str) -> DataFrame:
     events = _events(spark, sf)
     work = scratch_dir(spark)
@@ -313,6 +346,7 @@ QUERIES: dict[str, Query] = {
     "events_clean": _over_raw(events_clean),
     "read_model_parquet": _read_model,
     "read_tickets": _read_tickets,
+    "read_ticket_documents": _read_changing_tickets,
     "export_parquet": _exported_counts,
     "build_clickstream_model": _stored_counts,
     "load_clickstream_daily": _daily_counts,
@@ -400,6 +434,7 @@ QUERIES: dict[str, Query] = {
     "qa_day0_retention": _over_curve(quality.qa_day0),
     "qa_funnel_monotonic": _over_sessions(lambda s: quality.qa_monotonic(funnel.funnel_summary(s))),
     "qa_row_integrity": _row_integrity,
+    "qa_during_build": _checks_of_build,
     "qa_duplicate_events": _over_fact(quality.qa_duplicate_events),
     # ticket expressions
     "ticket_base": _over_tickets(lambda t: support.ticket_base(t, *RANGE)),

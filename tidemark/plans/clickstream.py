@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
+from pyspark.sql import functions as F
 
-from tidemark.operators import cohorts, drivers, funnel, star, trends
+from tidemark.operators import cohorts, drivers, funnel, quality, star, trends
 from tidemark.plans.storage import store
 from tidemark.sources.events import events_clean
 from tidemark.sources.model import export_parquet
@@ -28,8 +29,60 @@ EXPORTED = (
 )
 
 
+class BuildChecks:
+    """Quality checks counted on the passes that a stored build makes anyway (``build_model(..., checks=...)``).
+
+    Rows are counted where they are written, so a repeated task does not count twice.
+    """
+
+    # The key columns whose NULLs are counted.
+    KEYS = ("user_id", "event_ts", "event_type", "product_id", "category_id")
+
+    def __init__(self) -> None:
+        self.raw, self.events, self.sessions, self.categories = (Observation() for _ in range(4))
+        self.session_rows: DataFrame | None = None
+
+    def on_raw(self, raw: DataFrame) -> DataFrame:
+        return raw.observe(self.raw, F.count(F.lit(1)).alias("raw_rows"))
+
+    def on_events(self, events: DataFrame) -> DataFrame:
+        nulls = [F.count_if(F.col(key).isNull()).alias(f"null_{key}") for key in self.KEYS]
+        return events.observe(self.events, F.count(F.lit(1)).alias("fact_rows"), *nulls)
+
+    def on_sessions(self, sessions: DataFrame) -> DataFrame:
+        return sessions.observe(self.sessions, F.count(F.lit(1)).alias("sessions_dim"))
+
+    def on_categories(self, categories: DataFrame) -> DataFrame:
+        sums = [F.sum(name).alias(name) for name in ("revenue_dedup", "revenue_gross")]
+        return categories.observe(self.categories, *sums)
+
+    def tables(self) -> dict[str, DataFrame]:
+        """qa_null_keys, qa_row_integrity and qa_revenue of the build, without a scan of events.
+
+        ``sessions_distinct_raw`` is counted over the stored session rows: sessions that have a clean event.
+        """
+        spark = self.session_rows.sparkSession
+
+        def one_row(**values: int) -> DataFrame:
+            return spark.range(1).select(*[F.lit(value).cast("bigint").alias(name) for name, value in values.items()])
+
+        events = dict(self.events.get)
+        rows = one_row(raw_rows=self.raw.get["raw_rows"], fact_rows=events.pop("fact_rows"), sessions_dim=self.sessions.get["sessions_dim"])
+        distinct = self.session_rows.select("session_id").distinct().agg(F.count(F.lit(1))).scalar()
+        sums = [F.lit(value).cast("double").alias(name) for name, value in self.categories.get.items()]
+        return {
+            "qa_null_keys": one_row(**events),
+            "qa_row_integrity": rows.withColumn("sessions_distinct_raw", distinct),
+            "qa_revenue": quality.qa_revenue(spark.range(1).select(*sums)),
+        }
+
+
 def build_model(
-    raw: DataFrame, work_dir: str | None = None, max_day: int = 30, brand_limit: int | None = None
+    raw: DataFrame,
+    work_dir: str | None = None,
+    max_day: int = 30,
+    brand_limit: int | None = None,
+    checks: BuildChecks | None = None,
 ) -> dict[str, DataFrame]:
     """All model tables by name, from cleaned raw events.
 
@@ -38,25 +91,33 @@ def build_model(
     Events are read seven times: for daily counts, users, categories, products, session rows, purchases and brands; dates,
     sessions and category measures derive from tables already built. With ``work_dir`` every table is written there and read back before others use it. Each is then computed once, lost
     executors cost no more than their tasks, and later joins know the real table sizes; use it for real volumes.
-    Without it the tables stay lazy.
+    Without it the tables stay lazy. ``checks`` watches the passes of a stored build.
     """
+    if checks and not work_dir:
+        raise ValueError("checks watch a stored build: give work_dir")
+    watched = checks.on_raw(raw) if checks else raw
 
     def keep(name: str, table: DataFrame) -> DataFrame:
         return store(table, work_dir, name) if work_dir else table
 
-    events = keep("events_clean", events_clean(raw))
+    cleaned = events_clean(watched)
+    events = keep("events_clean", checks.on_events(cleaned) if checks else cleaned)
     model = {}
     model["fact_events"] = fact = star.fact_events(events)
     daily = keep("daily_event_counts", trends.daily_event_counts(fact))
     model["dim_date"] = keep("dim_date", star.dim_date(daily))
     for name, build in (("dim_user", star.dim_user), ("dim_category", star.dim_category), ("dim_product", star.dim_product)):
         model[name] = keep(name, build(events))
-    with_category = keep("session_rows", funnel.session_funnel(fact, with_category=True))
+    rows = funnel.session_funnel(fact, with_category=True)
+    with_category = keep("session_rows", checks.on_sessions(rows) if checks else rows)
     sessions = with_category.drop("first_category_id", "first_category_key")
     model["dim_session"] = star.dim_session_of_rows(sessions)
     purchases = keep("fct_user_daily_purchases", cohorts.user_daily_purchases(fact))
     activity = keep("fct_cohort_activity", cohorts.cohort_activity(purchases))
     categories = drivers.category_funnel_of_sessions(with_category)
+    if checks:
+        checks.session_rows = with_category
+        categories = checks.on_categories(categories)
     return {
         **model,
         "fct_session_funnel": sessions,

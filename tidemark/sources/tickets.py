@@ -129,3 +129,50 @@ def read_tickets(
         return _utc_wall_clock(value) if isinstance(kind, T.TimestampType) else value.cast(field.dataType)
 
     return source.select(*[column(field).alias(field.name) for field in TICKET_SCHEMA])
+
+
+# How documents write typed numbers and identifiers, as an inner document with one such field.
+_NUMBER_FORMS = ("$numberInt", "$numberLong", "$numberDouble", "$numberDecimal")
+_ID_FORM = "$oid"
+
+
+def _path(name: str, *inner: str) -> str:
+    """The variant path of a dotted field name and further fields in it."""
+    return "$" + "".join(f"['{part}']" for part in (*name.split("."), *inner))
+
+
+def _from_variant(field: T.StructField, name: str) -> Column:
+    """A field of the document ``doc`` in whichever form it is written there; NULL where none of them can be read as the type."""
+
+    def got(path: str, kind: str) -> Column:
+        return F.try_variant_get("doc", path, kind)
+
+    if _is_time(field):
+        return _written_time(got(_path(name), "string"))
+    if isinstance(field.dataType, T.NumericType):
+        text = F.trim(got(_path(name), "string")).try_cast("double")
+        forms = [got(_path(name, form), "string").try_cast("double") for form in _NUMBER_FORMS]
+        return F.coalesce(got(_path(name), "double"), text, *forms).cast(field.dataType)
+    if isinstance(field.dataType, T.BooleanType):
+        return F.coalesce(got(_path(name), "boolean"), F.trim(got(_path(name), "string")).try_cast("boolean"))
+    return F.coalesce(got(_path(name, _ID_FORM), "string"), got(_path(name), "string"))
+
+
+def read_ticket_documents(spark: SparkSession, path: str, mapping: Mapping[str, str] | None = None) -> DataFrame:
+    """Tickets from JSON documents whose fields change type from document to document.
+
+    Every line is kept as a VARIANT, so a number, its text and a typed inner document (``{"$numberLong": "3"}``, ``{"$oid": ...}``,
+    ``{"$date": ...}``) may stand in the same field of the same file and none is lost to a schema. ``mapping`` is as in ``read_tickets``; a
+    field that a document lacks, or that holds something else, is NULL. Text fields that hold a document have its JSON.
+    """
+    unknown = set(mapping or {}) - set(TICKET_SCHEMA.fieldNames())
+    if unknown:
+        raise ValueError(f"not ticket columns: {sorted(unknown)}")
+    documents = spark.read.option("singleVariantColumn", "doc").json(path)
+    return documents.select(*[_from_variant(field, (mapping or {}).get(field.name, field.name)).alias(field.name) for field in TICKET_SCHEMA])
+
+
+def document_schema(spark: SparkSession, path: str) -> DataFrame:
+    """How many documents there are and the schema that covers them all, with VARIANT where a field changes type."""
+    documents = spark.read.option("singleVariantColumn", "doc").json(path)
+    return documents.agg(F.count(F.lit(1)).alias("documents"), F.schema_of_variant_agg("doc").alias("covering_schema"))
