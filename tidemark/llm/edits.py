@@ -19,8 +19,8 @@ from tidemark.plans.storage import store
 
 #: The walk's random bits repeat after so many steps; characters share them by their low byte, mixed with the high ones.
 PERIOD, KINDS = 1024, 256
-#: A fingerprint samples so many steps of the walk on each of two scales, in bands of so many.
-SAMPLES, BAND = 256, 8
+#: A fingerprint samples at most so many steps of the walk, all of them in shorter walks; a band has so many.
+SAMPLES, BAND = 512, 6
 SEED = 20_240_101
 
 
@@ -45,7 +45,13 @@ class Walk:
         for step in range(PERIOD):
             self.states[step].extend(self.states[k] for k in following[step].tolist())
             self.states[step].append(step)
-        self.places = {scale: np.sort(rng.choice(2 << scale, min(SAMPLES, 2 << scale), replace=False)) for scale in range(32)}
+        self.moves = moves
+        # Level k samples one of 2^k steps among the first SAMPLES * 2^k, and takes nothing that level k - 1 does not.
+        self.places = [np.arange(SAMPLES)]
+        for level in range(1, 34):
+            half = SAMPLES << level - 1
+            kept = rng.choice(self.places[-1], SAMPLES // 2, replace=False)
+            self.places.append(np.sort(np.concatenate([kept, half + rng.choice(half, SAMPLES // 2, replace=False)])))
         self.bits = rng.integers(0, 2, 1 << 16).astype(np.uint8)
 
     def ends(self, codes: np.ndarray, start: int = 0) -> np.ndarray:
@@ -59,50 +65,40 @@ class Walk:
         gaps[gaps == 0] = PERIOD
         return start + np.cumsum(gaps)
 
-    def fingerprint(self, codes: np.ndarray, ends: np.ndarray) -> str:
-        """``length:scale:bits:bits``: steps of the walk, and sampled bits at the steps of the text's scale and the one below.
+    def level(self, length: int) -> int:
+        """The first level that samples the whole of a walk of so many steps."""
+        return max(0, (max(length, 1) - 1).bit_length() - (SAMPLES - 1).bit_length())
 
-        The scale is that of the text's length, so that texts of which one is at most twice as long as the other share one. Steps
-        after the walk's end have bit 0; the length tells them from real ones.
-        """
+    def fingerprint(self, codes: np.ndarray, ends: np.ndarray) -> str:
+        """``length:bits``: the number of steps of the walk, and a bit for each step that the walk's level samples."""
         length = int(ends[-1]) if len(ends) else 0
-        scale = max(len(codes) - 1, 0).bit_length()
-        parts = [str(length), str(scale)]
-        for of in (scale, scale - 1):
-            bits = np.zeros(SAMPLES, dtype=np.uint8)
-            if of >= 0:
-                steps = self.places[of]
-                inside = steps[steps < length]
-                seen = codes[np.searchsorted(ends, inside, side="right")]
-                bits[: len(inside)] = self.bits[(seen * 0x9E37 >> 4 ^ inside) & 0xFFFF]
-            parts.append(np.packbits(bits).tobytes().hex())
-        return ":".join(parts)
+        steps = self.places[self.level(length)]
+        steps = steps[steps < length]
+        seen = codes[np.searchsorted(ends, steps, side="right")]
+        return f"{length}:{np.packbits(self.bits[(seen * 0x9E37 >> 4 ^ steps) & 0xFFFF]).tobytes().hex()}"
 
     def compare(self, one: str, other: str) -> tuple[int, float]:
-        """How many bands agree in all sampled bits, and the verified likeness from 0 to 1.
+        """How many bands agree in all their sampled bits, and the verified likeness from 0 to 1.
 
-        Compared are the sampled steps of the largest scale that both have. Sampled bits of unlike characters agree half of the
-        time, so the share of like ones is twice the share of agreement less one; steps of one walk alone count as unlike. So do those
-        past the scale's range: the longer walk counts with the samples that it would have there. Without a common scale, one text is
-        more than twice as long as the other, and the likeness is 0.
+        Compared are the steps that the level of the longer walk samples; the shorter one's level samples them too, so any two
+        lengths compare alike. Bands take the steps that both walks have. A pair without a band that agrees is no candidate, and its
+        likeness is 0. Sampled bits of unlike characters agree half of the time, so the share of like ones is twice the
+        share of agreement less one; steps that the longer walk has alone count as unlike. Two empty texts are alike.
         """
-        a, b = one.split(":"), other.split(":")
-        shared = {int(a[1]) - x: (x, y) for x in (0, 1) for y in (0, 1) if int(a[1]) - x == int(b[1]) - y >= 0}
-        if not shared:
-            return 0, 0.0
-        scale = max(shared)
-        x, y = shared[scale]
-        lengths = sorted((int(a[0]), int(b[0])))
-        both, either = np.searchsorted(self.places[scale], lengths).tolist()
-        if lengths[1] > 2 << scale:
-            either = len(self.places[scale]) * lengths[1] / max(2 << scale, lengths[0])
-        bits = np.unpackbits(np.frombuffer(bytes.fromhex(a[2 + x]) + bytes.fromhex(b[2 + y]), dtype=np.uint8)).reshape(2, -1)
-        agree = bits[0, :both] == bits[1, :both]
+        lengths, bits = zip(*((int(length), np.unpackbits(np.frombuffer(bytes.fromhex(packed), dtype=np.uint8))) for length, packed in (one.split(":"), other.split(":"))))
+        if one == other:
+            return -(-len(bits[0]) // BAND), 1.0
+        steps = self.places[self.level(max(lengths))]
+        both, either = np.searchsorted(steps, [min(lengths), max(lengths)]).tolist()
+        found = []
+        for length, own in zip(lengths, bits):
+            sampled = self.places[self.level(length)]
+            found.append(own[np.searchsorted(sampled, steps[:both])])
+        agree = found[0] == found[1]
         # A band takes every so-manieth step, so that it samples the whole walk.
-        bands = [agree[k :: SAMPLES // BAND] for k in range(SAMPLES // BAND)]
-        equal = sum(bool(len(band)) and bool(band.all()) for band in bands)
-        likeness = 1.0 if one == other else (2 * int(agree.sum()) - both) / either if either else 0.0
-        return equal, min(1.0, max(0.0, likeness))
+        bands = max(1, both // BAND)
+        equal = sum(bool(agree[k::bands].all()) for k in range(bands)) if both else 0
+        return equal, min(1.0, max(0.0, (2 * int(agree.sum()) - both) / either)) if equal else 0.0
 
 
 @cache
@@ -157,10 +153,11 @@ def fingerprint_edits(docs: DataFrame, folder: str) -> DataFrame:
     """For every row of ``docs`` (doc_id, text): fingerprints of its text and of its edited text, and how like they are.
 
     The next document is the one with the next smaller doc_id (after the last one the first); rows with equal doc_ids go in the order
-    of their texts, rows without one come last. A null text counts as empty: length 0, and likeness 1 to another empty one. In a
-    table of one row the row is its own next. Equal texts have equal fingerprints. Of the columns beside these two none is read.
+    of a hash of their texts, rows without one come last. A null text counts as empty: length 0, and likeness 1 to another empty one. In a
+    table of one row the row is its own next; an empty table gives an empty result. Equal texts have equal fingerprints. Texts of any
+    length are walked whole. Of the columns beside these two none is read.
 
-    Rows are sorted in ranges and each range is streamed, holding two documents at a time. The first and last text of each range
+    Rows are sorted in ranges, also of the hash, so that many rows without a doc_id are several ranges. Each is streamed, holding two documents at a time. The first and last text of each range
     are also stored; a second pass over these alone joins the last document of a range to the first of the next.
     """
 
@@ -185,9 +182,10 @@ def fingerprint_edits(docs: DataFrame, folder: str) -> DataFrame:
             yield _batch([Text(doc_id, text).row(Text(None, following)) for doc_id, text, following in values], ROW)
 
     kinds = {"kind": pa.string(), "part": pa.int32(), "text": pa.string()} | ROW
-    order = [F.col("doc_id").desc_nulls_last(), F.col("text").asc()]
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    ranges = texts.repartitionByRange(order[0]).sortWithinPartitions(*order)
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("place"))
+    order = [F.col("doc_id").desc_nulls_last(), F.col("place").asc(), F.col("text").asc()]
+    ranges = texts.repartitionByRange(*order[:2]).sortWithinPartitions(*order).drop("place")
     done = store(ranges.mapInArrow(run, "kind string, part int, text string, " + SCHEMA), folder, "ranges")
     firsts = done.where("kind = 'first'").select(F.col("part").alias("next_part"), F.col("text").alias("next_text"))
     over = Window.orderBy("part")
