@@ -10,7 +10,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import slices
@@ -22,7 +22,9 @@ BLOCKS = frozenset(
     "tbody td tfoot th thead tr ul".split()
 )
 RAW = frozenset("script style title textarea iframe noembed noframes noscript xmp".split())
-SILENT = frozenset("head template svg math object canvas select button datalist audio video map".split())
+SILENT = frozenset("head template svg math object canvas select datalist audio video map".split())
+#: Elements of running text: a button in one of them is a word of the sentence.
+RUNNING = frozenset("p li td dd dt blockquote figcaption h1 h2 h3 h4 h5 h6".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 HEAD_ONLY = frozenset("base basefont bgsound head html link meta noframes noscript script style template title".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
@@ -36,6 +38,10 @@ AROUND = frozenset(
     "replies respond discussion copyright legal disclaimer tags taglist skip hidden".split()
 )
 WITHIN = frozenset("header banner toc tags notice legal disclaimer alert side".split())
+NEUTRAL = frozenset(
+    "left right top bottom main inner outer wrap wrapper container content box block section area list item items group panel row col column "
+    "bar body title text link links button site page global primary secondary post posts entry article blog story field fields thread".split()
+)
 LIKELY = frozenset("article articles content entry main post story text body page".split())
 MAIN_ROLES = frozenset(("main", "article"))
 
@@ -45,9 +51,13 @@ LOOSE_TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>", re.S)
 ATTRIBUTE = re.compile(r"([^\s=/>\"']++)(?:\s*+=\s*+(?:\"([^\"]*)\"|'([^']*)'|([^\s>]++)))?")
 WORDS = re.compile(r"[a-z]+|[A-Z][a-z]*|\d+")
 
-#: Weights of the graph, in thousandths: structure, the bound of what a trained classifier may say, neighbours and containers.
-INSIDE, MAYBE_INSIDE, OUTSIDE, TEXT_BOUND = 4000, 1500, -6000, 2500
+#: Weights of the graph, in thousandths: structure, the bound of what a trained classifier may say, neighbours and containers. What stands
+#: against a block, ``OUTSIDE``, is less than prose of its own and two neighbours in the main text can outweigh.
+INSIDE, MAYBE_INSIDE, OUTSIDE, TEXT_BOUND = 4000, 1500, -4400, 2500
 SAME_PARENT, SAME_GRANDPARENT, APART, CONTAINER = 900, 500, 150, 250
+#: A name that says what a part is for among other words counts half. A part with more than half of the page's words that holds the
+#: main part, or may, is the page's frame, and its names count next to nothing.
+PARTLY, WHOLLY, FRAME = 0.5, 1.0, 0.05
 
 
 @dataclass(slots=True)
@@ -64,10 +74,9 @@ class Block:
 class Element:
     tag: str
     number: int
-    around: bool
+    against: tuple[int, ...]
     within: bool
     likely: bool
-    form: bool
     link: bool
     silent: bool
 
@@ -76,20 +85,21 @@ def _attributes(text: str) -> dict[str, str]:
     return {m[1].lower(): m[2] or m[3] or m[4] or "" for m in ATTRIBUTE.finditer(text)} if text.strip(" /") else {}
 
 
-def _is_around(tag: str, attributes: dict[str, str], within: bool) -> bool:
-    """Whether an element's own tag and attributes say that it stands around the main text."""
-    if tag in ("nav", "footer", "aside", "menu", "dialog", "search") or tag == "header" and not within:
-        return True
+def _around(tag: str, attributes: dict[str, str], within: bool) -> float:
+    """How much an element's own tag and attributes say that it stands around the main text: 0, ``PARTLY`` or ``WHOLLY``."""
+    if tag in ("nav", "footer", "aside", "menu", "dialog", "search", "form") or tag == "header" and not within or attributes.get("role") == "form":
+        return WHOLLY
     if attributes and "hidden" in attributes or attributes.get("aria-hidden") == "true" or re.search(r"display\s*:\s*none", attributes.get("style", "")):
-        return True
+        return WHOLLY
     if tag in ("html", "body", "main"):
-        return False
+        return 0.0
+    most = 0.0
     for name in " ".join(attributes.get(k, "") for k in ("class", "id", "role")).split() if attributes else ():
         words = {w.lower() for w in WORDS.findall(name)}
         found = AROUND & words
         if found and words.isdisjoint(("has", "with", "no", "without")) and (found - WITHIN or not within and LIKELY.isdisjoint(words)):
-            return True
-    return False
+            most = max(most, WHOLLY if words - found <= NEUTRAL else PARTLY)
+    return most
 
 
 def _name_words(attributes: dict[str, str]) -> set[str]:
@@ -103,8 +113,11 @@ def blocks_of(page: str) -> list[Block]:
     head ends where text or an element starts that can't stand in it.
     """
     blocks: list[Block] = []
-    stack = [Element("", 0, False, False, False, False, False, False)]
+    stack = [Element("", 0, (), False, False, False, False)]
     opened: Counter[str] = Counter()
+    strength: dict[int, float] = {}  # of elements that stand around the main text, by number
+    marks: list[tuple[int, ...]] = []  # for each main part or first heading, which of these elements hold it
+    above: list[tuple[Element, int]] = []  # for each block, the element it stands in and its words outside of links
     parts: list[str] = []
     linked = number = at = 0
 
@@ -115,9 +128,9 @@ def blocks_of(page: str) -> list[Block]:
             if text:
                 top = stack[-1]
                 holders = [e.number for e in stack if e.tag in BLOCKS]
-                around, tag = top.around, next((e.tag for e in reversed(stack) if e.tag in BLOCKS), "")
-                structure = OUTSIDE if around or top.form else INSIDE if top.within else MAYBE_INSIDE if top.likely else 0
-                blocks.append(Block(text, text.count(" ") + 1, min(linked, len(text)), tag, structure, tuple(holders[-4:])))
+                tag = next((e.tag for e in reversed(stack) if e.tag in BLOCKS), "")
+                blocks.append(Block(text, text.count(" ") + 1, min(linked, len(text)), tag, 0, tuple(holders[-4:])))
+                above.append((top, round(blocks[-1].words * (1 - blocks[-1].linked / len(text)))))
             parts.clear()
         linked = 0
 
@@ -182,16 +195,31 @@ def blocks_of(page: str) -> list[Block]:
             continue
         if tag in VOID:
             continue
-        above, attributes = stack[-1], _attributes(found[3])
-        main = tag in ("main", "article") or attributes.get("role") in MAIN_ROLES or "articleBody" in attributes.get("itemprop", "")
-        around = above.around or _is_around(tag, attributes, above.within)
-        likely = above.likely or tag not in ("html", "body") and not LIKELY.isdisjoint(_name_words(attributes))
-        # Some sites wrap whole pages into a form: a main part inside ends its effect.
-        form = (above.form or tag == "form" or attributes.get("role") == "form") and not main
+        holder, attributes = stack[-1], _attributes(found[3])
         number += 1
-        stack.append(Element(tag, number, around, above.within or main, likely, form, above.link or tag == "a", above.silent or tag in SILENT))
+        main = tag in ("main", "article") or attributes.get("role") in MAIN_ROLES or "articleBody" in attributes.get("itemprop", "")
+        against, own = holder.against, _around(tag, attributes, holder.within)
+        if own:
+            strength[number] = own
+            against = (*against, number)
+        if main and own < WHOLLY or tag == "h1":
+            marks.append(against)
+        likely = holder.likely or tag not in ("html", "body") and not LIKELY.isdisjoint(_name_words(attributes))
+        silent = holder.silent or tag in SILENT or tag == "button" and not any(e.tag in RUNNING for e in stack)
+        stack.append(Element(tag, number, against, holder.within or main, likely, holder.link or tag == "a", silent))
         opened[tag] += 1
     flush()
+    words, total = Counter(), sum(own for _, own in above)
+    for element, own in above:
+        for number in element.against:
+            words[number] += own
+    for number in strength:
+        if 2 * words[number] > total and (not marks or any(number in mark for mark in marks)):
+            strength[number] *= FRAME
+    for block, (element, _) in zip(blocks, above):
+        against = max((strength[number] for number in element.against), default=0.0)
+        inside = INSIDE if element.within else MAYBE_INSIDE if element.likely else 0
+        block.structure = round(OUTSIDE * against) + (0 if against == WHOLLY else inside)
     return blocks
 
 
@@ -326,27 +354,36 @@ def main_text(page: str, model: dict[str, float]) -> str:
     return "\n".join(b.text for b, inside in zip(blocks, minimum_cut(scores, edges)) if inside)
 
 
-def train(pages: DataFrame, sample: int = 10_000, prior: float = 20.0, bound: float = 1.5) -> dict[str, float]:
-    """Log-odds of each feature between blocks that structure puts inside and outside of the main text.
+def train(pages: DataFrame, sample: int = 10_000, prior: float = 20.0, bound: float = 1.5, often: int = 3) -> dict[str, float]:
+    """Log-odds of each feature between blocks inside and outside of the main text.
 
-    The classifier is fitted on ``sample`` pages, the smallest by a hash of page_id; their blocks are labelled by their structure. Each
-    page's counts are added up in its task and then by Spark; what comes to the driver is one row for each feature. ``prior``
-    pseudo-blocks pull rare features to 0, ``bound`` limits each. Without blocks on both sides the model is empty.
+    The classifier is fitted on ``sample`` pages, the smallest by a hash of page_id. Two views must agree on a block before it is an
+    example: what its structure says, and whether the same text stands on ``often`` or more of these pages. Inside are blocks of a main part
+    that do not repeat so; outside are those that repeat or have links, and stand in no main part. Counts are added up by Spark; what comes to the
+    driver is two rows for each feature. ``prior`` pseudo-blocks pull rare features to 0, ``bound`` limits each. Without blocks on both
+    sides the model is empty.
     """
     chosen = pages.select(F.col("page_id").alias("_chosen")).where("_chosen is not null").orderBy(F.xxhash64("_chosen"), "_chosen").limit(sample)
     pages = pages.join(F.broadcast(chosen), pages["page_id"] == chosen["_chosen"], "left_semi")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: Counter[tuple[str, bool]] = Counter()
         for batch in slices(batches):
+            texts, names, sides, links = [], [], [], []
             for page in batch["html"].to_pylist():
                 for block in blocks_of(page or ""):
-                    if block.structure:
-                        counts.update((name, block.structure > 0) for name in ("all", *features(block)))
-        names, inside = [name for name, _ in counts], [side for _, side in counts]
-        yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array(inside, pa.bool_()), pa.array(counts.values(), pa.int64())], names=["name", "inside", "n"])
-
-    found = pages.select(F.col("html").cast("string").alias("html")).mapInArrow(run, "name string, inside boolean, n long")
+                    texts.append(block.text)
+                    names.append(features(block))
+                    sides.append(block.structure)
+                    links.append(block.linked > 0)
+            arrays = [pa.array(texts, pa.string()), pa.array(names, pa.list_(pa.string())), pa.array(sides, pa.int32()), pa.array(links, pa.bool_())]
+            yield pa.RecordBatch.from_arrays(arrays, names=["text", "names", "side", "link"])
+
+    found = pages.select(F.col("html").cast("string").alias("html")).mapInArrow(run, "text string, names array<string>, side int, link boolean")
+    found = found.select(F.xxhash64("text").alias("place"), "names", "side", "link").groupBy("place", "names", "side", "link").agg(F.count(F.lit(1)).alias("n"))
+    repeats = F.sum("n").over(Window.partitionBy("place")) >= often
+    inside = F.when((F.col("side") > 0) & ~F.col("repeats"), True).when((F.col("side") <= 0) & (F.col("repeats") | F.col("link")), False)
+    found = found.withColumn("repeats", repeats).withColumn("inside", inside).where("inside is not null")
+    found = found.select("inside", "n", F.explode(F.array_append("names", F.lit("all"))).alias("name"))
     counts = {(r.name, r.inside): r.n for r in found.groupBy("name", "inside").agg(F.sum("n").alias("n")).collect()}
     yes, no = counts.pop(("all", True), 0), counts.pop(("all", False), 0)
     if not yes or not no:
@@ -364,7 +401,7 @@ def extract(pages: DataFrame, model: dict[str, float]) -> DataFrame:
     """page_id, url and main text of every row of ``pages`` (page_id, url, html).
 
     A null, empty or text-free html gives the empty string. Pages of any size are read whole. Repeated rows give repeated rows; other
-    columns are not read.
+    columns are not read. An empty table gives an empty result.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
