@@ -5,6 +5,7 @@ from __future__ import annotations
 import base64
 import collections
 import hashlib
+import math
 import random
 import re
 import zlib
@@ -237,13 +238,55 @@ def test_classifier_holds_out(spark, sf_dir):
     assert all(r.kept for r in found if r.good)
 
 
+def _strength(counts):
+    """The beta-binomial's strength, restated for pairs (k, n)."""
+    k, n = sum(c[0] for c in counts), sum(c[1] for c in counts)
+    rate, groups = k / n, len(counts)
+    correlation = 0.5
+    if groups > 1 and 0 < rate < 1:
+        room = n - sum(c[1] ** 2 for c in counts) / n - (groups - 1)
+        spread = sum(c[0] ** 2 / c[1] for c in counts) - n * rate * rate
+        correlation = (spread / (rate * (1 - rate)) - (groups - 1)) / room if room > 0 else 0.5
+    return 1 / min(0.5, max(0.001, correlation)) - 1
+
+
+def test_posteriors_equal_a_plain_recomputation(spark, docs, rows):
+    given = [(0, 1), (3, 1), (11, 0), (11, 1), (None, 1), (4, None), (20, 0)]
+    labels = spark.createDataFrame(given, "doc_id long, good int")
+    found = quality.classify(docs, labels, scratch_dir(spark), keep=["doc_id", "source", "lang"]).collect()
+    base = quality.train(docs, labels).base
+    own = lambda e: 1 / (1 + math.exp(-(e + base)))
+    paths, hosts = {}, {}
+    for r in found:
+        told = [good for doc_id, good in given if good is not None and doc_id == r._row.doc_id]
+        for table, key in ((paths, (r._row.source, r._row.lang)), (hosts, r._row.source)):
+            k, n = table.get(key, (0.0, 0.0))
+            table[key] = (k + own(r.evidence) + sum(told), n + 1 + len(told))
+    prior = (sum(k for k, _ in hosts.values()) + 1) / (sum(n for _, n in hosts.values()) + 2)
+    s_host, s_path = _strength(list(hosts.values())), _strength(list(paths.values()))
+    for r in found:
+        k, n = hosts[r._row.source]
+        host = (max(k - own(r.evidence), 0) + s_host * prior) / (n - 1 + s_host)
+        k, n = paths[r._row.source, r._row.lang]
+        path = (max(k - own(r.evidence), 0) + s_path * host) / (n - 1 + s_path)
+        want = 1 / (1 + math.exp(-(r.evidence + math.log(path / (1 - path)))))
+        assert abs(r.host_posterior - host) < 1e-9 and abs(r.path_posterior - path) < 1e-9 and abs(r.posterior - want) < 1e-9
+        assert r.kept == (r.posterior >= 0.5)
+    whole = quality.classify(docs, labels, scratch_dir(spark)).collect()
+    want = sorted((r._row.doc_id, r.posterior) for r in found)
+    assert all(a == c and abs(b - d) < 1e-9 for (a, b), (c, d) in zip(sorted((r._row.doc_id, r.posterior) for r in whole), want))
+
+
 def test_sparse_sites_shrink(spark):
     scored = [("big", "a", 6.0)] * 300 + [("big", "b", -6.0)] * 300 + [("bad", "a", -6.0)] * 200 + [("new", None, -6.0), (None, "a", 6.0)]
-    table = spark.createDataFrame(scored, "host string, path string, _evidence double")
-    rates = {(r._host, r._path): r for r in quality.site_posteriors(table, 0.0, scratch_dir(spark)).collect()}
+    table = spark.createDataFrame([(k, *row) for k, row in enumerate(scored)], "doc_id long, host string, path string, _evidence double")
+    none = spark.createDataFrame([], "doc_id long, good int")
+    sites = quality.site_outcomes(table, none, 0.0, scratch_dir(spark))
+    rates = {(r.host, r.path): r for r in quality.with_posteriors(table, sites, 0.0).collect()}
     assert rates["big", "a"].path_posterior > 0.9 > 0.1 > rates["big", "b"].path_posterior
     assert rates["bad", "a"].host_posterior < 0.05
-    assert 0.1 < rates["new", None].host_posterior < 0.6  # one bad document hardly moves the prior
+    assert abs(rates["new", None].host_posterior - sites.prior) < 1e-6  # its own text says nothing of its site
+    assert abs(rates["new", None].path_posterior - sites.prior) < 1e-6
 
 
 def test_classifier_on_odd_rows(spark, docs, rows, empty):
@@ -409,7 +452,7 @@ def test_measures_equal_brute_force(spark, rows):
 def test_repeats_in_long_texts_and_among_like_hashes(spark, monkeypatch):
     a, b = 5 << 24, (5 << 24) + 1  # equal in the bits above the place
     table = spark.createDataFrame([([a, b, a, b],), ([b, a, 7, a],), ([a, b, 7, 8],), ([-a, 3, -a],)], "hashes array<long>")
-    assert [r[0] for r in table.select(rules._repeated_places(F.col("hashes"))).collect()] == [[0, 1, 2, 3], [1, 3], [], [0, 2]]
+    assert [r[0] for r in table.select(rules._repeated_places(F.col("hashes"), F.size(F.array_distinct("hashes")))).collect()] == [[0, 1, 2, 3], [1, 3], [], [0, 2]]
     monkeypatch.setattr(rules, "PLACE_BITS", 4)
     texts = [" ".join(random.Random(k).choices("abcd", k=k)) for k in range(10, 60)]
     found = rules.measures(spark.createDataFrame(list(enumerate(texts)), "k long, text string")).select("k", "n_repeat_words").collect()
@@ -421,28 +464,54 @@ def test_ratio_equals_brute_force(spark, docs, rows, orders):
     trusted = spark.createDataFrame([(0,), (3,), (3,), (None,), (999,)], "doc_id long")
     found = rules.judge(docs, trusted, scratch_dir(spark), keep=["doc_id"], orders=orders).select("_row.doc_id", "score", "kept", "base_failed").collect()
 
-    def spark_hash(*parts):
-        seed = 42
-        for part in parts:
-            seed = xxhash.xxh64_intdigest(part.encode(), seed)
-        return (seed - (1 << 64) if seed >> 63 else seed) % rules.BUCKETS
+    def spark_hash(words):
+        """Each word's hash, then that of a gram and one word more: the gram is the seed's base, as Spark chains its arguments."""
+        singles = [xxhash.xxh64_intdigest(word.encode(), 42) for word in words]
+        gram = singles[0]
+        for other in singles[1:]:
+            gram = xxhash.xxh64_intdigest(other.to_bytes(8, "little"), xxhash.xxh64_intdigest(gram.to_bytes(8, "little"), 42))
+        if len(words) < max(2, n_words_of):
+            gram = xxhash.xxh64_intdigest(gram.to_bytes(8, "little"), 42) if n_words_of > 1 else gram
+        return gram % rules.BUCKETS
 
     def grams(text):
-        w = re.findall(WORD, text or "")
-        return [spark_hash(*w[k : k + n]) for n in orders for k in range(len(w) - n + 1)]
+        nonlocal n_words_of
+        w, found = re.findall(WORD, text or ""), []
+        for n_words_of in orders:
+            found += [spark_hash(w[k : k + n_words_of]) for k in range(len(w))]
+        return found
 
+    n_words_of = 1
     raw = collections.Counter(g for r in rows for g in grams(r[1]))
     target = collections.Counter(g for r in rows if r[0] in (0, 3) for g in grams(r[1]))
-    n, m, s = raw.total(), target.total(), 10_000.0
+    share = target.total() / raw.total()
 
     def ratio(g):
-        p = (raw[g] + 0.5) / (n + 0.5 * rules.BUCKETS)
-        return np.log((target[g] + s * p) / (m + s) / p)
+        return round(math.log((target[g] + 3) / (raw[g] * share + 3)), 5)
 
     want = {r[0]: np.mean([ratio(g) for g in grams(r[1])]) if grams(r[1]) else 0.0 for r in rows}
     assert len(found) == len(rows)
     for r in found:
-        assert abs(r.score - want[r.doc_id]) < 1e-9 and r.kept == (not r.base_failed and r.score >= -0.4)
+        assert abs(r.score - want[r.doc_id]) < 1e-9 and r.kept == (not r.base_failed and r.score >= -0.25)
+
+
+def test_word_order_counts(spark):
+    """A shuffled copy of a trusted text scores lower than the text."""
+    texts = [prose(k, 200) for k in range(20)]
+    shuffled = [" ".join(random.Random(k).sample(t.split(), 200)) for k, t in enumerate(texts)]
+    table = spark.createDataFrame(list(enumerate(texts + shuffled)), "doc_id long, text string")
+    found = rules.judge(table, spark.range(20).withColumnRenamed("id", "doc_id"), scratch_dir(spark), keep=["doc_id"]).collect()
+    score = {r._row.doc_id: r.score for r in found}
+    assert all(score[k] > score[k + 20] for k in range(20))
+
+
+def test_only_trusted_documents_move(spark):
+    """The bit table lets every trusted id through and almost no other."""
+    ids = spark.range(0, 3_000_000, 1000).select(F.col("id").alias("_id"))
+    table = spark.range(-1000, 2_000_000)
+    passed = table.where(rules._perhaps(ids, F.col("id")))
+    assert passed.where("id % 1000 = 0 and id >= 0").count() == 2000
+    assert passed.count() < 2000 + 1000
 
 
 @pytest.mark.parametrize("limit", ["10m", "-1"])
@@ -457,8 +526,8 @@ def test_every_trusted_document_counts(spark, limit):
         rules.ratios(texts.unionByName(more).withColumnRenamed("id", "doc_id"), trusted, folder)
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
-    counts = spark.read.parquet(f"{folder}/counts").agg(F.sum("raw"), F.sum("target")).first()
-    assert tuple(counts) == (40_803, 40_801)
+    raw, target = (spark.read.parquet(f"{folder}/{name}").agg(F.sum(name)).first()[0] for name in ("raw", "target"))
+    assert (raw, target) == (2 * 40_803, 2 * 40_801)
 
 
 def test_rules_stage_filters_and_runs_no_python(spark, docs, empty, capsys):

@@ -119,44 +119,83 @@ def _logit(p: Column) -> Column:
     return F.log(p / (1 - p))
 
 
-def site_posteriors(scored: DataFrame, base: float, folder: str) -> DataFrame:
-    """Posterior good rates of every path, shrunk to those of its host and these to the global rate.
+def own_rate(base: float) -> Column:
+    """A document's probability of being good by its own text, at the sample's base rate."""
+    return 1 / (1 + F.exp(-(F.col("_evidence") + F.lit(base))))
 
-    ``scored`` has host, path and _evidence. A document counts with its probability at the sample's base rate. The strength of each level
-    is the beta-binomial's by the method of moments. Hot hosts and paths are sums. A null host or path is one like any other.
+
+@dataclass(frozen=True)
+class Sites:
+    """Outcomes of every path and host (``rates``), and what the levels above them are worth."""
+
+    rates: DataFrame
+    prior: float
+    host_strength: float
+    path_strength: float
+
+
+def site_outcomes(scored: DataFrame, labels: DataFrame, base: float, folder: str) -> Sites:
+    """Good and all outcomes of each path and host, in pseudo-counts.
+
+    ``scored`` has doc_id, host, path and _evidence. Every document is an outcome with the probability that its text gives, and every
+    label of a document is one more with what it says. The strength of each level is the beta-binomial's by the method of moments.
+    Hot hosts and paths are sums. A null host or path is one like any other.
     """
-    p = 1 / (1 + F.exp(-(F.col("_evidence") + F.lit(base))))
-    paths = store(scored.groupBy("host", "path").agg(F.sum(p).alias("k"), F.count(F.lit(1)).cast("double").alias("n")), folder, "paths")
+    told = labels.select(F.col("doc_id").cast("long").alias("_labelled"), F.col("good").cast("double").alias("_good"))
+    told = told.where("_labelled is not null and _good is not null").groupBy("_labelled").agg(F.sum("_good").alias("_good"), F.count(F.lit(1)).alias("_labels"))
+    joined = scored.join(told, scored["doc_id"] == told["_labelled"], "left")
+    k, n = own_rate(base) + F.coalesce("_good", F.lit(0.0)), F.lit(1.0) + F.coalesce("_labels", F.lit(0))
+    paths = store(joined.groupBy("host", "path").agg(F.sum(k).alias("k"), F.sum(n).alias("n")), folder, "paths")
     hosts = store(paths.groupBy("host").agg(F.sum("k").alias("k"), F.sum("n").alias("n")), folder, "hosts")
-    k, n = hosts.agg(F.sum("k"), F.sum("n")).first()
-    prior = (k + 1.0) / (n + 2.0) if n else 0.5
-    strength = beta_strength(hosts)
-    rated = hosts.select(F.col("host").alias("_host"), ((F.col("k") + strength * prior) / (F.col("n") + strength)).alias("host_posterior"))
-    strength = beta_strength(paths)
-    paths = paths.join(store(rated, folder, "host_rates"), F.col("host").eqNullSafe(F.col("_host")))
-    posterior = (F.col("k") + strength * F.col("host_posterior")) / (F.col("n") + strength)
-    return store(paths.select(F.col("host").alias("_host"), F.col("path").alias("_path"), "host_posterior", posterior.alias("path_posterior")), folder, "path_rates")
+    good, every = hosts.agg(F.sum("k"), F.sum("n")).first()
+    prior = (good + 1.0) / (every + 2.0) if every else 0.5
+    above = hosts.select(F.col("host").alias("_of"), F.col("k").alias("_host_k"), F.col("n").alias("_host_n"))
+    rates = paths.join(above, F.col("host").eqNullSafe(F.col("_of")))
+    rates = rates.select(F.col("host").alias("_host"), F.col("path").alias("_path"), F.col("k").alias("_path_k"), F.col("n").alias("_path_n"), "_host_k", "_host_n")
+    return Sites(store(rates, folder, "site_rates"), prior, beta_strength(hosts), beta_strength(paths))
+
+
+def with_posteriors(judged: DataFrame, sites: Sites, base: float) -> DataFrame:
+    """Adds host_posterior, path_posterior and posterior to rows with host, path and _evidence.
+
+    A document's own text is left out of the outcomes of its host and path, as it counts by itself: a path of one document without a label
+    is its host's, and a host of one document the global prior.
+    """
+    own = own_rate(base)
+    rows = judged.join(sites.rates, F.col("host").eqNullSafe(F.col("_host")) & F.col("path").eqNullSafe(F.col("_path")))
+
+    def shrunk(level: str, above: Column, strength: float) -> Column:
+        k, n = F.greatest(F.col(f"_{level}_k") - own, F.lit(0.0)), F.greatest(F.col(f"_{level}_n") - 1, F.lit(0.0))
+        return (k + strength * above) / (n + strength)
+
+    rows = rows.withColumn("host_posterior", shrunk("host", F.lit(sites.prior), sites.host_strength))
+    rows = rows.withColumn("path_posterior", shrunk("path", F.col("host_posterior"), sites.path_strength))
+    return rows.withColumn("posterior", 1 / (1 + F.exp(-(F.col("_evidence") + _logit(F.col("path_posterior"))))))
 
 
 def classify(docs: DataFrame, labels: DataFrame, folder: str, host: str = "source", path: str = "lang", keep: list[str] | None = None, threshold: float = 0.5) -> DataFrame:
     """The columns ``keep`` (by default all) of every row of ``docs`` as the struct ``_row``, with evidence, host_posterior, path_posterior,
     posterior and kept.
 
-    ``docs`` has doc_id, text and two columns that name a document's host and, within it, its path. The posterior log-odds are the
-    path's plus the text's evidence; a document stays if the posterior is at least ``threshold``. A text without words gives no evidence
-    and stands or falls with its path. Repeated rows are judged alike. An empty table gives an empty result.
+    ``docs`` has doc_id, text and two columns that name a document's host and, within it, its path; ``labels`` has doc_id and good (0 or
+    1). The posterior log-odds are the path's plus the text's evidence; a document stays if the posterior is at least ``threshold``. A null
+    text counts as empty; a text without words gives no evidence and stands or falls with its path. A null doc_id has no label. Repeated
+    rows are judged alike, and each counts. Texts of any length are read whole. Extra columns, whatever their names, stay in ``_row``. An
+    empty table gives an empty result.
     """
     model = train(docs, labels)
     names = docs.columns if keep is None else keep
     row = F.struct(*[F.col(f"_row.`{c}`").alias(c) for c in names]).alias("_row")
-    sites = [F.col(host).cast("string").alias("host"), F.col(path).cast("string").alias("path")]
+    sites = [F.col("doc_id").cast("long").alias("doc_id"), F.col(host).cast("string").alias("host"), F.col(path).cast("string").alias("path")]
     rows = packed(docs, *sites, F.col("text").cast("string").alias("text"))
-    scored = evidence(rows.select("host", "path", "text"), model)
-    rates = site_posteriors(scored, model.base, folder)
-    judged = evidence(rows.select(row, "host", "path", *[] if "text" in names else ["text"]), model)
-    judged = judged.join(rates, F.col("host").eqNullSafe(F.col("_host")) & F.col("path").eqNullSafe(F.col("_path")))
-    posterior = 1 / (1 + F.exp(-(F.col("_evidence") + _logit(F.col("path_posterior")))))
-    judged = judged.withColumn("posterior", posterior).withColumn("kept", F.col("posterior") >= threshold)
+    if "text" in names:
+        # The texts are read again rather than stored twice: the caller stores the rows that stay.
+        scored = evidence(rows.select("doc_id", "host", "path", "text"), model)
+        judged = evidence(rows.select(row, "host", "path"), model)
+    else:
+        scored = judged = store(evidence(rows.select(row, "doc_id", "host", "path", "text"), model), folder, "scored")
+    found = site_outcomes(scored.select("doc_id", "host", "path", "_evidence"), labels, model.base, folder)
+    judged = with_posteriors(judged, found, model.base).withColumn("kept", F.col("posterior") >= threshold)
     return judged.select("_row", F.col("_evidence").alias("evidence"), "host_posterior", "path_posterior", "posterior", "kept")
 
 

@@ -7,7 +7,7 @@ import json
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import SPACES, packed, unpacked, words
+from tidemark.llm.common import packed, unpacked, words
 from tidemark.plans.storage import store
 
 #: Low bits of a sort key that hold a window's place; texts with more windows are sorted by (hash, place) pairs.
@@ -25,18 +25,32 @@ def n_symbols(text: Column) -> Column:
 
 def n_dup_lines(text: Column) -> Column:
     """Lines with a word in them that equal an earlier line."""
-    lines = F.filter(F.split(text, "\n"), lambda line: F.length(F.regexp_replace(line, SPACES, "")) > 0)
+    lines = F.filter(F.split(text, "\n"), lambda line: F.rlike(line, F.lit(r"[^\x20\x09-\x0D]")))
     return (F.size(lines) - F.size(F.array_distinct(lines))).cast("long")
 
 
-def _windows(found: Column) -> Column:
-    """A 64-bit hash of every window of three words."""
-    places = F.sequence(F.lit(1), F.size(found) - 2)
-    return F.transform(places, lambda k: F.xxhash64(F.get(found, k - 1), F.get(found, k), F.get(found, k + 1)))
+def _hashed(found: Column) -> Column:
+    return F.transform(found, lambda word: F.xxhash64(word))
+
+
+def _longer(grams: Column, hashes: Column, n: int) -> Column:
+    """Hashes of the n-grams at every word, from those of one word less (``grams``); past the last word nothing is added.
+
+    ``grams`` and ``hashes`` should be columns, so that they are not made anew for each word.
+    """
+    return F.transform(grams, lambda gram, k: F.xxhash64(gram, F.get(hashes, k + (n - 1))))
+
 
+def _with_grams(rows: DataFrame, orders: tuple[int, ...]) -> DataFrame:
+    """Adds ``_gram1`` (hashes of the words in ``_words``), ``_gram2`` and so on up to the longest of the orders."""
+    rows = rows.withColumn("_gram1", _hashed(F.col("_words")))
+    for n in range(2, max(orders) + 1):
+        rows = rows.withColumn(f"_gram{n}", _longer(F.col(f"_gram{n - 1}"), F.col("_gram1"), n))
+    return rows
 
-def _repeated_places(hashes: Column) -> Column:
-    """Places of the hashes that occur twice or more, in ascending order.
+
+def _repeated_places(hashes: Column, distinct: Column) -> Column:
+    """Places of the hashes that occur twice or more, in ascending order; ``distinct`` is how many different ones there are.
 
     The hash's high bits and the place make one number, so that equal windows are neighbours after a plain sort; neighbours count only
     if their whole hashes are equal. Where places need more bits, or different hashes share their high bits and so may stand between
@@ -63,7 +77,7 @@ def _repeated_places(hashes: Column) -> Column:
     pairs = F.sort_array(F.transform(hashes, lambda h, k: F.struct(h.alias("hash"), k.cast("long").alias("place"))))
     kept = F.transform(F.array(pairs), lambda found: F.filter(found, lambda _, k: (k > 0) & paired(found, k - 1, k) | paired(found, k, k + 1)))
     exact = F.sort_array(F.transform(F.get(kept, F.lit(0)), lambda pair: pair["place"]))
-    shared = F.size(F.array_distinct(F.transform(hashes, lambda h: h.bitwiseAND(high)))) < F.size(F.array_distinct(hashes))
+    shared = F.size(F.array_distinct(F.transform(hashes, lambda h: h.bitwiseAND(high)))) < distinct
     return F.when((F.size(hashes) > 1 << PLACE_BITS) | shared, exact).otherwise(short)
 
 
@@ -73,43 +87,32 @@ def _covered(places: Column) -> Column:
     return F.aggregate(places, start, lambda acc, p: F.struct(p.alias("last"), (acc["n"] + F.least(F.lit(3).cast("long"), p - acc["last"])).alias("n")), lambda acc: acc["n"])
 
 
-def n_repeat_words(hashes: Column) -> Column:
+def n_repeat_words(hashes: Column, distinct: Column) -> Column:
     """Words in windows of three that are found twice or more in the text, the first included."""
-    return F.when(F.size(F.array_distinct(hashes)) == F.size(hashes), F.lit(0).cast("long")).otherwise(_covered(_repeated_places(hashes)))
+    return F.when(distinct == F.size(hashes), F.lit(0).cast("long")).otherwise(_covered(_repeated_places(hashes, distinct)))
 
 
-def measures(rows: DataFrame) -> DataFrame:
-    """``rows`` (any columns and ``text``) with the base measures and ``_words``; a null text has no words."""
+def measures(rows: DataFrame, orders: tuple[int, ...] = (1, 2)) -> DataFrame:
+    """``rows`` (any columns and ``text``) with the base measures, ``_words`` and the grams of ``orders``; a null text has no words."""
     rows = rows.withColumn("text", F.coalesce("text", F.lit(""))).withColumn("_words", words(F.col("text")))
-    windows = F.when(F.size("_words") >= 3, _windows(F.col("_words"))).otherwise(F.array().cast("array<long>"))
-    rows = rows.withColumn("_windows", windows)
+    rows = _with_grams(rows, (2, *orders))
+    windows = F.slice(_longer(F.col("_gram2"), F.col("_gram1"), 3), F.lit(1), F.greatest(F.size("_gram1") - 2, F.lit(0)))
+    rows = rows.withColumn("_windows", windows).withColumn("_distinct", F.size(F.array_distinct("_windows")))
     rows = rows.withColumns(
         {
             "n_words": F.size("_words").cast("long"),
-            "word_chars": (F.length("text") - F.regexp_count("text", F.lit(r"[\x20\x09-\x0D]"))).cast("long"),
+            "word_chars": F.length(F.array_join("_words", "")).cast("long"),
             "n_symbols": n_symbols(F.col("text")),
             "n_dup_lines": n_dup_lines(F.col("text")),
-            "n_repeat_words": n_repeat_words(F.col("_windows")),
+            "n_repeat_words": n_repeat_words(F.col("_windows"), F.col("_distinct")),
         }
     )
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
-    return rows.withColumn("base_failed", failed).drop("_windows")
-
+    return rows.withColumn("base_failed", failed).drop("_windows", "_distinct")
 
-def _hashed(found: Column) -> Column:
-    return F.transform(found, lambda word: F.xxhash64(word))
 
-
-def _buckets(hashes: Column, orders: tuple[int, ...]) -> Column:
-    """Bucket of every n-gram of the given orders, from the words' hashes (a column, so that they are not made anew for each n-gram)."""
-    found, grams = [], hashes
-    for n in range(1, max(orders) + 1):
-        if n > 1:
-            size = F.greatest(F.size(hashes) - (n - 1), F.lit(0))
-            grams = F.zip_with(F.slice(grams, F.lit(1), size), F.slice(hashes, F.lit(n), size), lambda head, last: F.xxhash64(head, last))
-        if n in orders:
-            found.append(F.transform(grams, lambda gram: gram.bitwiseAND(F.lit(BUCKETS - 1)).cast("int")))
-    return F.concat(*found) if len(found) > 1 else found[0]
+def _bucket(gram: Column) -> Column:
+    return gram.bitwiseAND(F.lit(BUCKETS - 1)).cast("int")
 
 
 def _listed(table: DataFrame, number: str, value: str, size: int) -> DataFrame:
@@ -134,10 +137,14 @@ def _perhaps(ids: DataFrame, key: Column) -> Column:
 
 
 def _counted(texts: DataFrame, orders: tuple[int, ...], name: str) -> DataFrame:
-    """How often each bucket occurs in the texts; added up in the tasks, so at most all buckets leave each."""
-    hashes = texts.select(words(F.col("_text")).alias("_words")).select(_hashed(F.col("_words")).alias("_hashes"))
-    grams = hashes.select(F.explode(_buckets(F.col("_hashes"), orders)).alias("bucket"))
-    return grams.groupBy("bucket").agg(F.count(F.lit(1)).cast("double").alias(name))
+    """How often each bucket occurs in the texts; added up in the tasks, so at most all buckets leave each.
+
+    There is an n-gram of each order at every word; those at the end of the text are shorter.
+    """
+    rows = _with_grams(texts.select(words(F.col("_text")).alias("_words")), orders)
+    grams = F.concat(*[F.col(f"_gram{n}") for n in orders]) if len(orders) > 1 else F.col(f"_gram{orders[0]}")
+    found = rows.select(F.explode(grams).alias("gram")).select(_bucket(F.col("gram")).alias("bucket"))
+    return found.groupBy("bucket").agg(F.count(F.lit(1)).cast("double").alias(name))
 
 
 def ratios(docs: DataFrame, trusted: DataFrame, folder: str, orders: tuple[int, ...] = ORDERS, pseudo: float = 3.0) -> Column:
@@ -175,11 +182,12 @@ def judge(docs: DataFrame, trusted: DataFrame, folder: str, keep: list[str] | No
     names = docs.columns if keep is None else keep
     row = F.struct(*[F.col(f"_row.`{c}`").alias(c) for c in names]).alias("_row")
     weights = ratios(docs, trusted, folder, orders)
-    rows = measures(packed(docs, F.col("text").cast("string").alias("text")).select(row, "text"))
-    rows = rows.withColumn("_hashes", _hashed(F.col("_words")))
-    total = F.aggregate(_buckets(F.col("_hashes"), orders), F.lit(0.0), lambda acc, bucket: acc + F.get(weights, bucket))
-    grams = sum((F.greatest(F.size("_words") - (n - 1), F.lit(0)) for n in orders), F.lit(0))
-    rows = rows.withColumn("score", F.when(grams > 0, total / grams).otherwise(0.0))
+    rows = measures(packed(docs, F.col("text").cast("string").alias("text")).select(row, "text"), orders)
+    total = F.lit(0.0)
+    for n in orders:
+        looked_up = F.transform(F.col(f"_gram{n}"), lambda gram: F.get(weights, _bucket(gram)))
+        total = total + F.aggregate(looked_up, F.lit(0.0), lambda acc, ratio: acc + ratio)
+    rows = rows.withColumn("score", F.when(F.col("n_words") > 0, total / (F.col("n_words") * len(orders))).otherwise(0.0))
     # A filter on the verdict must not be moved below the measures, where each use of the words would split the text anew; it stays
     # above a column that depends on the partition's number.
     kept = ~F.col("base_failed") & (F.col("score") >= threshold) & (F.spark_partition_id() >= 0)
