@@ -71,7 +71,7 @@ def test_registered_query_matches_sql(spark, sf_dir, duck, name):
 
 def test_all_queries_are_registered():
     numbers = {int(m[1]) for name in contract.queries() if (m := re.match(r"op(\d+)_", name))}
-    assert numbers == set(range(1, 11)) and "pipeline" in contract.queries()
+    assert numbers == set(range(1, 14)) and "pipeline" in contract.queries()
 
 
 # 1 mixing
@@ -143,6 +143,47 @@ def test_main_text_leaves_the_surroundings_out():
     assert html.main_text(page, {}) == "Title\nFirst é paragraph.\nSecond one."
 
 
+STORY = "<h2>A town</h2>" + "".join(f"<p>The {w} rose again in spring, and the town moved its market to the hill above the old bridge.</p>" for w in ("river", "lake", "sea"))
+AROUND = (
+    '<nav><a href=x>Home</a> <a href=y>News</a></nav><div class="sidebar"><a href=z>More stories</a> Popular today</div>'
+    "<footer>© 2020 Site. All rights reserved.</footer>"
+)
+SHAPES = {
+    "wrapper named after its sidebar": f'<body><div class="layout right-sidebar">{AROUND}<div>{STORY}</div></div>',
+    "wrapper around an article": f'<body><div class="layout right-sidebar">{AROUND}<article>{STORY}</article></div>',
+    "article of a category": f'<body>{AROUND}<article class="post category-advertising">{STORY}</article>',
+    "article with sharing": f'<body>{AROUND}<article class="story share-enabled">{STORY}</article>',
+    "search page": f'<body><div id="search-page">{AROUND}<div>{STORY}</div></div>',
+    "page in a form": f"<body><form id=aspnetForm>{AROUND}<div>{STORY}</div></form>",
+    "many comments": f'<body>{AROUND}<article>{STORY}</article><div class="comments"><h3>Comments</h3>'
+    + '<div class="comment"><p>I liked this story a lot, and my mother told me of the old market too.</p></div>' * 12
+    + "</div>",
+    "advert inside": f'<body>{AROUND}<article>{STORY}<div class="ad"><a href=u>Buy now</a> cheap shoes</div></article>',
+    "button outside": f"<body>{AROUND}<main>{STORY}</main><button>Share</button>",
+}
+
+
+@pytest.fixture(scope="module")
+def text_model(spark):
+    return html.train(spark.read.parquet("/root/testdata/sf0.01/pages.parquet"))
+
+
+@pytest.mark.parametrize("shape", SHAPES)
+def test_names_of_frames_do_not_lose_the_article(text_model, shape):
+    lines = html.main_text(SHAPES[shape], text_model).split("\n")
+    assert lines[0] == "A town" and len(lines) == 4 and all(line.endswith("old bridge.") for line in lines[1:])
+
+
+def test_the_cut_outweighs_a_name(text_model):
+    """A quotation whose class is in the list stays between paragraphs, as its text and neighbours say more; so do words of buttons."""
+    quote = "<blockquote class=social>She said that the old bridge had carried three generations of farmers.</blockquote>"
+    page = f"<body>{AROUND}<article>{STORY}{quote}<p>Use <button>Save</button> to keep the page, and go on with the next one.</p></article>"
+    assert any(b.structure < 0 and b.text.startswith("She said") for b in html.blocks_of(page))
+    lines = html.main_text(page, text_model).split("\n")
+    assert lines[-2].startswith("She said") and lines[-1].startswith("Use Save to keep")
+    assert "She said" not in html.main_text(f"<body><div class=sidebar>{quote}<a href=x>More</a></div><article>{STORY}</article>", text_model)
+
+
 def test_minimum_cut_equals_brute_force():
     rng = random.Random(3)
     for _ in range(150):
@@ -321,6 +362,55 @@ def full_likeness(a: str, b: str) -> float:
     return (shown[0][:n] == shown[1][:n]).sum() / max(map(len, shown))
 
 
+def stepped(text):
+    """The walk step by step: at each step it writes its character, and moves on if the shared random bit says so."""
+    walk, out, place = edits.shared_walk(), [], 0
+    codes = [ord(c) for c in text]
+    while place < len(codes):
+        code = codes[place]
+        out.append(code)
+        place += int(walk.moves[(len(out) - 1) % edits.PERIOD, (code ^ code >> 8 ^ code >> 16) & 0xFF])
+    return out
+
+
+@pytest.mark.parametrize("text", ["", "a", "é日本\U0001f600 x", prose(3, 40), prose(4, 400), prose(5, 3000)])
+def test_fingerprint_equals_the_walk_step_by_step(text):
+    walk, written = edits.shared_walk(), stepped(text)
+    level = next(k for k in range(40) if len(written) <= edits.SAMPLES << k)
+    bits = [int(walk.bits[(written[step] * 0x9E37 >> 4 ^ step) & 0xFFFF]) for step in walk.places[level].tolist() if step < len(written)]
+    packed = bytes(sum(bit << 7 - k for k, bit in enumerate(bits[at : at + 8])) for at in range(0, len(bits), 8))
+    assert edits.Text(None, text).print == f"{len(written)}:{packed.hex()}"
+
+
+def test_levels_are_nested():
+    walk = edits.shared_walk()
+    for level in range(1, 20):
+        within = walk.places[level][walk.places[level] < edits.SAMPLES << level - 1]
+        assert set(within.tolist()) <= set(walk.places[level - 1].tolist()) and len(walk.places[level]) == edits.SAMPLES
+
+
+@pytest.mark.parametrize("n,m", [(2048, 1024), (2049, 1024), (4097, 2048), (8200, 4090), (4096, 1030), (300, 100), (20_000, 5001), (60_000, 15_001), (900, 800)])
+def test_likeness_has_no_jump(n, m):
+    text = prose(12, 12_000)
+    one, other = stepped(text[:n]), stepped(text[:m])
+    whole = sum(a == b for a, b in zip(one, other)) / max(len(one), len(other))
+    assert abs(likeness(text[:n], text[:m]) - whole) < 0.1 and likeness(text[:n], text[:m]) == likeness(text[:m], text[:n])
+
+
+def test_texts_without_an_equal_band_are_no_candidates():
+    bands, near = edits.shared_walk().compare(edits.Text(None, prose(1, 30_000)).print, edits.Text(None, "short").print)
+    assert (bands, near) == (0, 0.0)
+
+
+def test_many_rows_without_doc_id_are_spread(spark):
+    texts = [prose(k, 30) for k in range(400)]
+    docs = spark.createDataFrame([(None, t) for t in texts], "doc_id long, text string")
+    folder = scratch_dir(spark)
+    found = edits.fingerprint_edits(docs, folder).collect()
+    assert len(found) == 400 and {r.fingerprint for r in found} == {edits.Text(None, t).print for t in texts}
+    assert spark.read.parquet(f"{folder}/ranges").select("part").distinct().count() > 1
+
+
 def test_likeness_counts_the_longer_tail():
     text = prose(11, 30_000)
     for n, m in ((2048, 1024), (130_000, 65_536), (1500, 1000), (1025, 1024), (2000, 1100), (1024, 900)):
