@@ -406,7 +406,11 @@ def test_many_rows_without_doc_id_are_spread(spark):
     texts = [prose(k, 30) for k in range(400)]
     docs = spark.createDataFrame([(None, t) for t in texts], "doc_id long, text string")
     folder = scratch_dir(spark)
-    found = edits.fingerprint_edits(docs, folder).collect()
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        found = edits.fingerprint_edits(docs, folder).collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
     assert len(found) == 400 and {r.fingerprint for r in found} == {edits.Text(None, t).print for t in texts}
     assert spark.read.parquet(f"{folder}/ranges").select("part").distinct().count() > 1
 
