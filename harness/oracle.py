@@ -476,6 +476,7 @@ def sql() -> dict[str, str]:
     found = _tables()
     return found | {
         "qa_during_build": _content({name: found[name] for name in ("qa_null_keys", "qa_row_integrity", "qa_revenue")}),
+        "star_join_stored": found["star_join"],
         "repurchase_within_bitmaps": found["repurchase_within"],
         "export_parquet": _content({name: found[_MODEL_TABLES[name]] for name in EXPORTED}),
         "build_clickstream_model": _content({name: found[key] for name, key in _MODEL_TABLES.items()}),
@@ -675,6 +676,13 @@ FROM (SELECT DISTINCT session_id FROM clicks WHERE session_id IS NOT NULL) LEFT
         "brand_revenue_top": _query(
             clicks, f"{_BRANDS} ORDER BY sum(price) DESC, brand LIMIT {BRANDS}", ("revenue_gross", "avg_item_price")
         ),
+        "category_funnel_item_price": _query(
+            f"""{CATEGORIES}, sold AS (
+  SELECT category_id, avg(price) AS avg_item_price
+  FROM (SELECT session_id, price FROM clicks WHERE session_id IS NOT NULL AND {PAID}) JOIN placed USING (session_id) GROUP BY category_id)""",
+            "SELECT * FROM per_category LEFT JOIN sold USING (category_id)",
+            ("revenue_dedup", "revenue_gross", "avg_item_price"),
+        ),
         "category_cvr": _query(CATEGORIES, "SELECT * FROM rated", ("revenue_dedup", "revenue_gross", *CVRS)),
         "category_quadrants": _query(
             f"""{CATEGORIES}, leveled AS (

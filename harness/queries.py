@@ -223,6 +223,13 @@ def _star_join(spark: SparkSession, sf: str) -> DataFrame:
     return star.star_join(star.fact_events(events), dims)
 
 
+def _star_join_stored(spark: SparkSession, sf: str) -> DataFrame:
+    """Dimensions of the stored build, a fact in seven buckets, and sessions of more than five events dealt to parts."""
+    work, raw = scratch_dir(spark), _raw(spark, sf)
+    model = build_model(raw, f"{work}/build")
+    return star.star_join_stored(star.stored_star(model["fact_events"], model, f"{work}/star", buckets=7, most=5))
+
+
 def _day_axis(spark: SparkSession, sf: str) -> DataFrame:
     return star.on_day_axis(_weighted()(spark, sf), star.dim_days(spark))
 
@@ -360,6 +367,7 @@ QUERIES: dict[str, Query] = {
     "dim_session": _over_events(star.dim_session),
     "fact_events": _over_events(star.fact_events),
     "star_join": _star_join,
+    "star_join_stored": _star_join_stored,
     "dim_days": _day_axis,
     # session funnel
     "session_step_agg": _over_fact(funnel.session_step_agg),
@@ -404,6 +412,7 @@ QUERIES: dict[str, Query] = {
     "brand_revenue": _over_fact(drivers.brand_revenue),
     "brand_revenue_top": _over_fact(lambda f: drivers.brand_revenue(f, BRANDS)),
     "category_funnel_labelled": _category_labels,
+    "category_funnel_item_price": _over_fact(lambda f: drivers.category_funnel_of_events(f, with_item_price=True)),
     "category_cvr": _over_categories(drivers.category_cvr),
     "category_quadrants": _over_categories(lambda c: drivers.category_quadrants(drivers.category_cvr(c))),
     # trends

@@ -12,7 +12,7 @@ from harness import adapters
 from harness.queries import QUERIES
 from tidemark.operators import drivers, funnel, quality, star
 from tidemark.plans import daily, storage
-from tidemark.plans.clickstream import EXPORTED, build_model, export_model
+from tidemark.plans.clickstream import EXPORTED, BuildChecks, build_model, export_model
 from tidemark.sources.events import clean_raw_events, malformed_rows, read_events_csv
 from tidemark.sources.model import export_parquet, read_model
 
@@ -297,3 +297,42 @@ def test_scratch_refuses_a_folder_of_the_driver_on_a_cluster():
     far = SimpleNamespace(conf=SimpleNamespace(get=lambda key, *default: settings.get(key, *default)))
     with pytest.raises(ValueError, match="checkpoint"):
         storage.scratch_dir(far)
+
+
+def test_checks_during_the_build_cost_no_scan_and_show_faults(spark, tmp_path):
+    rows = [{"ts": "05 10:00:00"}, {"ts": "05 11:00:00", "product_id": None, "category_id": None, "event_type": None}, {"ts": "06 11:00:00", "user_id": None}]
+    raw = numbered(spark, list(enumerate(rows))).select("*")
+    checks = BuildChecks()
+    build_model(raw, str(tmp_path / "b"), checks=checks)
+    tables = checks.tables()
+    assert only(tables["qa_null_keys"]) == {"null_user_id": 0, "null_event_ts": 0, "null_event_type": 1, "null_product_id": 1, "null_category_id": 1}
+    assert only(tables["qa_row_integrity"]) == {"raw_rows": 3, "fact_rows": 2, "sessions_dim": 1, "sessions_distinct_raw": 1}
+    assert only(tables["qa_revenue"])["dedup_within_gross"] is None
+    scans = [line for table in tables.values() for line in plan_of(table).splitlines() if "FileScan" in line]
+    assert scans and all("session_rows" in line or "session_id" in line for line in scans)
+    assert not any("event_ts" in line or "price" in line for line in scans)
+    with pytest.raises(ValueError, match="work_dir"):
+        build_model(raw, checks=BuildChecks())
+
+
+def test_stored_star_is_joined_without_moving_the_fact(spark, tmp_path):
+    many = [{"ts": f"05 10:{k % 60:02}:00", "product_id": 1 if k % 3 else k, "session_id": "hot" if k % 2 else f"s{k % 9}", "user_id": k % 2} for k in range(600)]
+    odd = [{"ts": "05 11:00:00", "session_id": None}, {"ts": "05 11:00:00", "product_id": None, "category_id": None, "price": None}]
+    raw = numbered(spark, list(enumerate(many + odd)))
+    model = build_model(raw, str(tmp_path / "m"))
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    stored = star.stored_star(model["fact_events"], model, str(tmp_path / "s"), buckets=5, most=50)
+    hot = stored["fact"].where("session_id = 'hot'")
+    assert hot.select("part").distinct().count() == 6 and not spark.catalog.listTables()
+    plain = star.star_join(model["fact_events"], model)
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        joined = star.star_join_stored({**stored, "dim_date": F.broadcast(stored["dim_date"]), "dim_category": F.broadcast(stored["dim_category"])})
+        assert "Exchange hashpartitioning" not in plan_of(joined) and "Bucketed: true" in plan_of(joined)
+    finally:
+        for key in settings:
+            spark.conf.unset(key)
+    columns = sorted(plain.columns)
+    assert sorted(joined.columns) == columns
+    assert sorted(map(repr, joined.select(columns).collect())) == sorted(map(repr, plain.select(columns).collect()))

@@ -42,15 +42,20 @@ def category_funnel(sessions: DataFrame, categories: DataFrame) -> DataFrame:
     return _by_category(sessions.groupBy("session_id").agg(*_measures()).join(categories, "session_id"))
 
 
-def category_funnel_of_sessions(sessions: DataFrame) -> DataFrame:
-    """The same from session rows that carry their first category (``session_funnel(..., with_category=True)``)."""
+def category_funnel_of_sessions(sessions: DataFrame, with_item_price: bool = False) -> DataFrame:
+    """The same from session rows that carry their first category (``session_funnel(..., with_category=True)``).
+
+    ``with_item_price=True`` adds avg_item_price, the mean price of the items that make up the gross revenue; NULL without any.
+    """
     category = F.min_by("first_category_id", "first_category_key").alias("category_id")
-    return _by_category(sessions.groupBy("session_id").agg(*_measures(), category))
+    items = [F.sum("paid_items").alias("paid_items")] if with_item_price else []
+    found = _by_category(sessions.groupBy("session_id").agg(*_measures(), *items, category))
+    return found.withColumn("avg_item_price", ratio("revenue_gross", "paid_items")).drop("paid_items") if with_item_price else found
 
 
-def category_funnel_of_events(fact: DataFrame) -> DataFrame:
+def category_funnel_of_events(fact: DataFrame, with_item_price: bool = False) -> DataFrame:
     """The same straight from events in one scan: the first category rides along with the session rows."""
-    return category_funnel_of_sessions(funnel.session_funnel(fact, with_category=True))
+    return category_funnel_of_sessions(funnel.session_funnel(fact, with_category=True), with_item_price)
 
 
 def brand_revenue(fact: DataFrame, limit: int | None = None) -> DataFrame:

@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 from tidemark.functions.columns import FUNNEL_STEPS, first_by_time, is_paid, is_step, ratio, seconds_between, time_key
 
 SESSION = ["session_id", "user_id"]
+#: What session rows have beside the session table's columns if they carry their category.
+CATEGORY_COLUMNS = ("first_category_id", "first_category_key", "paid_items")
 # How the distinct-product counters of the three steps are called.
 _DISTINCT_NAMES = {
     "view": "distinct_products_viewed",
@@ -33,6 +35,7 @@ def product_steps(fact: DataFrame, with_category: bool = False) -> DataFrame:
     """
     steps = []
     if with_category:
+        steps.append(F.count_if(is_paid()).alias("paid_items"))
         known = F.col("category_id").isNotNull()
         steps.append(first_by_time(fact, "category_id", known).alias("first_category_id"))
         steps.append(F.min(F.when(known, time_key(fact, "category_id"))).alias("first_category_key"))
@@ -63,6 +66,7 @@ def merged_steps(steps: DataFrame) -> DataFrame:
         *[F.min(f"first_{step}_ts").alias(f"first_{step}_ts") for step in FUNNEL_STEPS],
         *[F.sum(f"{step}_events").alias(f"{step}_events") for step in FUNNEL_STEPS],
         F.sum("gross").alias("gross"),
+        *([F.sum("paid_items").alias("paid_items")] if "paid_items" in steps.columns else []),
         *[F.min_by(values[name], f"{name}_key").alias(values[name]) for name in firsts],
         *[F.min(f"{name}_key").alias(f"{name}_key") for name in firsts],
     )
@@ -76,6 +80,7 @@ def _per_session(steps: DataFrame) -> DataFrame:
     if with_category:
         category.append(F.min_by("first_category_id", "first_category_key").alias("first_category_id"))
         category.append(F.min("first_category_key").alias("first_category_key"))
+        category.append(F.sum("paid_items").alias("paid_items"))
     rolled = (
         steps.groupBy(*SESSION)
         .agg(
@@ -103,7 +108,7 @@ def _per_session(steps: DataFrame) -> DataFrame:
         *[(F.col(f"{step}_events") > 0).cast("int").alias(f"has_{step}") for step in FUNNEL_STEPS],
         "session_revenue_gross",
         "dedup",
-        *(["first_category_id", "first_category_key"] if with_category else []),
+        *(CATEGORY_COLUMNS if with_category else []),
     )
 
 
@@ -133,7 +138,7 @@ def session_funnel(fact: DataFrame, ordered_only: bool = False, with_category: b
     """The session table with deduplicated revenue, order-value proxy and step-to-step times.
 
     ``ordered_only=True`` sets step times to NULL where the later step came first. ``with_category=True`` adds the
-    category of the earliest event that has one, and that event's order key.
+    category of the earliest event that has one, that event's order key, and the number of items that count as revenue.
     """
     return sessions_of_steps(product_steps(fact, with_category), ordered_only)
 

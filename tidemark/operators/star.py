@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import mode_by_weight, null_safe_join, seconds_between
 from tidemark.functions.quantiles import exact_quantiles, quantile_sketches, quantiles_of_sketches
+from tidemark.plans.storage import store
 
 
 def dim_date(events: DataFrame) -> DataFrame:
@@ -182,3 +184,60 @@ def dim_days(spark: SparkSession, max_day: int = 30) -> DataFrame:
 def on_day_axis(curve: DataFrame, days: DataFrame) -> DataFrame:
     """A per-day curve on a gap-free axis; days the curve lacks have NULL values."""
     return days.join(curve.withColumnRenamed("days_since", "day"), "day", "left")
+
+
+def _who_key(session: str = "session_id", user: str = "user_id") -> Column:
+    """What fact rows and sessions are stored by; rows without a session are spread over their users."""
+    key = F.concat(F.lit("session "), F.col(session))
+    return F.coalesce(key, F.concat(F.lit("user "), F.col(user).cast("string")), F.lit("nobody"))
+
+
+#: A session or a user without one, the part of a large session, and the user.
+_STORED_BY = ["who", "part", "user_id"]
+
+
+def _write_buckets(table: DataFrame, path: str, buckets: int) -> DataFrame:
+    """The table written once in buckets by the keys that it is joined on, one file each, and sorted inside; the catalog keeps no entry."""
+    keys, spark = _STORED_BY, table.sparkSession
+    name = f"star_{uuid.uuid4().hex}"
+    writer = table.repartition(buckets, *keys).write.option("path", path).bucketBy(buckets, *keys).sortBy(*keys)
+    writer.saveAsTable(name)
+    stored = spark.table(name)
+    spark.sql(f"DROP TABLE {name}")  # the name alone; the files stay
+    return stored
+
+
+def stored_star(fact: DataFrame, dims: Mapping[str, DataFrame], directory: str, buckets: int, most: int = 1_000_000) -> dict[str, DataFrame]:
+    """The star written for repeated joins: ``fact`` with its products, and ``dim_who``, sessions with their users.
+
+    Products are attached once, here, where adaptive execution splits hot ones; the fact is then stored in buckets by session, so a hot product is
+    spread over all of them. ``dim_who`` lies in the same buckets, so joining it moves no row of the fact (``star_join_stored``). A
+    session of more than ``most`` events is dealt to so many parts, and its row of ``dim_who`` is repeated for each. Pass stored dimensions.
+    """
+    products = dims["dim_product"].withColumnsRenamed({"category_id": "product_category_id", "brand": "product_brand"})
+    rows = fact.withColumn("who", _who_key())
+    large = rows.groupBy("who").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > most)
+    large = store(large.select("who", F.ceil(F.col("n") / most).cast("int").alias("parts")), directory, "large_sessions")
+    parts = F.coalesce(F.col("parts"), F.lit(1))
+    dealt = F.pmod(F.xxhash64("event_ts", "product_id", "event_type", "price"), parts).cast("int")
+    rows = rows.join(large, "who", "left").withColumn("part", dealt).drop("parts")
+    rows = rows.join(products, "product_id", "left")
+    sessions = dims["dim_session"].join(dims["dim_user"], "user_id", "left")
+    sessionless = dims["dim_user"].withColumn("session_id", F.lit(None).cast("string"))
+    who = sessions.unionByName(sessionless, allowMissingColumns=True).withColumn("who", _who_key())
+    who = who.join(large, "who", "left").withColumn("part", F.explode(F.sequence(F.lit(0), parts - 1))).drop("parts")
+    return {
+        "fact": _write_buckets(rows, f"{directory}/fact", buckets),
+        "dim_who": _write_buckets(who, f"{directory}/dim_who", buckets),
+        "dim_date": dims["dim_date"],
+        "dim_category": dims["dim_category"],
+    }
+
+
+def star_join_stored(star: Mapping[str, DataFrame]) -> DataFrame:
+    """``star_join`` from the tables of ``stored_star``: the fact is read bucket by bucket and not shuffled."""
+    who = star["dim_who"].drop("session_id")
+    # A hash table of a bucket's sessions; the fact streams by and need not be sorted.
+    out = star["fact"].join(who.hint("shuffle_hash"), _STORED_BY, "left")
+    out = out.join(star["dim_date"], "date_key", "left")
+    return out.join(with_category_label(star["dim_category"]), "category_id", "left").drop("who", "part")

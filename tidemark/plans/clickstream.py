@@ -110,7 +110,7 @@ def build_model(
         model[name] = keep(name, build(events))
     rows = funnel.session_funnel(fact, with_category=True)
     with_category = keep("session_rows", checks.on_sessions(rows) if checks else rows)
-    sessions = with_category.drop("first_category_id", "first_category_key")
+    sessions = with_category.drop(*funnel.CATEGORY_COLUMNS)
     model["dim_session"] = star.dim_session_of_rows(sessions)
     purchases = keep("fct_user_daily_purchases", cohorts.user_daily_purchases(fact))
     activity = keep("fct_cohort_activity", cohorts.cohort_activity(purchases))

@@ -188,7 +188,7 @@ def read_loaded(spark: SparkSession, directory: str, max_day: int = 30, brand_li
     purchases = model.read("fct_user_daily_purchases")
     daily, retained = model.read("daily_event_counts"), model.read("retained")
     users = model.read("user_days").groupBy("user_id").agg(F.min("first_ts").alias("first_seen_ts"), F.max("last_ts").alias("last_seen_ts"))
-    plain = sessions.drop("first_category_id", "first_category_key")
+    plain = sessions.drop(*funnel.CATEGORY_COLUMNS)
     return {
         "fact_events": star.fact_events(events),
         "dim_date": star.dim_date(daily),

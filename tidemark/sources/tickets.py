@@ -150,9 +150,10 @@ def _from_variant(field: T.StructField, name: str) -> Column:
     if _is_time(field):
         return _written_time(got(_path(name), "string"))
     if isinstance(field.dataType, T.NumericType):
-        text = F.trim(got(_path(name), "string")).try_cast("double")
-        forms = [got(_path(name, form), "string").try_cast("double") for form in _NUMBER_FORMS]
-        return F.coalesce(got(_path(name), "double"), text, *forms).cast(field.dataType)
+        # Whole numbers go by decimals, so that none of 19 digits is lost.
+        kind = "decimal(38,9)" if isinstance(field.dataType, T.IntegralType) else "double"
+        written = [got(_path(name), "string"), *(got(_path(name, form), "string") for form in _NUMBER_FORMS)]
+        return F.coalesce(*[F.trim(text).try_cast(kind) for text in written]).try_cast(field.dataType)
     if isinstance(field.dataType, T.BooleanType):
         return F.coalesce(got(_path(name), "boolean"), F.trim(got(_path(name), "string")).try_cast("boolean"))
     return F.coalesce(got(_path(name, _ID_FORM), "string"), got(_path(name), "string"))
