@@ -52,6 +52,10 @@ def fingerprints(docs: DataFrame, shingle: int = 3, beside: tuple[str, ...] = ()
     return texts.mapInArrow(run, ", ".join(f"{c} long" for c in [*names, "fp"]))
 
 
+#: Variants that one task makes of its fingerprints.
+TASK_VARIANTS = 4_000_000
+
+
 def _constants(rows: list[tuple[int, ...]]) -> F.Column:
     names = "xyz"
     return F.array(*[F.struct(*[F.lit(v).cast("long").alias(n) for n, v in zip(names, row)]) for row in rows])
@@ -87,6 +91,11 @@ def _hub_rows(fps: DataFrame) -> DataFrame:
     return fps.select("fp", v).select("fp", F.col("fp").bitwiseXOR(F.col("v.x")).alias("hub"), F.col("v.y").alias("near"))
 
 
+def _spread(fps: DataFrame, variants: int) -> DataFrame:
+    """Fingerprints dealt to as many tasks as their variants need; the size of the small table alone would give a few."""
+    return fps.repartition(max(1, -(-fps.count() * variants // TASK_VARIANTS)))
+
+
 def linked(fps: DataFrame, folder: str) -> DataFrame:
     """Edges (a, b) between distinct fingerprints ``fp`` that connect exactly what links of at most three bits connect.
 
@@ -97,10 +106,10 @@ def linked(fps: DataFrame, folder: str) -> DataFrame:
        connection and makes no pairs inside a bucket; each edge is verified by its bit distance.
     """
     every = Window.partitionBy("key")
-    seen = _half_ball(fps).select("fp", F.count("key").over(every).alias("n"), F.min("fp").over(every).alias("low"), F.max("fp").over(every).alias("high"))
+    seen = _half_ball(_spread(fps, BLOCKS * 49)).select("fp", F.count("key").over(every).alias("n"), F.min("fp").over(every).alias("low"), F.max("fp").over(every).alias("high"))
     close = F.bit_count(F.col("low").bitwiseXOR(F.col("high"))) <= 3
     colliding = store(seen.where((F.col("n") > 2) | ((F.col("n") == 2) & close)).select("fp").distinct(), folder, "colliding")
-    hubs = _hub_rows(colliding)
+    hubs = _hub_rows(_spread(colliding, 1057))
     center = Window.partitionBy("hub")
     starred = hubs.select("fp", F.min(F.when(F.col("near") == 1, F.col("fp"))).over(center).alias("b"))
     edges = starred.where("fp <> b").select(F.col("fp").alias("a"), "b").distinct()
