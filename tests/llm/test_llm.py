@@ -746,3 +746,46 @@ def test_stages_take_empty_and_odd_documents(spark, docs, empty, sf_dir):
         for k, (_, stage) in enumerate(corpus_pipeline.STAGES):
             current = store(stage(spark, current, sf_dir), scratch_dir(spark), str(k))
         assert current.columns == ["doc_id", "n_tokens", "ids", "decoded_sha256"]
+
+
+# null and shared identifiers
+
+
+@pytest.fixture(scope="module")
+def nameless(spark):
+    texts = [prose(50), prose(50), prose(51), None, ""]
+    data = [(None, t, "en", None, 1, "clash", 7, True, "r") for t in texts] + [(5, prose(52), None, "s", 1, "clash", 7, True, "r")] * 2
+    return spark.createDataFrame(data, DOCS)
+
+
+def test_rows_without_doc_id_keep_their_place(spark, nameless):
+    labels = spark.createDataFrame([(5, 1), (None, 0)], "doc_id long, good int")
+    mixed = mixing.mix(nameless, scratch_dir(spark), ["doc_id", "size"]).collect()
+    assert len(mixed) == 7 and sorted(r.size for r in mixed) == [0, 0, 120, 120, 120, 120, 120] and {r._row.size for r in mixed} == {7}
+    judged = quality.classify(nameless, labels, scratch_dir(spark), keep=["doc_id"]).collect()
+    assert len(judged) == 7 and sum(r._row.doc_id is None for r in judged) == 5
+    coded = bpe.encode_documents(nameless).collect()
+    assert sorted(len(r.ids) == 0 for r in coded if r.doc_id is None) == [False] * 3 + [True] * 2
+    ruled = rules.judge(nameless, labels.select("doc_id"), scratch_dir(spark)).collect()
+    assert len(ruled) == 7 and {r._row.kept for r in ruled} == {True}
+    assert sorted((r.n_words, r.base_failed) for r in ruled) == [(0, True)] * 2 + [(120, False)] * 5
+    groups = simhash.near_duplicates(nameless, scratch_dir(spark)).collect()
+    assert len(groups) == 7 and {r.component_id for r in groups if r.doc_id == 5} == {5}
+    assert len({r.fp for r in groups}) == 4 and len(simhash.one_of_each(nameless, scratch_dir(spark)).collect()) == 4
+
+
+def test_pages_that_share_a_name(spark):
+    pages = spark.createDataFrame([(1, "u", "a"), (1, "v", "b"), (None, "w", "c"), (None, None, None)], "page_id long, url string, html string")
+    folder = scratch_dir(spark)
+    index = store(warc.write_archives(pages, f"{folder}/a"), folder, "index")
+    named = warc.fetch(index, index.where("record_id like '%:1>'").select("record_id")).collect()
+    assert sorted(bytes(r.payload) for r in named) == [b"a", b"b"]
+    assert sorted(r.payload_bytes for r in warc.read_archives(warc.frames_of(index)).collect()) == [0, 1, 1, 1]
+
+
+def test_no_pages_no_verdicts(spark):
+    none = spark.createDataFrame([], "page_id long, url string")
+    outcomes = spark.createDataFrame([(1, 1), (None, 0)], "page_id long, bad int")
+    assert urls.judge(none, outcomes, scratch_dir(spark)).count() == 0
+    some = spark.createDataFrame([(None, "http://a.b/"), (2, None)], "page_id long, url string")
+    assert [r.verdict for r in urls.judge(some, outcomes.limit(0), scratch_dir(spark)).collect()] == ["allow", "allow"]

@@ -113,8 +113,8 @@ def shared_codec(path: str | None) -> Codec:
 def encode_documents(docs: DataFrame, path: str | None = None) -> DataFrame:
     """doc_id, ids and the decoded text of every row of ``docs`` (doc_id, text); other columns are ignored.
 
-    A null text counts as empty: no ids, empty decoded text. Repeated rows give repeated rows. Texts of any length are
-    encoded whole. ``path`` is the tokenizer's file, by default that of the installed package on each executor.
+    A null text counts as empty: no ids, empty decoded text. Repeated rows give repeated rows, a null doc_id stays null. Texts of
+    any length are encoded whole. An empty table gives an empty result. ``path`` is the tokenizer's file, by default that of the installed package on each executor.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

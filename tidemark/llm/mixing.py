@@ -50,7 +50,9 @@ def mix(docs: DataFrame, folder: str, keep: list[str], weights: tuple[int, ...]
     within the source, one random offset is added, and a document is taken once for each whole number that its part of the sum crosses.
     Documents go from the largest to the smallest, so that what is taken stays within about one largest document of the
     target; ties go by doc_id and then by text, so reruns agree. Repeated rows are sampled one by one. A null or empty text has size 0; a
-    source of size 0 has target 0 and nothing is taken. An empty table gives an empty result.
+    source of size 0 has target 0 and nothing is taken. A null source is one like any other, a null doc_id comes before the others. Only
+    the size of a very long text counts, which is read whole. Extra columns, whatever their names, stay in ``_row``. An empty table gives an
+    empty result.
 
     No source is gathered: rows are sorted in ranges, a row's place in its source follows from its place in the range and the counts of
     the source's earlier ranges.

@@ -121,7 +121,8 @@ def near_duplicates(docs: DataFrame, folder: str, shingle: int = 3) -> DataFrame
 
     Two documents link when their fingerprints differ in at most three bits; documents with equal fingerprints always do, those
     without words (fingerprint 0) included. Repeated rows stay and share a component. A null doc_id never names a component unless
-    it has no other member. Columns beside these two are not read. ``folder`` is shared by all executors.
+    it has no other member. A null text has no words; texts of any length are read whole. Columns beside these two are not read. An
+    empty table gives an empty result. ``folder`` is shared by all executors.
     """
     return _grouped(fingerprints(docs, shingle), folder).select("doc_id", "fp", "component_id")
 

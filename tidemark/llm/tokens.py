@@ -203,7 +203,8 @@ def write_shards(docs: DataFrame, folder: str, path: str | None = None, end_id:
     with equal doc_ids or none stand in the order of their texts. A shard ends after the document with which it reaches
     ``shard_tokens``, so that a task holds one shard. ``folder`` must be shared by all executors. File names follow from the
     first doc_id and its place among equal ones, or without one from the task, so that a repeated task writes the same files again.
-    Write into a new folder each time.
+    Write into a new folder each time. Texts of any length are encoded whole; other columns are not read. An empty table gives no
+    shard and an empty manifest.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -78,7 +78,8 @@ def judge(pages: DataFrame, outcomes: DataFrame, folder: str, rules: tuple[tuple
     ``outcomes`` (page_id, bad) labels some pages; several of one page count each, null ones not at all. The rule's verdict stands;
     otherwise a page is blocked if the lower posterior bound (mean less ``z`` deviations) of the bad rate of its host exceeds ``limit``.
     A host without outcomes takes its domain's posterior, then its suffix's, then the overall rate with no certainty (bound 0).
-    A null url has empty host and path. Repeated rows give repeated rows.
+    A null url has empty host and path, a null page_id no outcome. Repeated rows give repeated rows; urls of any length are read whole;
+    other columns are not read. An empty table gives an empty result.
     """
     host, path = host_and_path(F.col("url"))
     judged = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"))

@@ -89,7 +89,9 @@ def write_archives(pages: DataFrame, folder: str, least_bytes: int = 0, frame_by
     others. Frames close at ``frame_bytes`` of records and files at ``file_bytes``; a longer record has a frame of its own. The
     index has each record's identifier, its file, the frame's place in it and the record's place in the decompressed frame.
     Each attempt of a task writes files of its own name, and the index lists those of the attempt that counted; so a lost
-    executor leaves at most unlisted files. ``folder`` is shared by all executors.
+    executor leaves at most unlisted files. ``folder`` is shared by all executors. Rows that share a page_id, or have none, share a
+    record identifier, and ``fetch`` returns all of them. Payloads of any length are written whole; other columns are not read. An
+    empty table gives no file and an empty index.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
