@@ -1,7 +1,8 @@
 """Time headline queries on local Spark and print one JSON line.
 
 Reads ``BENCH_SF_DIR`` (default /root/testdata/sf0.1) with ``BENCH_CPUS`` cores (default 8). Every query runs once to warm up and
-twice for time, of which the better counts; results are produced in full and discarded.
+twice for time, of which the better counts; results are produced in full and discarded. ``loop_sec`` is the time of a fixed loop on one
+core and says how fast the machine was meanwhile: times of different runs compare by their ratio to it.
 """
 
 from __future__ import annotations
@@ -38,6 +39,16 @@ HEADLINE = (
 )
 
 
+def loop_seconds() -> float:
+    """The best of five runs of a fixed loop."""
+    runs = []
+    for _ in range(5):
+        began = time.perf_counter()
+        sum(k * k % 7 for k in range(2_000_000))
+        runs.append(time.perf_counter() - began)
+    return round(min(runs), 4)
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
@@ -54,7 +65,7 @@ def main() -> None:
     )
     spark.sparkContext.setLogLevel("ERROR")
     wanted = sys.argv[1:] or HEADLINE
-    times = {}
+    times, loops = {}, [loop_seconds()]
     for name in wanted:
         query = QUERIES[name]
         runs = []
@@ -63,6 +74,7 @@ def main() -> None:
             query(spark, sf_dir).write.format("noop").mode("overwrite").save()
             runs.append(time.perf_counter() - began)
         times[name] = round(min(runs[1:]), 3)
+    loops.append(loop_seconds())
     spark.stop()
     print(
         json.dumps(
@@ -71,6 +83,7 @@ def main() -> None:
                 "value": round(sum(times.values()), 3),
                 "unit": "sec",
                 "queries": times,
+                "loop_sec": max(loops),
                 "sf": sf_dir.rstrip("/").rsplit("sf", 1)[-1],
             }
         )

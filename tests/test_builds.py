@@ -137,6 +137,12 @@ def test_session_tables_need_no_sorting(spark, sf_dir):
         assert "SortAggregate" not in plan_of(QUERIES[name](spark, sf_dir)), name
 
 
+def test_row_integrity_takes_two_scans(spark, sf_dir):
+    plan = QUERIES["qa_row_integrity"](spark, sf_dir)._jdf.queryExecution().sparkPlan().toString()
+    outer = QUERIES["qa_row_integrity"](spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
+    assert outer.count("Relation [") == 2, plan
+
+
 def test_executive_kpis_take_one_scan(spark, sf_dir):
     assert plan_of(QUERIES["executive_kpis"](spark, sf_dir)).count("FileScan") == 1
 

@@ -10,9 +10,11 @@ from __future__ import annotations
 import re
 from collections.abc import Iterable
 from datetime import date
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tidemark.functions.columns import is_paid
 from tidemark.operators import cohorts, drivers, funnel, star, trends
@@ -92,9 +94,14 @@ class _Store:
     def events(self, folder: str = "events") -> DataFrame:
         return self.spark.read.option("basePath", self.path("events")).parquet(self.path(folder)).drop("load_id")
 
+    @cached_property
+    def schemas(self) -> dict[str, StructType]:
+        """Those of the derived tables, as they follow from the events', so that a table without rows can be read as well."""
+        return {name: table.schema for name, table in _derived(self.events()).items()}
+
     def read(self, name: str) -> DataFrame:
-        """A derived table. Its schema follows from that of the events, so that a table without rows can be read as well."""
-        return self.spark.read.schema(_derived(self.events())[name].schema).parquet(self.path(name))
+        """A derived table."""
+        return self.spark.read.schema(self.schemas[name]).parquet(self.path(name))
 
     def keep(self, name: str, table: DataFrame) -> DataFrame:
         return store(table, self.scratch, name)
