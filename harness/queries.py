@@ -14,7 +14,7 @@ from tidemark.functions.quantiles import quantiles_of_sketches
 from tidemark.operators import cohorts, drivers, funnel, kpis, quality, star, support, trends
 from tidemark.plans import daily
 from tidemark.plans.clickstream import EXPORTED, BuildChecks, build_model, export_model
-from tidemark.plans.storage import scratch_dir, store
+from tidemark.plans.storage import scratch_dir, store, store_all
 from tidemark.plans.support import run_ticket_kpis
 from tidemark.sources.events import clean_raw_events, events_clean, read_events_csv
 from tidemark.sources.model import export_parquet, read_model
@@ -219,7 +219,7 @@ def _star_join(spark: SparkSession, sf: str) -> DataFrame:
     events = _events(spark, sf)
     work = scratch_dir(spark)
     builders = (star.dim_date, star.dim_category, star.dim_product, star.dim_user, star.dim_session)
-    dims = {build.__name__: store(build(events), work, build.__name__) for build in builders}
+    dims = store_all({build.__name__: build(events) for build in builders}, work)
     return star.star_join(star.fact_events(events), dims)
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tidemark.operators import cohorts, drivers, funnel, quality, star, trends
-from tidemark.plans.storage import store
+from tidemark.plans.storage import store_all
 from tidemark.sources.events import events_clean
 from tidemark.sources.model import export_parquet
 
@@ -89,47 +89,50 @@ def build_model(
     The retention curve ends at day offset ``max_day``; ``brand_limit`` keeps only so many brands, by default all.
 
     Events are read seven times: for daily counts, users, categories, products, session rows, purchases and brands; dates,
-    sessions and category measures derive from tables already built. With ``work_dir`` every table is written there and read back before others use it. Each is then computed once, lost
-    executors cost no more than their tasks, and later joins know the real table sizes; use it for real volumes.
+    sessions and category measures derive from tables already built. With ``work_dir`` every table is written there and read back before others
+    use it, a few at a time where none needs the other. Each is then computed once, lost executors cost no more than their tasks, and later
+    joins know the real table sizes; use it for real volumes.
     Without it the tables stay lazy. ``checks`` watches the passes of a stored build.
     """
     if checks and not work_dir:
         raise ValueError("checks watch a stored build: give work_dir")
     watched = checks.on_raw(raw) if checks else raw
 
-    def keep(name: str, table: DataFrame) -> DataFrame:
-        return store(table, work_dir, name) if work_dir else table
+    def keep(**tables: DataFrame) -> dict[str, DataFrame]:
+        return store_all(tables, work_dir) if work_dir else tables
 
     cleaned = events_clean(watched)
-    events = keep("events_clean", checks.on_events(cleaned) if checks else cleaned)
-    model = {}
-    model["fact_events"] = fact = star.fact_events(events)
-    daily = keep("daily_event_counts", trends.daily_event_counts(fact))
-    model["dim_date"] = keep("dim_date", star.dim_date(daily))
-    for name, build in (("dim_user", star.dim_user), ("dim_category", star.dim_category), ("dim_product", star.dim_product)):
-        model[name] = keep(name, build(events))
+    events = keep(events_clean=checks.on_events(cleaned) if checks else cleaned)["events_clean"]
+    fact = star.fact_events(events)
     rows = funnel.session_funnel(fact, with_category=True)
-    with_category = keep("session_rows", checks.on_sessions(rows) if checks else rows)
-    sessions = with_category.drop(*funnel.CATEGORY_COLUMNS)
-    model["dim_session"] = star.dim_session_of_rows(sessions)
-    purchases = keep("fct_user_daily_purchases", cohorts.user_daily_purchases(fact))
-    activity = keep("fct_cohort_activity", cohorts.cohort_activity(purchases))
+    model = keep(
+        session_rows=checks.on_sessions(rows) if checks else rows,
+        dim_product=star.dim_product(events),
+        dim_user=star.dim_user(events),
+        dim_category=star.dim_category(events),
+        fct_user_daily_purchases=cohorts.user_daily_purchases(fact),
+        agg_brand_revenue=drivers.brand_revenue(fact, brand_limit),
+        daily_event_counts=trends.daily_event_counts(fact),
+    )
+    with_category = model.pop("session_rows")
     categories = drivers.category_funnel_of_sessions(with_category)
     if checks:
         checks.session_rows = with_category
         categories = checks.on_categories(categories)
-    return {
-        **model,
-        "fct_session_funnel": sessions,
-        "fct_user_daily_purchases": purchases,
-        "fct_cohort_activity": activity,
-        "dim_user_purchase_cohort": keep("dim_user_purchase_cohort", cohorts.user_purchase_cohort(purchases)),
-        "cohort_retention_summary": keep("cohort_retention_summary", cohorts.cohort_retention_summary(activity)),
-        "cohort_retention_curve": keep("cohort_retention_curve", cohorts.cohort_retention_curve(activity, max_day)),
-        "agg_category_funnel": keep("agg_category_funnel", categories),
-        "agg_brand_revenue": keep("agg_brand_revenue", drivers.brand_revenue(fact, brand_limit)),
-        "daily_event_counts": daily,
-    }
+    purchases = model["fct_user_daily_purchases"]
+    model |= keep(
+        agg_category_funnel=categories,
+        fct_cohort_activity=cohorts.cohort_activity(purchases),
+        dim_user_purchase_cohort=cohorts.user_purchase_cohort(purchases),
+        dim_date=star.dim_date(model["daily_event_counts"]),
+    )
+    activity = model["fct_cohort_activity"]
+    model |= keep(
+        cohort_retention_summary=cohorts.cohort_retention_summary(activity),
+        cohort_retention_curve=cohorts.cohort_retention_curve(activity, max_day),
+    )
+    sessions = with_category.drop(*funnel.CATEGORY_COLUMNS)
+    return model | {"fact_events": fact, "fct_session_funnel": sessions, "dim_session": star.dim_session_of_rows(sessions)}
 
 
 def export_model(model: Mapping[str, DataFrame], directory: str) -> None:

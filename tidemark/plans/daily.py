@@ -18,7 +18,7 @@ from pyspark.sql.types import StructType
 
 from tidemark.functions.columns import is_paid
 from tidemark.operators import cohorts, drivers, funnel, star, trends
-from tidemark.plans.storage import exists, overwrite_partitions, remove, scratch_dir, store
+from tidemark.plans.storage import exists, overwrite_partitions, remove, scratch_dir, store, store_all
 from tidemark.sources.events import events_clean
 
 SESSION = funnel.SESSION
@@ -144,8 +144,9 @@ def load(raw: DataFrame, directory: str, load_id: str, lookback: int | None = No
     if model.has("fct_user_daily_purchases"):
         bought_before = model.keep("bought_before", _of_days(model.read("fct_user_daily_purchases"), "purchase_date", days).select("user_id").distinct())
     events = _of_days(model.events(), "event_date", days)
-    for name, (build, column) in _BY_DAY.items():
-        model.put(name, model.keep(name, build(events)), column, days)
+    built = store_all({name: build(events) for name, (build, _) in _BY_DAY.items()}, model.scratch)
+    for name, (_, column) in _BY_DAY.items():
+        model.put(name, built[name], column, days)
     _load_sessions(model, touched.where("session_id is not null").select(*SESSION).distinct(), days, lookback)
     _load_cohorts(model, bought_before, days)
     remove(model.spark, model.scratch)
