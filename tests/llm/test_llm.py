@@ -624,6 +624,14 @@ def test_every_trusted_document_counts(spark, limit):
     assert (raw, target) == (2 * 40_803, 2 * 40_801)
 
 
+@pytest.mark.parametrize("stage", [rules.judge, rules.passing])
+def test_plans_do_not_hold_the_ratios(spark, docs, stage):
+    """The driver keeps the texts of plans: they name the table of ratios, and no operator's rows carry it either."""
+    plan = stage(docs, spark.createDataFrame([(0,)], "doc_id long"), scratch_dir(spark))._jdf.queryExecution()
+    assert len(plan.toString()) < 500_000
+    assert "_listed" not in plan.executedPlan().toString().replace("lambda", "")
+
+
 def test_rules_stage_filters_and_runs_no_python(spark, docs, empty, capsys):
     trusted = spark.createDataFrame([(0,)], "doc_id long")
     kept = rules.passing(docs, trusted, scratch_dir(spark))
