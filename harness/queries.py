@@ -7,6 +7,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, DatetimeType
 
 from harness import adapters
 from tidemark.functions import support as tk
@@ -113,12 +114,14 @@ def _weighted(**options) -> Query:
 def _content(tables: dict[str, DataFrame]) -> DataFrame:
     """For every column of every table: how many values it has and the sum of those that are numbers.
 
-    Numbers are added as decimals: the sum does not depend on the order of rows, and ids of 19 digits keep them all.
+    Numbers are added as decimals: the sum does not depend on the order of rows, and ids of 19 digits keep them all. Columns of times
+    and truth values hold none, so their text is not made.
     """
 
     def measured(name: str, df: DataFrame) -> DataFrame:
         def row(c: str) -> Column:
-            number = F.col(c).cast("string").try_cast("decimal(38,6)")
+            numberless = isinstance(df.schema[c].dataType, (DatetimeType, BooleanType))
+            number = (F.lit(None) if numberless else F.col(c).cast("string")).try_cast("decimal(38,6)")
             filled, total = F.count(c).alias("filled"), F.sum(number).cast("string").alias("total")
             return F.struct(F.lit(c).alias("column_name"), filled, total)
 

@@ -276,6 +276,22 @@ def test_late_events_move_sessions_users_and_cohorts(spark, tmp_path):
     same_model(spark, str(tmp_path), numbered(spark, first + late[:1]))
 
 
+def test_a_load_writes_what_derives_from_days_once(spark, tmp_path, monkeypatch):
+    """In its place, without a copy in the scratch folder before; days that lose their rows still lose their partition."""
+    copies, whole = [], storage.store
+    for place in (storage, daily):
+        monkeypatch.setattr(place, "store", lambda table, directory, name: copies.append(name) or whole(table, directory, name))
+    first = list(enumerate([{"ts": "05 10:00:00", "event_type": "purchase"}, {"ts": "06 10:00:00", "session_id": None, "event_type": "purchase"}]))
+    daily.load(numbered(spark, first), str(tmp_path), "a")
+    same_model(spark, str(tmp_path), numbered(spark, first))
+    assert not {*copies} & {"cleaned", *daily._BY_DAY}
+    again = [(0, {"ts": "05 10:00:00"}), first[1]]
+    daily.load(numbered(spark, again), str(tmp_path), "a")
+    same_model(spark, str(tmp_path), numbered(spark, again))
+    assert not {*copies} & {"cleaned", *daily._BY_DAY}
+    assert not (tmp_path / "step_days" / "event_date=2024-01-06").exists() and not (tmp_path / "brand_days" / "event_date=2024-01-05").exists()
+
+
 def test_load_without_purchases_and_untouched_days(spark, tmp_path):
     first = list(enumerate([{"ts": "05 10:00:00"}, {"ts": "06 10:00:00", "session_id": "t", "user_id": 2}]))
     daily.load(numbered(spark, first), str(tmp_path), "a")

@@ -9,24 +9,32 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterable
+from concurrent.futures import ThreadPoolExecutor
 from datetime import date
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tidemark.functions.columns import is_paid
 from tidemark.operators import cohorts, drivers, funnel, star, trends
-from tidemark.plans.storage import exists, overwrite_partitions, remove, scratch_dir, store, store_all
+from tidemark.plans.storage import exists, overwrite_partitions, remove, scratch_dir, store
 from tidemark.sources.events import events_clean
 
 SESSION = funnel.SESSION
 
 
+def _any() -> Column:
+    return F.lit(True)
+
+
+def _is_branded() -> Column:
+    return is_paid() & F.col("brand").isNotNull()
+
+
 def _brand_sessions(fact: DataFrame) -> DataFrame:
-    paid = fact.where(is_paid() & F.col("brand").isNotNull())
-    return paid.groupBy("event_date", "brand", "session_id").agg(F.count(F.lit(1)).alias("purchases"), F.sum("price").alias("revenue"))
+    return fact.where(_is_branded()).groupBy("event_date", "brand", "session_id").agg(F.count(F.lit(1)).alias("purchases"), F.sum("price").alias("revenue"))
 
 
 def _user_days(events: DataFrame) -> DataFrame:
@@ -40,15 +48,15 @@ def _steps_by_day(events: DataFrame) -> DataFrame:
     return steps.withColumns({"event_date": F.col("product_id.event_date"), "product_id": F.col("product_id.product_id")})
 
 
-# Tables whose rows derive from the events of one day: how they are built, and the column with the day.
+# Tables whose rows derive from the events of one day: how they are built, the column with the day, and which events make rows.
 _BY_DAY = {
-    "daily_event_counts": (lambda events: trends.daily_event_counts(star.fact_events(events)), "event_date"),
-    "user_days": (_user_days, "event_date"),
-    "category_days": (lambda events: star.category_counts(events, "event_date"), "event_date"),
-    "product_days": (lambda events: star.product_counts(events, "event_date"), "event_date"),
-    "brand_days": (_brand_sessions, "event_date"),
-    "step_days": (_steps_by_day, "event_date"),
-    "fct_user_daily_purchases": (cohorts.user_daily_purchases, "purchase_date"),
+    "step_days": (_steps_by_day, "event_date", lambda: F.col("session_id").isNotNull()),
+    "daily_event_counts": (lambda events: trends.daily_event_counts(star.fact_events(events)), "event_date", _any),
+    "user_days": (_user_days, "event_date", _any),
+    "category_days": (lambda events: star.category_counts(events, "event_date"), "event_date", _any),
+    "product_days": (lambda events: star.product_counts(events, "event_date"), "event_date", _any),
+    "brand_days": (_brand_sessions, "event_date", _is_branded),
+    "fct_user_daily_purchases": (cohorts.user_daily_purchases, "purchase_date", is_paid),
 }
 
 
@@ -67,7 +75,7 @@ def _session_rows(steps: DataFrame) -> DataFrame:
 
 def _derived(events: DataFrame) -> dict[str, DataFrame]:
     """Every derived table as it follows from these events."""
-    tables = {name: build(events) for name, (build, _) in _BY_DAY.items()}
+    tables = {name: build(events) for name, (build, *_) in _BY_DAY.items()}
     purchases = tables["fct_user_daily_purchases"]
     starts = cohorts.user_purchase_cohort(purchases)
     activity = _placed(purchases, starts)
@@ -106,10 +114,11 @@ class _Store:
     def keep(self, name: str, table: DataFrame) -> DataFrame:
         return store(table, self.scratch, name)
 
-    def put(self, name: str, table: DataFrame, column: str, days: Iterable[date]) -> None:
-        """Overwrite these days of a table; days without rows lose their partition."""
+    def put(self, name: str, table: DataFrame, column: str, days: Iterable[date], filled: Iterable[date] | None = None) -> None:
+        """Overwrite these days of a table; days without rows lose their partition. ``filled``: the days with rows, where they are known,
+        so that the table is not read for them."""
         overwrite_partitions(table, self.path(name), column)
-        for day in set(days) - _days(table, column):
+        for day in set(days) - (_days(table, column) if filled is None else set(filled)):
             remove(self.spark, f"{self.path(name)}/{column}={day}")
 
 
@@ -133,9 +142,9 @@ def load(raw: DataFrame, directory: str, load_id: str, lookback: int | None = No
     model = _Store(raw.sparkSession, directory)
     folder = f"events/load_id={load_id}"
     before = model.keep("before", model.events(folder).select("event_date", *SESSION).distinct()) if model.has(folder) else None
-    cleaned = model.keep("cleaned", events_clean(raw))
+    cleaned = events_clean(raw)
     cleaned.write.mode("overwrite").partitionBy("event_date").parquet(model.path(folder))
-    batch = cleaned.select("event_date", *SESSION).distinct()
+    batch = model.spark.read.schema(cleaned.schema).parquet(model.path(folder)).select("event_date", *SESSION).distinct()
     touched = model.keep("touched", batch.unionByName(before) if before is not None else batch)
     days = _days(touched, "event_date")
     if not days:
@@ -144,24 +153,37 @@ def load(raw: DataFrame, directory: str, load_id: str, lookback: int | None = No
     if model.has("fct_user_daily_purchases"):
         bought_before = model.keep("bought_before", _of_days(model.read("fct_user_daily_purchases"), "purchase_date", days).select("user_id").distinct())
     events = _of_days(model.events(), "event_date", days)
-    built = store_all({name: build(events) for name, (build, _) in _BY_DAY.items()}, model.scratch)
-    for name, (_, column) in _BY_DAY.items():
-        model.put(name, built[name], column, days)
+    _load_days(model, events, days)
     _load_sessions(model, touched.where("session_id is not null").select(*SESSION).distinct(), days, lookback)
     _load_cohorts(model, bought_before, days)
     remove(model.spark, model.scratch)
 
 
+def _load_days(model: _Store, events: DataFrame, days: set[date], at_once: int = 4) -> None:
+    """Rebuild these days of the tables that derive from single days: each is written once, in its place, a few tables at a time."""
+    makes = [F.bool_or(rows()).alias(name) for name, (*_, rows) in _BY_DAY.items()]
+    found = events.groupBy("event_date").agg(*makes).collect()  # as long as the calendar
+
+    def put(item: tuple) -> None:
+        name, (build, column, _) = item
+        model.put(name, build(events), column, days, [row["event_date"] for row in found if row[name]])
+
+    with ThreadPoolExecutor(at_once) as pool:
+        list(pool.map(put, _BY_DAY.items()))
+
+
 def _load_sessions(model: _Store, touched: DataFrame, days: set[date], lookback: int | None) -> None:
     """Recompute the touched sessions from the steps of their days, and rewrite the start days that they leave or enter."""
-    fresh = model.keep("fresh", _session_rows(model.read("step_days").join(touched, SESSION, "left_semi")))
-    starts, kept = _days(fresh, "session_day"), None
-    if model.has("sessions"):
-        stored = model.read("sessions")
-        recent = stored if lookback is None else stored.where(F.col("session_day") >= F.date_sub(F.lit(min(days)), lookback))
-        starts |= _days(recent.join(touched, SESSION, "left_semi"), "session_day")
-        kept = _of_days(stored, "session_day", starts).join(touched, SESSION, "left_anti")
-    model.put("sessions", model.keep("rewritten", fresh.unionByName(kept) if kept is not None else fresh), "session_day", starts)
+    steps = model.read("step_days")
+    if not model.has("sessions"):  # all steps are this load's
+        model.put("sessions", _session_rows(steps), "session_day", set(), set())
+        return
+    fresh = model.keep("fresh", _session_rows(steps.join(touched, SESSION, "left_semi")))
+    stored = model.read("sessions")
+    recent = stored if lookback is None else stored.where(F.col("session_day") >= F.date_sub(F.lit(min(days)), lookback))
+    starts = _days(fresh, "session_day") | _days(recent.join(touched, SESSION, "left_semi"), "session_day")
+    kept = _of_days(stored, "session_day", starts).join(touched, SESSION, "left_anti")
+    model.put("sessions", model.keep("rewritten", fresh.unionByName(kept)), "session_day", starts)
 
 
 def _load_cohorts(model: _Store, bought_before: DataFrame | None, days: set[date]) -> None:
