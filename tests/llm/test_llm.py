@@ -13,6 +13,7 @@ import zlib
 import duckdb
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -235,6 +236,20 @@ def test_pieces_encode_like_the_library():
         assert codec.encode(text.encode()).tolist() == codec.tokenizer.encode(text, add_special_tokens=False).ids
 
 
+def test_pieces_of_several_texts_are_looked_up_once():
+    """Texts together encode like each alone; a new piece is encoded once, however often they hold it."""
+    codec, alone, rng = tokens.PieceCodec(None), tokens.PieceCodec(None), random.Random(3)
+    texts = [None, "", " \n", "a\x0bb\x0cc\x1cd ", *["".join(rng.choices(["the", " ", "\n", "é,", "x.", "日", "1"], k=30)) for _ in range(200)]]
+    for some in (texts, texts[:1], [*texts, "a <|endoftext|> b"]):
+        found = [ids.tolist() for ids in codec.encode_all(pa.array(some, pa.string()))]
+        assert found == [alone.encode((text or "").encode()).tolist() for text in some]
+    made, piece = [], codec._piece
+    codec._piece = lambda new: made.append(new) or piece(new)
+    long = "n" * 100  # too long to be remembered
+    codec.encode_all(pa.array([f"{long} {long}", long]))
+    assert made == [long.encode()]
+
+
 def test_shards_round_trip(spark, docs, rows, empty):
     folder = scratch_dir(spark)
     manifest = store(tokens.write_shards(docs, f"{folder}/shards", shard_tokens=500), folder, "manifest")

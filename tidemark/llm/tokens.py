@@ -9,6 +9,7 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import public_tokenizers
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -16,7 +17,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tidemark.llm.bpe import byte_alphabet
-from tidemark.llm.common import open_shared, running_total, slices, utf8, write_shared
+from tidemark.llm.common import open_shared, running_total, utf8, write_shared
 from tidemark.plans.storage import store
 
 #: File format: magic, then these numbers (documents, those of them that have a doc_id, ids, width, block), then doc_ids, offsets, zeros of each plane, and per plane its ranks and its bits.
@@ -27,6 +28,8 @@ MANIFEST = "path string, first long, docs long, tokens long"
 READ = "path string, place long, doc_id long, local_start long, n_tokens long, ids_crc32 long"
 #: Pieces of text whose ids a task remembers; others are encoded anew, with the same result.
 REMEMBERED = 300_000
+#: Bytes of text that are encoded together.
+TEXT_BYTES = 16 << 20
 MARKS = b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 ALNUM = b"0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"
 
@@ -189,6 +192,24 @@ class PieceCodec:
                 found[k] = self._piece(pieces[k])
         return np.frombuffer(b"".join(found), dtype=np.int32)
 
+    def encode_all(self, texts: pa.Array) -> list[np.ndarray]:
+        """``encode`` for several texts (null: empty), with each different piece of them looked up once."""
+        bodies = utf8(texts)
+        if any(s in body for body in bodies for s in self.special):
+            return [self.encode(body) for body in bodies]
+        pieces = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
+        ends = np.cumsum(pc.list_value_length(pieces).to_numpy(), dtype=np.int64)
+        coded = pc.list_flatten(pieces).dictionary_encode()
+        different = coded.dictionary.cast(pa.binary()).to_pylist()
+        found = list(map(self.known.get, different))
+        for k, ids in enumerate(found):
+            if ids is None:
+                found[k] = self._piece(different[k]) if different[k] else b""
+        sizes = np.array([len(ids) // 4 for ids in found], dtype=np.int64)
+        lists = pa.LargeListArray.from_arrays(np.concatenate([[0], np.cumsum(sizes)]), np.frombuffer(b"".join(found), dtype=np.int32))
+        before = np.concatenate([[0], np.cumsum(sizes[coded.indices.to_numpy()])])
+        return np.split(lists.take(coded.indices).flatten().to_numpy(), before[ends[:-1]])
+
 
 @cache
 def shared_codec(path: str | None) -> PieceCodec:
@@ -196,6 +217,16 @@ def shared_codec(path: str | None) -> PieceCodec:
     return PieceCodec(path)
 
 
+def _by_size(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of about so many bytes of text; a longer text stands with few others."""
+    for batch in batches:
+        part = np.cumsum(pc.fill_null(pc.binary_length(batch["text"]), 0).to_numpy(), dtype=np.int64) // size
+        cuts = [0, *(np.flatnonzero(np.diff(part)) + 1), batch.num_rows]
+        for start, end in zip(cuts[:-1], cuts[1:]):
+            if end > start:
+                yield batch.slice(start, end - start)
+
+
 def write_shards(docs: DataFrame, folder: str, path: str | None = None, end_id: int = 1, shard_tokens: int = 2_000_000) -> DataFrame:
     """Encode every document and write shard files in ascending doc_id order into ``folder``; return their manifest.
 
@@ -224,13 +255,13 @@ def write_shards(docs: DataFrame, folder: str, path: str | None = None, end_id:
             size, shards, doc_ids, parts = 0, shards + 1, [], []
             return pa.RecordBatch.from_arrays([pa.array(row[0]), *[pa.array(c, pa.int64()) for c in row[1:]]], names=["path", "first", "docs", "tokens"])
 
-        for batch in slices(batches, 64):
+        for batch in _by_size(batches, TEXT_BYTES):
             if codec is None:
                 codec = shared_codec(path)
                 width = max(codec.tokenizer.get_vocab_size(with_added_tokens=True) - 1, end_id).bit_length()
-            for doc_id, text in zip(batch["doc_id"].to_pylist(), utf8(batch["text"])):
+            for doc_id, ids in zip(batch["doc_id"].to_pylist(), codec.encode_all(batch["text"])):
                 doc_ids.append(doc_id)
-                parts.append(np.append(codec.encode(text), np.int32(end_id)))
+                parts.append(np.append(ids, np.int32(end_id)))
                 size += len(parts[-1])
                 if size >= shard_tokens:
                     yield flush()
